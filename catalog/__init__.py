@@ -4,4 +4,4 @@ from catalog.views import Registry
 
 REGISTRY = Registry()
 
-from catalog import features, pit, sources  # noqa: E402,F401
+from catalog import features, merging, pit, sources  # noqa: E402,F401
