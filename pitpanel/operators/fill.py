@@ -38,10 +38,16 @@ def forward_fill(df: DataFrame, panel: Panel, columns: Sequence[str], blocked: b
 
 
 def forward_backward_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
-    """Forward fill, then fill leading gaps from the future. Looks ahead: not point-in-time."""
-    up, on = panel.upto(), panel.onward()
+    """Forward fill, then fill leading gaps from the future. Looks ahead: not point-in-time.
+
+    Only rows before the first observation stay null after the forward fill, and their next known
+    value is that first observation. It is one value per entity, read once from the whole frame; a
+    frame that starts at the current row would be evaluated anew for every row.
+    """
+    up = panel.upto()
+    whole = panel.ordered().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns({
-        c: F.coalesce(F.last(c, ignorenulls=True).over(up), F.first(c, ignorenulls=True).over(on))
+        c: F.coalesce(F.last(c, ignorenulls=True).over(up), F.first(c, ignorenulls=True).over(whole))
         for c in columns
     })
 

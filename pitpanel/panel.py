@@ -41,8 +41,5 @@ class Panel:
     def upto(self) -> WindowSpec:
         return self.ordered().rowsBetween(Window.unboundedPreceding, 0)
 
-    def onward(self) -> WindowSpec:
-        return self.ordered().rowsBetween(0, Window.unboundedFollowing)
-
     def whole(self) -> WindowSpec:
         return Window.partitionBy(*self.entity)

@@ -13,6 +13,7 @@ from pitpanel.operators import features, fill, merge, outliers, windows
 from pitpanel.panel import Panel
 from pitpanel.plans import clean
 from pitpanel.plans.hygiene import hygiene_pipeline
+from pitpanel.session import stable
 
 # fixed values: row parameters of the feature catalogue
 LAGS = (1, 5, 22)
@@ -120,15 +121,18 @@ def entity_features(df: DataFrame, panel: Panel, e: EntityNames = EntityNames())
 
 
 def macro_panel(macro: DataFrame, market: DataFrame, panel: Panel, m: MacroNames = MacroNames(),
-                k: MarketNames = MarketNames(), allow_lookahead: bool = True) -> DataFrame:
+                k: MarketNames = MarketNames(), allow_lookahead: bool = True, cut_lineage: bool = True) -> DataFrame:
     """Cleaned macro and market tables with features, one row per date of either table.
 
     All inputs hold one row per day, so windows over the whole table are bounded by the calendar.
-    Gaps are filled only if some column is more than five percent null.
+    Gaps are filled only if some column is more than five percent null. The merged table is small
+    and read twice (null shares, fill), so ``cut_lineage`` writes it down first.
     """
     a = macro_features(clean.clean_series(macro, panel, lead_median=allow_lookahead), panel, m)
     b = market_features(clean.clean_series(market, panel, lead_median=allow_lookahead), panel, k)
     out = merge.merge_series(a, b, panel.date)
+    if cut_lineage and allow_lookahead:
+        out = stable(out)
     numbers = [c for c in out.columns if c != panel.date]
     return fill.conditional_fill(out, panel, numbers, "any", 5.0) if allow_lookahead else fill.forward_fill(out, panel, numbers)
 
@@ -160,8 +164,14 @@ def audit_flags(df: DataFrame, panel: Panel, outlier_columns: Sequence[str], jum
 
 def finished_panel(prices: DataFrame, statements: DataFrame, context: DataFrame, panel: Panel, e: EntityNames = EntityNames(),
                    keep_text: Sequence[str] = (), cut_lineage: bool = True, **options) -> DataFrame:
-    """Entity panel, repaired and flagged."""
+    """Entity panel, repaired and flagged.
+
+    The wide panel is expensive and the repair makes several passes over it, so ``cut_lineage``
+    writes it down after the merge and after the fills.
+    """
     wide = entity_panel(prices, statements, context, panel, e, **options)
+    if cut_lineage:
+        wide = stable(wide)
     repaired = hygiene_pipeline(wide, panel, keep_text, cut_lineage=cut_lineage)
     p = e.price
     return audit_flags(repaired, panel, [f"{p}_return_1d", f"{p}_return_22d", f"{p}_volatility_22d", "profit_margin", "roe", "roa"],
