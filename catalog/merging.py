@@ -375,5 +375,5 @@ def _(spark, sf):
         "price_pct": (F.col("low") - 1500) * 10, "fixed": F.lit(1.0), "price_dup": F.col("low"), "volume_text": F.col("volume").cast("string")})
     s = s.withColumn("_ord", F.lit(0)).unionByName(s.filter(F.day("dt") == 1).withColumn("_ord", F.lit(1)))
     merged = merge.add_context(s.drop("high", "low", "grp"), macro(spark, sf).select("dt", F.col("gdp").alias("gdp_macro")), "dt")
-    out = hygiene_pipeline(merged, Panel(("entity",), "dt", ("_ord",)))
+    out = hygiene_pipeline(merged, Panel(("entity",), "dt", ("_ord",)), cut_lineage=True)
     return show(out, "entity", "dt", price=-1, volume=-1, price_pct=-1, gdp=-1, volume_text=-1)

@@ -32,33 +32,32 @@ def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    totals: Mapping[str, Column],
+    totals: Mapping[str, str],
     n_blocks: int | None = None,
 ) -> DataFrame:
-    """Exact inclusive running sums per key: ``{output column: summand}``.
+    """Exact inclusive running sums per key: ``{output column: summed column}``.
 
     Inside a block by a window, across blocks by the block sums before it (at most ``n_blocks``
-    rows per key).
+    rows per key). A frame that already carries ``_block`` for this order is used as it is.
     """
-    summand = {f"_s_{name}": c for name, c in totals.items()}
-    laid = range_blocks(df.withColumns(summand), [*keys, *order], n_blocks)
+    laid = df if BLOCK in df.columns else range_blocks(df, [*keys, *order], n_blocks)
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    sums = laid.groupBy(*keys, BLOCK).agg(*[F.sum(c).alias(c) for c in summand])
+    sums = laid.groupBy(*keys, BLOCK).agg(*[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()])
     sums = sums.select(
-        *keys, BLOCK, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_b{c}") for c in summand]
+        *keys, BLOCK, *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in totals]
     )
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = laid.withColumns({f"_w{c}": F.sum(c).over(inside) for c in summand})
+    out = laid.withColumns({f"_w_{n}": F.sum(c).over(inside) for n, c in totals.items()})
     out = out.join(sums, [*keys, BLOCK], "inner")
-    return out.select(
-        *df.columns, *[(F.col(f"_w_s_{n}") + F.col(f"_b_s_{n}")).alias(n) for n in totals]
-    )
+    kept = [c for c in df.columns if c != BLOCK]
+    return out.select(*kept, *[(F.col(f"_w_{n}") + F.col(f"_b_{n}")).alias(n) for n in totals])
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "_pos",
                   n_blocks: int | None = None) -> DataFrame:
     """1-based exact position of every row inside its key."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("long")}, n_blocks)
+    counted = df.withColumn("_one", F.lit(1).cast("long"))
+    return running_totals(counted, keys, order, {name: "_one"}, n_blocks).drop("_one")
 
 
 def fill_forward(
@@ -66,25 +65,34 @@ def fill_forward(
     keys: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
+    rank: bool = False,
     n_blocks: int | None = None,
 ) -> DataFrame:
-    """Forward fill across blocks: last non-null inside the block, else the carry from earlier ones."""
+    """Forward fill across blocks: last non-null inside the block, else the carry from earlier ones.
+
+    ``rank`` adds ``_k_{column}``, the number of filled rows of the key up to and including this one.
+    """
     laid = range_blocks(df, [*keys, *order], n_blocks)
     position = F.struct(*order)
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ends = laid.groupBy(*keys, BLOCK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_e_{c}") for c in columns]
+        F.count("*").alias("_rows"),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_e_{c}") for c in columns],
     )
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
         *keys, BLOCK, *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in columns]
     )
-    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = laid.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in columns})
     out = out.join(carry, [*keys, BLOCK], "inner")
-    picked = [
-        F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) if c in columns else F.col(c) for c in df.columns
-    ]
-    return out.select(*picked)
+    filled = out.select(
+        *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) if c in columns else F.col(c) for c in df.columns], BLOCK)
+    if not rank:
+        return filled.drop(BLOCK)
+    return running_totals(
+        filled.withColumns({f"_o_{c}": F.col(c).isNotNull().cast("long") for c in columns}),
+        keys, order, {f"_k_{c}": f"_o_{c}" for c in columns},
+    ).drop(*[f"_o_{c}" for c in columns])
 
 
 def with_halo(

@@ -223,26 +223,37 @@ def issue_counts(issues: DataFrame, datasets: Sequence[str] | None = None) -> Da
     return counts.withColumn("passed", F.col("critical") == 0)
 
 
+def _stack(parts: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+    """One row per dataset from several one-row-per-dataset reports, by grouping instead of joining."""
+    stacked = union_all([d.select("dataset", *existing(d, columns)) for d in parts.values()])
+    return stacked.groupBy("dataset").agg(*[F.max(c).alias(c) for c in columns if c in stacked.columns])
+
+
 def checkpoint_verdict(gates: DataFrame, counts: DataFrame, post_counts: DataFrame | None = None) -> DataFrame:
     """Per dataset: expectations pass, no critical issue, and no critical post-clean issue.
 
-    ``gates`` carries ``suite`` = dataset name and ``passed``.
+    ``gates`` carries ``suite`` = dataset name and ``passed``. A part nobody reported counts as passed.
     """
-    out = counts.select("dataset", F.col("passed").alias("checks_passed")).join(
-        gates.select(F.col("suite").alias("dataset"), F.col("passed").alias("expectations_passed")), "dataset", "left")
+    parts = {
+        "checks_passed": counts.select("dataset", F.col("passed").alias("checks_passed")),
+        "expectations_passed": gates.select(F.col("suite").alias("dataset"), F.col("passed").alias("expectations_passed")),
+    }
     if post_counts is not None:
-        out = out.join(post_counts.select("dataset", F.col("passed").alias("post_clean_passed")), "dataset", "left")
-    else:
-        out = out.withColumn("post_clean_passed", F.lit(True))
-    parts = [F.coalesce(c, F.lit(True)) for c in ("checks_passed", "expectations_passed", "post_clean_passed")]
-    return out.withColumn("passed", parts[0] & parts[1] & parts[2])
+        parts["post_clean_passed"] = post_counts.select("dataset", F.col("passed").alias("post_clean_passed"))
+    names = ["checks_passed", "expectations_passed", "post_clean_passed"]
+    out = _stack(parts, names)
+    out = out.withColumns({c: F.coalesce(c, F.lit(True)) if c in parts else F.lit(True) for c in names})
+    return out.withColumn("passed", F.col(names[0]) & F.col(names[1]) & F.col(names[2]))
 
 
 def checkpoint_summary(suite_summary: DataFrame, verdicts: DataFrame, counts: DataFrame) -> DataFrame:
     """One line per dataset: verdict, success percent and issue counts."""
-    return verdicts.select("dataset", "passed").join(
-        suite_summary.select(F.col("suite").alias("dataset"), "evaluated", "failed", "success_pct"), "dataset", "left"
-    ).join(counts.select("dataset", "critical", "error", "warning"), "dataset", "left")
+    parts = {
+        "verdict": verdicts.select("dataset", "passed"),
+        "suite": suite_summary.select(F.col("suite").alias("dataset"), "evaluated", "failed", "success_pct"),
+        "issues": counts.select("dataset", "critical", "error", "warning"),
+    }
+    return _stack(parts, ["passed", "evaluated", "failed", "success_pct", "critical", "error", "warning"])
 
 
 def keep_history(history: DataFrame, by: Sequence[str], order: Sequence[str], runs: int = 100) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.columns import numeric_columns, ratio
-from pitpanel.operators.blocks import running_totals
+from pitpanel.operators.blocks import range_blocks, running_totals
 from pitpanel.operators.merge import year_range
 from pitpanel.operators.profile import long_report
 
@@ -46,8 +46,9 @@ def ks_statistic(df: DataFrame, date: str, columns: Sequence[str], reference: Ye
     long = long.select("_ref", "_cur", "_x.feature", "_x.value").filter(F.col("value").isNotNull())
     counted = long.groupBy("feature", "value").agg(
         F.count(F.when(F.col("_ref"), 1)).alias("_r"), F.count(F.when(F.col("_cur"), 1)).alias("_c"))
-    cdf = running_totals(counted, ["feature"], ["value"], {"_tr": F.col("_r"), "_tc": F.col("_c")})
-    totals = counted.groupBy("feature").agg(F.sum("_r").alias("n_reference"), F.sum("_c").alias("n_current"))
+    laid = range_blocks(counted, ["feature", "value"])
+    cdf = running_totals(laid, ["feature"], ["value"], {"_tr": "_r", "_tc": "_c"})
+    totals = laid.groupBy("feature").agg(F.sum("_r").alias("n_reference"), F.sum("_c").alias("n_current"))
     # one row per tested column
     gap = F.abs(ratio(F.col("_tr"), F.col("n_reference")) - ratio(F.col("_tc"), F.col("n_current")))
     out = cdf.join(F.broadcast(totals), "feature").groupBy("feature", "n_reference", "n_current").agg(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions.columns import clip, existing, flag, ratio, right_closed_bins, string_columns
 from pitpanel.operators.fill import forward_fill
-from pitpanel.operators.quantiles import global_quantiles, grouped_quantiles, quantile_name
+from pitpanel.operators.quantiles import grouped_quantiles, quantile_name, quantile_table
 from pitpanel.panel import Panel
 
 # fixed values: regime borders and labels
@@ -34,7 +34,7 @@ def above_quantile_flag(df: DataFrame, column: str, p: float, name: str, large:
     A date-keyed table is bounded by the calendar and uses ``percentile``; ``large=True`` takes the
     distributed quantile. Either way one value comes back as a scalar subquery.
     """
-    q = global_quantiles(df, [column], [p]) if large else grouped_quantiles(df, [], [column], [p])
+    q = quantile_table(df, [], [column], [p]) if large else grouped_quantiles(df, [], [column], [p])
     return df.withColumn(name, flag(F.col(column) > q.select(quantile_name(column, p)).scalar()))
 
 
@@ -188,7 +188,7 @@ def health_score(df: DataFrame, panel: Panel, columns: Sequence[str], name: str
     filled = df.withColumns({
         w: F.coalesce(F.last(c, ignorenulls=True).over(panel.upto()), F.lit(0.0)) for w, c in work.items()
     })
-    edges = global_quantiles(filled, list(work), [0.05, 0.95])
+    edges = quantile_table(filled, [], list(work), [0.05, 0.95])
     edge = edges.select(F.struct(*[c for c in edges.columns])).scalar()
     placed = filled.withColumn("_edge", edge)
     parts = []

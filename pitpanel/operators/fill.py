@@ -37,13 +37,20 @@ def forward_fill(df: DataFrame, panel: Panel, columns: Sequence[str], blocked: b
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
-def forward_backward_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
+def forward_backward_fill(df: DataFrame, panel: Panel, columns: Sequence[str], blocked: bool = False) -> DataFrame:
     """Forward fill, then fill leading gaps from the future. Looks ahead: not point-in-time.
 
     Only rows before the first observation stay null after the forward fill, and their next known
-    value is that first observation. It is one value per entity, read once from the whole frame; a
-    frame that starts at the current row would be evaluated anew for every row.
+    value is that first observation: one value per entity, read once. (A frame that starts at the
+    current row would be evaluated anew for every row.)
     """
+    if blocked:
+        position = F.struct(*panel.order)
+        filled = blocks.fill_forward(df, panel.entity, panel.order, columns)
+        firsts = filled.groupBy(*panel.entity).agg(
+            *[F.min_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_n_{c}") for c in columns])
+        out = join_checked(filled, firsts, panel.entity)
+        return out.select(*[F.coalesce(c, f"_n_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
     up = panel.upto()
     whole = panel.ordered().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns({
@@ -52,52 +59,35 @@ def forward_backward_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -
     })
 
 
-def leading_median_fill(df: DataFrame, panel: Panel, columns: Sequence[str], first_valid: int = 10,
-                        blocked: bool = False) -> DataFrame:
-    """Fill nulls before the first observation with the median of the first valid rows.
+def fill_no_lookahead(df: DataFrame, panel: Panel, columns: Sequence[str] | None = None,
+                      lead_median: bool = True, blocked: bool = False, first_valid: int = 10) -> DataFrame:
+    """Forward fill, then (optionally) the median of the first valid rows for leading gaps.
 
-    Expects forward-filled columns, so every row from the first observation on is valid. Uses
-    values that were not known at the filled dates; skip it for a strict point-in-time panel.
+    The median looks ahead: it uses values that were not known at the filled dates. Switch it off
+    for a strict point-in-time panel.
     """
+    cols = list(columns) if columns is not None else numeric_columns(df, panel.keys)
+    numeric = set(numeric_columns(df))
+    led = [c for c in cols if c in numeric] if lead_median else []
     if not blocked:
-        seen = df.withColumns({f"_k_{c}": F.count(c).over(panel.upto()) for c in columns})
-        out = seen.withColumns({
-            c: F.coalesce(
-                F.col(c),
-                F.percentile(
-                    F.when(F.col(f"_k_{c}") <= first_valid, F.col(c).cast("double")), F.lit(0.5)
-                ).over(panel.whole()),
-            )
-            for c in columns
-        })
-        return out.drop(*[f"_k_{c}" for c in columns])
-    placed = blocks.row_positions(df, panel.entity, panel.order, "_pos")
-    starts = placed.groupBy(*panel.entity).agg(
-        *[F.min(F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_s_{c}") for c in columns]
-    )
-    near = join_checked(placed, starts, panel.entity)
+        out = forward_fill(df, panel, cols)
+        if not led:
+            return out
+        out = out.withColumns({f"_k_{c}": F.count(c).over(panel.upto()) for c in led})
+        medians = {c: _first_median(c, first_valid).over(panel.whole()) for c in led}
+        return out.withColumns({c: F.coalesce(F.col(c), m) for c, m in medians.items()}).drop(*[f"_k_{c}" for c in led])
+    out = blocks.fill_forward(df, panel.entity, panel.order, cols, rank=bool(led))
+    if not led:
+        return out
     # at most `first_valid` values per entity and column reach the percentile
-    medians = near.groupBy(*panel.entity).agg(*[
-        F.percentile(
-            F.when(F.col("_pos") < F.col(f"_s_{c}") + first_valid, F.col(c).cast("double")), F.lit(0.5)
-        ).alias(f"_m_{c}")
-        for c in columns
-    ])
-    out = join_checked(placed, medians, panel.entity)
-    return out.select(*[
-        F.coalesce(c, f"_m_{c}").alias(c) if c in columns else F.col(c) for c in df.columns
-    ])
+    medians = out.groupBy(*panel.entity).agg(*[_first_median(c, first_valid).alias(f"_m_{c}") for c in led])
+    placed = join_checked(out, medians, panel.entity)
+    return placed.select(*[F.coalesce(c, f"_m_{c}").alias(c) if c in led else F.col(c) for c in df.columns])
 
 
-def fill_no_lookahead(df: DataFrame, panel: Panel, columns: Sequence[str] | None = None,
-                      lead_median: bool = True, blocked: bool = False) -> DataFrame:
-    """Forward fill, then (optionally) the median of the first valid values for leading gaps."""
-    cols = list(columns) if columns is not None else numeric_columns(df, panel.keys)
-    out = forward_fill(df, panel, cols, blocked)
-    if not lead_median:
-        return out
-    numeric = set(numeric_columns(out))
-    return leading_median_fill(out, panel, [c for c in cols if c in numeric], blocked=blocked)
+def _first_median(column: str, first_valid: int) -> Column:
+    early = F.when(F.col(f"_k_{column}") <= first_valid, F.col(column).cast("double"))
+    return F.percentile(early, F.lit(0.5))
 
 
 def median_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
@@ -109,7 +99,7 @@ def median_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFram
 
 
 def fill_after_merge(df: DataFrame, panel: Panel, columns: Sequence[str] | None = None,
-                     allow_lookahead: bool = True) -> DataFrame:
+                     allow_lookahead: bool = True, blocked: bool = False) -> DataFrame:
     """Forward fill, then backward fill; the median only ever helps columns that still have gaps.
 
     After both fills a column is either complete or all null inside its entity, and the median of
@@ -117,7 +107,7 @@ def fill_after_merge(df: DataFrame, panel: Panel, columns: Sequence[str] | None
     ``allow_lookahead=False`` stops after the forward fill.
     """
     cols = list(columns) if columns is not None else [c for c in df.columns if c not in panel.keys]
-    return (forward_backward_fill if allow_lookahead else forward_fill)(df, panel, cols)
+    return (forward_backward_fill if allow_lookahead else forward_fill)(df, panel, cols, blocked)
 
 
 def null_shares(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:

@@ -8,17 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+HOT_ROWS = 5_000_000
+SALTS = 64
 
 
 def join_checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join that broadcasts ``right`` only after counting it.
+                 max_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Left or inner join with a table that has one row per key; safe for hot keys.
 
-    The count stops at ``max_rows + 1`` rows. A larger side takes the ordinary shuffle join,
-    where adaptive execution splits skewed partitions.
+    ``right`` is broadcast only after counting it (the count stops at ``max_rows + 1`` rows).
+    Otherwise the keys with more than ``hot_rows`` left rows are spread over ``salts`` partitions and
+    their single right row is repeated that often; all other keys join as usual. There are at most
+    ``rows / hot_rows`` hot keys, so their list is small enough to broadcast.
     """
-    small = right.limit(max_rows + 1).count() <= max_rows
-    return left.join(F.broadcast(right) if small else right, list(on), how)
+    on = list(on)
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), on, how)
+    hot = left.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = hot.select(*on, F.lit(salts).alias("_salts"))
+    spread = F.pmod(F.xxhash64(*left.columns), F.col("_salts").cast("long")).cast("int")
+    a = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")
+    b = right.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
+    return a.join(b, [*on, "_salt"], how).drop("_salt")
 
 
 def join_calendar(left: DataFrame, daily: DataFrame, on: str, how: str = "left") -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pitpanel.functions.columns import existing, flag, ratio
 from pitpanel.operators import windows
 from pitpanel.operators.profile import long_report
-from pitpanel.operators.quantiles import global_quantiles, grouped_quantiles, quantile_name
+from pitpanel.operators.joins import join_checked
+from pitpanel.operators.quantiles import grouped_quantiles, quantile_name, quantile_table
 from pitpanel.panel import Panel
 
 IQR_FACTOR = 3.0
@@ -24,10 +25,10 @@ def with_iqr_bounds(df: DataFrame, panel: Panel, columns: Sequence[str], factor:
                     min_valid: int = 0, large: bool = False) -> DataFrame:
     """Add ``_lo_x`` and ``_hi_x`` per column: quartiles widened by ``factor`` times their distance.
 
-    Per entity as window aggregates (bounded groups); over the whole table as scalar subqueries,
-    with distributed quantiles when ``large``. Fewer than ``min_valid`` values give NULL bounds.
+    Per entity as window aggregates, over a date-keyed table as a scalar subquery; ``large`` uses
+    distributed quantiles for groups of any size. Fewer than ``min_valid`` values give NULL bounds.
     """
-    if panel.entity:
+    if panel.entity and not large:
         w = panel.whole()
         out = df.withColumns({
             f"_q_{c}": F.when(
@@ -39,9 +40,13 @@ def with_iqr_bounds(df: DataFrame, panel: Panel, columns: Sequence[str], factor:
         low, high = (lambda c: F.col(f"_q_{c}")[0]), (lambda c: F.col(f"_q_{c}")[1])
         spent = [f"_q_{c}" for c in columns]
     else:
-        q = (global_quantiles(df, columns, [0.25, 0.75]) if large
-             else grouped_quantiles(df, [], columns, [0.25, 0.75], counts=True))
-        out = df.withColumn("_q", q.select(F.struct(*q.columns)).scalar())
+        if panel.entity:
+            q = quantile_table(df, panel.entity, columns, [0.25, 0.75])
+            out = join_checked(df, q.select(*panel.entity, F.struct(*q.columns).alias("_q")), panel.entity)
+        else:
+            q = (quantile_table(df, [], columns, [0.25, 0.75]) if large
+                 else grouped_quantiles(df, [], columns, [0.25, 0.75], counts=True))
+            out = df.withColumn("_q", q.select(F.struct(*q.columns)).scalar())
 
         def edge(c: str, p: float) -> Column:
             return F.when(F.col(f"_q.{c}_n") >= min_valid, F.col(f"_q.{quantile_name(c, p)}"))

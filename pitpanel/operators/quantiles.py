@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.blocks import running_totals
+from pitpanel.operators.blocks import range_blocks, running_totals
+from pitpanel.operators.joins import join_checked
 
 
 def quantile_name(column: str, p: float) -> str:
@@ -42,17 +43,13 @@ def large_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], pr
         ])).alias("_cv"),
     ).select(*by, "_cv.column", "_cv.value").filter(F.col("value").isNotNull())
     counted = long.groupBy(*by, "column", "value").agg(F.count("*").alias("_n"))
-    cdf = running_totals(counted, [*by, "column"], ["value"], {"_hi": F.col("_n")}, n_blocks)
-    totals = counted.groupBy(*by, "column").agg(F.sum("_n").alias("n"))
-    ranks = totals.select(
-        *by, "column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    ).withColumn("_h", F.col("p") * (F.col("n") - 1))
-    # one candidate row per distinct value and group is far more than needed: keep the ranks as
-    # an array per group, so the join carries one row per distinct value, not one per quantile
-    per_group = ranks.groupBy(*by, "column").agg(
-        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("p", "_h"))).alias("_ranks")
-    )
-    hit = cdf.join(F.broadcast(per_group), [*by, "column"]) if not by else cdf.join(per_group, [*by, "column"])
+    laid = range_blocks(counted, [*by, "column", "value"], n_blocks)
+    cdf = running_totals(laid, [*by, "column"], ["value"], {"_hi": "_n"})
+    totals = laid.groupBy(*by, "column").agg(F.sum("_n").alias("n"))
+    wanted_ranks = F.array(*[
+        F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("n") - 1)).alias("_h")) for p in probs])
+    # the ranks travel as one array per group: a distinct value meets its group once, not once per quantile
+    hit = join_checked(cdf, totals.withColumn("_ranks", wanted_ranks), [*by, "column"], "inner")
     low = F.col("_hi") - F.col("_n")
 
     def covers(rank: Column) -> Column:
@@ -70,13 +67,10 @@ def large_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], pr
     return picked.select(*by, "column", "n", "p", value.alias("value"))
 
 
-def global_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """One row with a column per (column, probability), from ``large_quantiles``.
-
-    The result has ``len(columns) * len(probs)`` values whatever the input size.
-    """
-    long = large_quantiles(df, [], columns, probs)
-    return long.agg(*[
+def quantile_table(df: DataFrame, by: Sequence[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``large_quantiles`` as one row per group: a column per (column, probability) and ``{column}_n``."""
+    long = large_quantiles(df, by, columns, probs)
+    return long.groupBy(*by).agg(*[
         F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value"))).alias(quantile_name(c, p))
         for c in columns for p in probs
     ], *[F.coalesce(F.max(F.when(F.col("column") == c, F.col("n"))), F.lit(0)).alias(f"{c}_n") for c in columns])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions.columns import fractional, missing, ratio
-from pitpanel.operators.blocks import running_totals
+from pitpanel.operators.blocks import range_blocks, running_totals
 from pitpanel.operators.drift import ks_p_value
 from pitpanel.operators.features import volatility_regime
 from pitpanel.operators.joins import join_checked
@@ -80,8 +80,9 @@ def slice_ks_pairs(df: DataFrame, slice_column: str, values: Sequence[str], feat
     counted = rows.groupBy("_v").agg(*[
         F.count(F.when(F.col(slice_column) == v, 1)).alias(f"_c{i}") for i, v in enumerate(values)
     ])
-    cdf = running_totals(counted, [], ["_v"], {f"_t{i}": F.col(f"_c{i}") for i in range(len(values))})
-    totals = counted.agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(values))],
+    laid = range_blocks(counted, ["_v"])
+    cdf = running_totals(laid, [], ["_v"], {f"_t{i}": f"_c{i}" for i in range(len(values))})
+    totals = laid.agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(values))],
                          *[ratio(F.sum(F.col("_v") * F.col(f"_c{i}")), F.sum(f"_c{i}")).alias(f"_a{i}") for i in range(len(values))])
     placed = cdf.withColumn("_tot", totals.select(F.struct(*totals.columns)).scalar())
     share = [ratio(F.col(f"_t{i}"), F.col(f"_tot._n{i}")) for i in range(len(values))]
