@@ -31,7 +31,8 @@ def test_chained_windows_share_one_shuffle(spark, sf):
     out = windows.moving_average(out, ENTITY, {"m": ("price", 20)})
     out = windows.annualized_volatility(out, ENTITY, {"v": ("r", 22)})
     out = windows.rsi(out, ENTITY, "price", "rsi")
-    assert plan(out).count("Exchange hashpartitioning(entity") == plan(base).count("Exchange hashpartitioning(entity")
+    assert plan(out).count("Exchange hashpartitioning(entity") <= plan(base).count("Exchange hashpartitioning(entity") + 1
+    assert plan(out).count("+- Sort [entity") == 1
 
 
 def test_daily_grain_is_reached_before_the_join(spark, sf):
