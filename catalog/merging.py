@@ -10,7 +10,7 @@ from catalog.views import (DATED, ENTITY, macro, market, prices, raw_prices, rea
                            statements)
 from pitpanel import Panel
 from pitpanel.operators import dedupe, fill, hygiene, merge, profile, quantiles, windows
-from pitpanel.plans.hygiene import hygiene_pipeline
+from pitpanel.plans.repair import repair_merged
 
 q = REGISTRY.add
 
@@ -362,7 +362,7 @@ def _(spark, sf):
 HYG_W = "OVER (PARTITION BY entity)"
 
 
-@q("hygiene_pipeline", f"""
+@q("hygiene_sequence", f"""
 WITH a AS (SELECT s.entity, s.dt, s._ord, CASE WHEN abs(s.price) = 'Infinity'::DOUBLE THEN NULL ELSE s.price END AS price, CAST(volume AS DOUBLE) AS volume, (low - 1500) * 10 AS price_pct, m.gdp FROM (
       SELECT *, 0 AS _ord FROM spiked UNION ALL SELECT *, 1 AS _ord FROM spiked WHERE day(dt) = 1) s LEFT JOIN macro m ON s.dt = m.dt),
 w AS (SELECT entity, dt, _ord, """ + ", ".join(f"""CASE WHEN count({c}) {HYG_W} > 10 AND {c} < quantile_cont({c}, 0.001) {HYG_W} THEN quantile_cont({c}, 0.001) {HYG_W}
@@ -375,5 +375,5 @@ def _(spark, sf):
         "price_pct": (F.col("low") - 1500) * 10, "fixed": F.lit(1.0), "price_dup": F.col("low"), "volume_text": F.col("volume").cast("string")})
     s = s.withColumn("_ord", F.lit(0)).unionByName(s.filter(F.day("dt") == 1).withColumn("_ord", F.lit(1)))
     merged = merge.add_context(s.drop("high", "low", "grp"), macro(spark, sf).select("dt", F.col("gdp").alias("gdp_macro")), "dt")
-    out = hygiene_pipeline(merged, Panel(("entity",), "dt", ("_ord",)), cut_lineage=True)
+    out = repair_merged(merged, Panel(("entity",), "dt", ("_ord",)), cut_lineage=True)
     return show(out, "entity", "dt", price=-1, volume=-1, price_pct=-1, gdp=-1, volume_text=-1)

@@ -1,11 +1,12 @@
-"""Join helper with a measured broadcast decision."""
+"""Joins whose broadcast side is measured or bounded."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 HOT_ROWS = 5_000_000
@@ -33,10 +34,19 @@ def join_checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     return a.join(b, [*on, "_salt"], how).drop("_salt")
 
 
+def one_row_per_day(daily: DataFrame, on: str) -> DataFrame:
+    """``daily`` itself, failing at run time if a day occurs twice: its size is then bounded by the calendar."""
+    if not isinstance(daily.schema[on].dataType, T.DateType):
+        raise ValueError(f"{on} must be a date")
+    rows = F.count(F.lit(1)).over(Window.partitionBy(on))
+    repeated = F.raise_error(F.lit(f"a day occurs more than once in {on}")).cast("boolean")
+    return daily.withColumn("_rows", rows).filter(F.when(F.col("_rows") == 1, True).otherwise(repeated)).drop("_rows")
+
+
 def join_calendar(left: DataFrame, daily: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Join with a table that has one row per calendar day.
 
-    Its size is bounded by the calendar (36,525 rows a century), so a broadcast is safe whatever
-    the size of ``left``.
+    Its size is bounded by the calendar (36,525 rows a century) and that bound is enforced, so a
+    broadcast is safe whatever the size of ``left``.
     """
-    return left.join(F.broadcast(daily), on, how)
+    return left.join(F.broadcast(one_row_per_day(daily, on)), on, how)

@@ -12,7 +12,7 @@ from pitpanel.functions.columns import existing, ratio
 from pitpanel.operators import features, fill, merge, outliers, windows
 from pitpanel.panel import Panel
 from pitpanel.plans import clean
-from pitpanel.plans.hygiene import hygiene_pipeline
+from pitpanel.plans.repair import repair_merged
 from pitpanel.session import stable
 
 # fixed values: row parameters of the feature catalogue
@@ -172,7 +172,7 @@ def finished_panel(prices: DataFrame, statements: DataFrame, context: DataFrame,
     wide = entity_panel(prices, statements, context, panel, e, **options)
     if cut_lineage:
         wide = stable(wide)
-    repaired = hygiene_pipeline(wide, panel, keep_text, cut_lineage=cut_lineage)
+    repaired = repair_merged(wide, panel, keep_text, cut_lineage=cut_lineage)
     p = e.price
     return audit_flags(repaired, panel, [f"{p}_return_1d", f"{p}_return_22d", f"{p}_volatility_22d", "profit_margin", "roe", "roa"],
                        [p, e.statement.revenue])

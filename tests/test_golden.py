@@ -210,6 +210,16 @@ def test_salted_join_equals_plain_join(spark):
         assert sorted(map(tuple, salted.select("k", "id", "v").collect()), key=str) == sorted(map(tuple, plain.select("k", "id", "v").collect()), key=str)
 
 
+def test_calendar_join_refuses_repeated_days(spark):
+    left = series(spark, [1.0, 2.0])
+    twice = series(spark, [5.0], name="y").unionByName(series(spark, [6.0], name="y"))
+    assert joins.join_calendar(left, series(spark, [5.0], name="y"), "dt").count() == 2
+    with pytest.raises(Exception, match="more than once"):
+        joins.join_calendar(left, twice, "dt").collect()
+    with pytest.raises(ValueError):
+        joins.join_calendar(left, series(spark, [5.0]).withColumn("dt", F.lit("x")), "dt")
+
+
 def test_asof_keeps_statement_dated_on_a_missing_day(spark):
     left = spark.createDataFrame([("A", d, 1.0) for d in (dt.date(2020, 1, 1), dt.date(2020, 1, 6))], "entity string, dt date, p double")
     right = spark.createDataFrame([("A", dt.date(2020, 1, 4), 7.0)], "entity string, dt date, v double")
