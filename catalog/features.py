@@ -299,10 +299,31 @@ def _(spark, sf):
     return show(out, "entity", "dt", **{n: -1 for n in ENTITY_X})
 
 
-@q("stress_index_pca")
+STRESS = ["vix", "ted", "ffr", "unemp"]
+N4 = range(4)
+
+
+def _square(i: int, k: int) -> str:
+    return "(" + " + ".join(f"c{i}{m} * c{m}{k}" for m in N4) + ")"
+
+
+# squaring the correlation matrix over and over leaves the outer product of its first eigenvector;
+# the column of the leading series then has the wanted sign
+PCA_SQL = f"""
+WITH RECURSIVE j AS (SELECT macro.dt, vix, ted, ffr, unemp FROM macro LEFT JOIN market ON macro.dt = market.dt),
+f AS (SELECT dt, {", ".join(f"coalesce(last_value({c} IGNORE NULLS) OVER (ORDER BY dt ROWS UNBOUNDED PRECEDING), 0) AS x{i}" for i, c in enumerate(STRESS))} FROM j),
+m AS (SELECT {", ".join(f"avg(x{i}) AS a{i}, stddev_samp(x{i}) AS s{i}" for i in N4)} FROM f),
+z AS (SELECT dt, {", ".join(f"(x{i} - a{i}) / s{i} AS z{i}" for i in N4)} FROM f, m),
+r AS (SELECT 0 AS n, {", ".join(f"corr(z{i}, z{k}) AS c{i}{k}" for i in N4 for k in N4)} FROM z
+      UNION ALL SELECT n + 1, {", ".join(f"{_square(i, k)} / ({' + '.join(_square(m, m) for m in N4)})" for i in N4 for k in N4)} FROM r WHERE n < 40),
+v AS (SELECT {", ".join(f"c{i}0 / sqrt({' + '.join(f'c{m}0 * c{m}0' for m in N4)}) AS v{i}" for i in N4)} FROM r WHERE n = 40)
+SELECT dt, round({" + ".join(f"z{i} * v{i}" for i in N4)}, 4) AS stress_index FROM z, v"""
+
+
+@q("stress_index_pca", PCA_SQL, "macro", "market")
 def _(spark, sf):
     m = join_calendar(macro(spark, sf), market(spark, sf).select("dt", "vix"), "dt")
-    out = features.stress_index(m, DATED, ["vix", "ted", "ffr", "unemp"], lead="vix")
+    out = features.stress_index(m, DATED, STRESS, lead="vix")
     return show(out, "dt", stress_index=4)
 
 

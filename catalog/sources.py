@@ -57,11 +57,11 @@ def _(spark, sf):
 
 
 @q("entity_tag_union", """
-SELECT p.entity, p.dt, p.price, coalesce(p.price, p.high) AS adj_price, s_name AS entity_name, n_name AS place FROM (
+SELECT p.entity, p.dt, p.price, p.high AS adj_price, s_name AS entity_name, n_name AS place FROM (
   SELECT entity, dt, price, high FROM prices WHERE grp = 'ASIA' UNION ALL SELECT entity, dt, price, high FROM prices WHERE grp <> 'ASIA') p
 LEFT JOIN supplier ON s_suppkey = p.entity LEFT JOIN nation ON s_nationkey = n_nationkey""", "prices")
 def _(spark, sf):
-    p = prices(spark, sf).withColumn("adj_price", F.col("price"))
+    p = prices(spark, sf)
     parts = merge.union_all([p.filter(F.col("grp") == "ASIA"), p.filter(F.col("grp") != "ASIA")])
     nation = F.broadcast(read_table(spark, sf, "nation"))  # 25 rows at any scale
     dim = read_table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(

@@ -29,6 +29,19 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     return df.groupBy(*by).agg(*aggs)
 
 
+def approximate_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], probs: Sequence[float],
+                          accuracy: int = 10_000) -> DataFrame:
+    """Like ``grouped_quantiles`` from mergeable sketches of fixed size: one pass for groups of any size.
+
+    The rank of each result is off by at most ``rows / accuracy``.
+    """
+    aggs: list[Column] = []
+    for c in columns:
+        q = F.percentile_approx(F.col(c).cast("double"), [float(p) for p in probs], accuracy)
+        aggs += [q[i].alias(quantile_name(c, p)) for i, p in enumerate(probs)]
+    return df.groupBy(*by).agg(*aggs)
+
+
 def large_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], probs: Sequence[float],
                     n_blocks: int | None = None) -> DataFrame:
     """Long result ``by..., column, n, p, value`` for groups of any size.

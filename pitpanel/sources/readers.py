@@ -26,27 +26,39 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, dates:
     return nan_to_null(df.withColumns({c: F.try_to_timestamp(c, F.lit(date_format)).cast("date") for c in dates}))
 
 
-def number(*keys: Column) -> Column:
-    """First usable key as a double: empty strings and zeros are skipped like missing ones, text gives NULL.
+# fixed values: statement columns and the payload keys that may hold them, in order of preference
+INCOME_FIELDS = {
+    "Revenue": ["totalRevenue", "revenue"], "Net_Income": ["netIncome"], "Gross_Profit": ["grossProfit"],
+    "Operating_Income": ["operatingIncome"], "EBITDA": ["ebitda"], "EPS": ["reportedEPS", "eps"],
+}
+BALANCE_FIELDS = {
+    "Total_Assets": ["totalAssets"], "Total_Liabilities": ["totalLiabilities"],
+    "Total_Equity": ["totalShareholderEquity", "totalEquity"], "Current_Assets": ["totalCurrentAssets", "currentAssets"],
+    "Current_Liabilities": ["totalCurrentLiabilities", "currentLiabilities"], "Long_Term_Debt": ["longTermDebt"],
+    "Short_Term_Debt": ["shortTermDebt"], "Cash": ["cashAndCashEquivalentsAtCarryingValue", "cashAndCashEquivalents"],
+}
 
-    A zero is returned only when no later key has a value.
-    """
-    filled = [F.when(~k.isin("", "0"), k) for k in keys]
-    return F.coalesce(*filled, *keys).try_cast("double")
+
+def first_key(*keys: Column) -> Column:
+    """The first payload value that is neither missing nor empty."""
+    return F.coalesce(*[F.nullif(k, F.lit("")) for k in keys])
 
 
 def statement_rows(payloads: DataFrame, entity: str, payload: str, fields: Mapping[str, Sequence[str]],
                    date_keys: Sequence[str] = ("fiscalDateEnding", "date"),
                    list_key: str = "quarterlyReports") -> DataFrame:
-    """One row per report of a JSON payload; ``fields`` maps a column to its alternative JSON keys."""
+    """One row per report of a JSON payload; ``fields`` maps a column to its alternative JSON keys.
+
+    Values that are no number and dates that do not parse become NULL.
+    """
     keys = [*date_keys, *[k for ks in fields.values() for k in ks]]
     report = T.StructType([T.StructField(k, T.StringType()) for k in dict.fromkeys(keys)])
     schema = T.StructType([T.StructField(list_key, T.ArrayType(report))])
     parsed = payloads.select(entity, F.explode(F.from_json(payload, schema)[list_key]).alias("r"))
-    date = F.coalesce(*[F.nullif(F.col(f"r.{k}"), F.lit("")) for k in date_keys])
+    date = first_key(*[F.col(f"r.{k}") for k in date_keys])
     return parsed.select(
-        F.col(entity), F.to_date(date).alias("dt"),
-        *[number(*[F.col(f"r.{k}") for k in ks]).alias(name) for name, ks in fields.items()],
+        F.col(entity), F.to_date(F.try_to_timestamp(date)).alias("dt"),
+        *[first_key(*[F.col(f"r.{k}") for k in ks]).try_cast("double").alias(name) for name, ks in fields.items()],
     )
 
 
@@ -66,15 +78,9 @@ def tag_entities(df: DataFrame, key: str, dimension: DataFrame, columns: Sequenc
                  fallbacks: Mapping[str, str] = {}) -> DataFrame:
     """Project price columns and attach the entity attributes of a dimension table.
 
-    ``fallbacks`` names a replacement for columns the source may lack or leave empty.
+    ``fallbacks`` names the column to use where the source lacks one (decided by schema, not by row).
     """
-    picked = []
-    for c in columns:
-        alt = fallbacks.get(c)
-        if c in df.columns:
-            picked.append((F.coalesce(c, alt) if alt else F.col(c)).alias(c))
-        elif alt:
-            picked.append(F.col(alt).alias(c))
+    picked = [F.col(c if c in df.columns else fallbacks[c]).alias(c) for c in columns if c in df.columns or c in fallbacks]
     return df.select(key, *picked).join(dimension, key, "left")
 
 

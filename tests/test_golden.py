@@ -151,6 +151,8 @@ def test_large_quantiles_equal_pandas(spark):
         s = pd.Series([v for i, v in enumerate(values) if (k == "h") == bool(i % 3)])
         for p in (0.0, 0.05, 0.5, 0.999, 1.0):
             assert got[k, p] == pytest.approx(s.quantile(p))
+    rough = {r["k"]: r["v_q5"] for r in quantiles.approximate_quantiles(df, ["k"], ["v"], [0.5]).collect()}
+    assert rough["h"] == pytest.approx(got["h", 0.5], abs=3)
 
 
 def test_inf_constants_ratios_suffixes(spark):
@@ -228,11 +230,11 @@ def test_asof_keeps_statement_dated_on_a_missing_day(spark):
 
 
 def test_statement_payload_keys_and_text(spark):
-    text = '{"quarterlyReports":[{"fiscalDateEnding":"2020-03-31","totalRevenue":"None","revenue":"5"},{"date":"2020-06-30","totalRevenue":"","revenue":"7.5"},{"date":"2020-09-30","totalRevenue":"0"}]}'
+    text = '{"quarterlyReports":[{"fiscalDateEnding":"2020-03-31","totalRevenue":"None","revenue":"5"},{"date":"2020-06-30","totalRevenue":"","revenue":"7.5"},{"date":"2020-09-30","totalRevenue":"0"},{"date":"soon","revenue":"n/a"}]}'
     df = spark.createDataFrame([("A", text)], "entity string, payload string")
     out = readers.statement_rows(df, "entity", "payload", {"revenue": ["totalRevenue", "revenue"]})
-    assert column(out, "revenue") == [None, 7.5, 0.0]
-    assert [d.month for d in column(out, "dt")] == [3, 6, 9]
+    assert column(out, "revenue") == [None, None, 7.5, 0.0]
+    assert [d and d.month for d in column(out, "dt")] == [None, 3, 6, 9]
 
 
 def test_csv_round_trip_and_report(spark, tmp_path):
