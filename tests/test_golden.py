@@ -96,6 +96,12 @@ def test_fill_is_idempotent_and_blocks_change_nothing(spark):
             == column(fill.forward_backward_fill(df, ENTITY, ["x"]), "x", "entity", "dt"))
 
 
+def test_hot_key_spreads_over_blocks(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 7, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    sizes = blocks.range_blocks(df, ["k", "id"], 8).filter("k = 'hot'").groupBy(blocks.BLOCK).count().collect()
+    assert len(sizes) >= 4 and max(r["count"] for r in sizes) < 14_000 * 0.4
+
+
 def test_halo_windows_equal_plain_windows(spark):
     df = series(spark, [float((i * 13) % 17) for i in range(400)], "A").unionByName(series(spark, [2.0, 1.0], "B"))
 
