@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import bpe, langid, licenses
+from pitpanel.llm import bpe, langid, licenses, linededup, setjoin
 from pitpanel.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(docs.select("doc_id", "text")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -37,10 +42,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
+    "op2_line_dedup": op2_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_language_id": op6_language_id,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 SQL: dict[str, str] = {}
