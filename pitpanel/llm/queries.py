@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import bpe, langid, licenses, linededup, setjoin
+from pitpanel.llm import bpe, brown, decontaminate, langid, licenses, linededup, setjoin
 from pitpanel.llm.common import table
 
 
@@ -20,6 +20,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("benchmark_matches").alias("m"))
+    return found.groupBy("doc_id", F.col("m.item_id").alias("item_id")).agg(
+        F.count("*").alias("n_segments"), F.min("m.edits").alias("least_edits"), F.min("m.place").alias("first_place"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -42,6 +49,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -49,8 +60,10 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_line_dedup": op2_line_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_language_id": op6_language_id,
+    "op7_lm_scoring": op7_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 

@@ -51,7 +51,7 @@ def _word_hashes(text: str) -> np.ndarray:
     except KeyError:
         if len(_words) > 1_000_000:
             _words.clear()
-        for w in set(words) - _words.keys():
+        for w in {w for w in words if w not in _words}:
             _words[w] = xxhash.xxh3_64_intdigest(w) | 1 if w else 0
         out = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     return out[out > 0]
