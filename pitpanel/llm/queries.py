@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import bpe, brown, decontaminate, langid, licenses, linededup, setjoin
-from pitpanel.llm.common import table
+from pitpanel.llm import bpe, brown, crosspolytope, decontaminate, langid, lengths, licenses, linededup, setjoin, warc
+from pitpanel.llm.common import shared_folder, table
 
 
 def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +27,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.count("*").alias("n_segments"), F.min("m.edits").alias("least_edits"), F.min("m.place").alias("first_place"))
 
 
+def vocabulary() -> bpe.Vocabulary:
+    return bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary)
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary())
     return coded.select(
         "doc_id",
         F.floor(F.length("ids") / 4).alias("n_tokens"),
@@ -38,6 +41,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.identify(docs)
@@ -53,18 +61,31 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = bpe.Codec(spark, vocabulary())
+    docs = table(spark, sf_dir, "documents").select(codec.encode(F.col("text")).alias("ids"))
+    return lengths.histogram(docs, F.length("ids") / 4)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_line_dedup": op2_line_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_warc": op5_warc,
     "op6_language_id": op6_language_id,
     "op7_lm_scoring": op7_lm_scoring,
+    "op8_token_counts": op8_token_counts,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 SQL: dict[str, str] = {}
