@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.llm import bpe, brown, crosspolytope, decontaminate, langid, lengths, licenses, linededup, setjoin, warc
 from pitpanel.llm.common import shared_folder, table
+from pitpanel.llm.sql import SQL  # noqa: F401
 
 
 def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,5 +88,3 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
-
-SQL: dict[str, str] = {}
