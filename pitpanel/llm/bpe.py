@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pitpanel.llm.common import bounded_batches
 
 #: Entries of a worker's table of known pre-tokens; it is emptied when full.
-KNOWN = 400_000
+KNOWN = 600_000
 PIECE = 1 << 18
 
 
@@ -176,7 +176,7 @@ class Vocabulary:
             except KeyError:
                 if len(self._known) > KNOWN:
                     self._known.clear()
-                self._learn(set(tokens) - self._known.keys())
+                self._learn({t for t in tokens if t not in self._known})
                 out.append(b"".join(map(self._known.__getitem__, tokens)))
         return b"".join(out)
 
