@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pitpanel.operators.joins import join_same
 from pitpanel.session import shuffle_partitions, stable
 
 BLOCK = "_block"
@@ -35,7 +36,7 @@ def running_totals(
     totals: Mapping[str, str],
     n_blocks: int | None = None,
 ) -> DataFrame:
-    """Exact inclusive running sums per key: ``{output column: summed column}``.
+    """Exact inclusive running sums per key: ``{output column: summed column}``; null until the first value.
 
     Inside a block by a window, across blocks by the block sums before it (at most ``n_blocks``
     rows per key). A frame that already carries ``_block`` for this order is used as it is.
@@ -44,13 +45,17 @@ def running_totals(
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     sums = laid.groupBy(*keys, BLOCK).agg(*[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()])
     sums = sums.select(
-        *keys, BLOCK, *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in totals]
+        *keys, BLOCK, *[F.sum(f"_s_{n}").over(before).alias(f"_b_{n}") for n in totals]
     )
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = laid.withColumns({f"_w_{n}": F.sum(c).over(inside) for n, c in totals.items()})
-    out = out.join(sums, [*keys, BLOCK], "inner")
+    out = join_same(out, sums, [*keys, BLOCK])
     kept = [c for c in df.columns if c != BLOCK]
-    return out.select(*kept, *[(F.col(f"_w_{n}") + F.col(f"_b_{n}")).alias(n) for n in totals])
+    zero = F.lit(0)
+    return out.select(*kept, *[
+        F.when(F.coalesce(f"_w_{n}", f"_b_{n}").isNotNull(), F.coalesce(f"_w_{n}", zero) + F.coalesce(f"_b_{n}", zero)).alias(n)
+        for n in totals
+    ])
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "_pos",
@@ -84,7 +89,7 @@ def fill_forward(
         *keys, BLOCK, *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in columns]
     )
     out = laid.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in columns})
-    out = out.join(carry, [*keys, BLOCK], "inner")
+    out = join_same(out, carry, [*keys, BLOCK])
     filled = out.select(
         *[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) if c in columns else F.col(c) for c in df.columns], BLOCK)
     if not rank:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,18 +174,22 @@ def remediate(df: DataFrame, issues: DataFrame, panel: Panel) -> tuple[DataFrame
     """
     todo = {(r["check_name"], r["column"]) for r in
             issues.filter(F.col("auto_fixable") & F.col("check_name").isin(*FIXES)).select("check_name", "column").distinct().collect()}
-    out = df
-    if ("date column type", panel.date) in todo:
-        out = out.withColumn(panel.date, F.to_date(F.try_to_timestamp(panel.date)))
-    empty = [c for check, c in todo if check == "no null columns"]
-    out = out.drop(*empty)
-    infinite = [c for check, c in todo if check == "no inf values" and c in out.columns]
-    if infinite:
-        out = hygiene.inf_to_null(out, infinite)
-    if any(check == "no duplicate rows" for check, _ in todo):
-        out = dedupe.keep_first(out, panel.keys, panel.tie or [c for c in out.columns if c not in panel.keys])
-    fixed = F.col("auto_fixable") & F.col("check_name").isin(*FIXES)
-    return out, issues.withColumn("fix_applied", fixed)
+    out, done = df, set()
+    for issue in sorted(todo, key=lambda x: (FIXES.index(x[0]), x[1] or "")):
+        check, column = issue
+        if check == "date column type" and column == panel.date:
+            out = out.withColumn(column, F.to_date(F.try_to_timestamp(column)))
+        elif check == "no null columns" and column in out.columns and column not in panel.keys:
+            out = out.drop(column)
+        elif check == "no inf values" and column in out.columns:
+            out = hygiene.inf_to_null(out, [column])
+        elif check == "no duplicate rows":
+            out = dedupe.keep_first(out, panel.keys, panel.tie or [c for c in out.columns if c not in panel.keys])
+        else:
+            continue
+        done.add(issue)
+    ran = [(F.col("check_name") == check) & F.col("column").eqNullSafe(F.lit(column)) for check, column in sorted(done, key=str)]
+    return out, issues.withColumn("fix_applied", F.coalesce(F.col("auto_fixable") & reduce(or_, ran, F.lit(False)), F.lit(False)))
 
 
 def post_clean(df: DataFrame, dataset: str, keys: Sequence[str], error_pct: float = 2.0, warning_pct: float = 1.0,
@@ -256,8 +262,13 @@ def checkpoint_summary(suite_summary: DataFrame, verdicts: DataFrame, counts: Da
     return _stack(parts, ["passed", "evaluated", "failed", "success_pct", "critical", "error", "warning"])
 
 
-def keep_history(history: DataFrame, by: Sequence[str], order: Sequence[str], runs: int = 100) -> DataFrame:
-    """The latest ``runs`` entries per dataset. Spark applies the limit before the shuffle as well."""
+def append_history(history: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """All entries so far and those of a new run; nothing is dropped. A column that one side lacks is null there."""
+    return history.unionByName(snapshot, allowMissingColumns=True)
+
+
+def recent_runs(history: DataFrame, by: Sequence[str], order: Sequence[str], runs: int) -> DataFrame:
+    """A view of the latest ``runs`` entries per dataset. Spark applies the limit before the shuffle as well."""
     w = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
     return history.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= runs).drop("_rank")
 

@@ -37,6 +37,9 @@ def ks_statistic(df: DataFrame, date: str, columns: Sequence[str], reference: Ye
                  min_valid: int = 30, min_rows: int = 100) -> DataFrame:
     """Largest distance between the two empirical distributions of each feature, and its p-value.
 
+    A feature with fewer than ``min_valid`` values in a period, or a period of fewer than ``min_rows`` rows, gives a row
+    with ``tested`` false and no p-value.
+
     Only rows of either period are read; equal values are counted first; the running counts are
     distributed over blocks of the value range, so a single feature never lands in one task.
     """
@@ -56,8 +59,10 @@ def ks_statistic(df: DataFrame, date: str, columns: Sequence[str], reference: Ye
     rows = either.agg(
         F.least(F.count(F.when(_in(date, reference), 1)), F.count(F.when(_in(date, current), 1))).alias("n")).scalar()
     enough = (F.col("n_reference") >= min_valid) & (F.col("n_current") >= min_valid) & (rows >= min_rows)
-    return out.filter(enough).withColumn(
-        "p_value", ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
+    p = ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    out = names.join(out, "feature", "left").fillna(0, ["n_reference", "n_current"])  # a feature without values too
+    return out.withColumn("tested", F.coalesce(enough, F.lit(False))).withColumn("p_value", F.when(F.col("tested"), p))
 
 
 def drift_moments(df: DataFrame, date: str, columns: Sequence[str], reference: Years, current: Years) -> DataFrame:
@@ -79,13 +84,13 @@ def drift_moments(df: DataFrame, date: str, columns: Sequence[str], reference: Y
 
 
 def drift_report(df: DataFrame, date: str, columns: Sequence[str], reference: Years, current: Years) -> DataFrame:
-    """Test and moments per feature with the severity: HIGH, MEDIUM, LOW or STABLE."""
+    """Test and moments per feature with the severity: HIGH, MEDIUM, LOW, STABLE or UNTESTED (too few values)."""
     out = ks_statistic(df, date, columns, reference, current).join(
         drift_moments(df, date, columns, reference, current), "feature")
     p, moved = F.col("p_value"), F.abs("mean_change_pct") > 50
     return out.withColumn(
         "severity",
-        F.when((p < 0.01) & moved, "HIGH").when(p < 0.01, "MEDIUM").when(p < 0.05, "LOW").otherwise("STABLE"),
+        F.when(~F.col("tested"), "UNTESTED").when((p < 0.01) & moved, "HIGH").when(p < 0.01, "MEDIUM").when(p < 0.05, "LOW").otherwise("STABLE"),
     )
 
 

@@ -16,7 +16,6 @@ from pitpanel.functions.columns import existing
 # fixed values: severities, most severe first, and columns whose nulls are critical
 SEVERITIES = ("CRITICAL", "ERROR", "WARNING", "INFO")
 KEY_COLUMNS = ("Date", "Company", "GDP", "CPI", "VIX", "Stock_Price", "Revenue")
-STATISTICS = ("mean", "median", "std", "quantile")
 
 
 @dataclass(frozen=True)
@@ -29,6 +28,8 @@ class Expectation:
     columns: tuple[str, ...] = ()
     values: tuple = ()
     type_name: str | None = None
+    severity: str = "ERROR"
+    key_severity: str | None = None  # of the same test on a key column, if that differs
 
     @property
     def target(self) -> str:
@@ -36,11 +37,11 @@ class Expectation:
 
 
 def exist(*columns: str) -> list[Expectation]:
-    return [Expectation("column_to_exist", c) for c in columns]
+    return [Expectation("column_to_exist", c, severity="CRITICAL") for c in columns]
 
 
 def not_null(*columns: str, mostly: float = 1.0) -> list[Expectation]:
-    return [Expectation("values_to_not_be_null", c, mostly=mostly) for c in columns]
+    return [Expectation("values_to_not_be_null", c, mostly=mostly, key_severity="CRITICAL") for c in columns]
 
 
 def between(column: str, low, high, mostly: float = 1.0) -> list[Expectation]:
@@ -64,7 +65,7 @@ def in_set(column: str, values: Sequence, mostly: float = 1.0) -> list[Expectati
 
 
 def of_type(column: str, type_name: str) -> list[Expectation]:
-    return [Expectation("values_to_be_of_type", column, type_name=type_name)]
+    return [Expectation("values_to_be_of_type", column, type_name=type_name, severity="CRITICAL")]
 
 
 def rows_between(low, high) -> list[Expectation]:
@@ -92,18 +93,8 @@ def rows_equal_other() -> list[Expectation]:
 
 
 def severity_of(e: Expectation, key_columns: Sequence[str] = KEY_COLUMNS) -> str:
-    """The order of the tests matters: a mean that must lie *between* bounds is an ERROR."""
-    if "exist" in e.kind:
-        return "CRITICAL"
-    if "not_be_null" in e.kind:
-        return "CRITICAL" if e.column in key_columns else "ERROR"
-    if "type" in e.kind:
-        return "CRITICAL"
-    if "between" in e.kind or "in_set" in e.kind:
-        return "ERROR"
-    if any(s in e.kind for s in STATISTICS):
-        return "WARNING"
-    return "ERROR"
+    """Each expectation carries its severity; some weigh more on key columns."""
+    return e.key_severity if e.key_severity and e.column in key_columns else e.severity
 
 
 def _inside(value: Column, low, high) -> Column:

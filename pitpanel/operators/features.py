@@ -166,14 +166,16 @@ def stress_index(df: DataFrame, panel: Panel, columns: Sequence[str], lead: str,
     cols = existing(df, columns)
     if len(cols) < 3:
         return df
-    ready = forward_fill(df, panel, cols).fillna(0.0, cols)
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v").transform(ready)
+    filled = {c: f"_f_{c}" for c in cols}
+    ready = forward_fill(df.withColumns({f: F.col(c) for c, f in filled.items()}), panel, list(filled.values()))
+    ready = ready.fillna(0.0, list(filled.values()))
+    vectors = VectorAssembler(inputCols=list(filled.values()), outputCol="_v").transform(ready)
     scaled = StandardScaler(withMean=True, withStd=True, inputCol="_v", outputCol="_z").fit(vectors).transform(vectors)
     model = PCA(k=1, inputCol="_z", outputCol="_p").fit(scaled)
     loading = model.pc.toArray()[:, 0]
     sign = -1.0 if loading[cols.index(lead)] < 0 else 1.0
     out = model.transform(scaled).withColumn(name, vector_to_array("_p")[0] * F.lit(sign))
-    return df.join(out.select(*panel.keys, name), panel.keys, "left")
+    return out.drop("_v", "_z", "_p", *filled.values())
 
 
 def health_score(df: DataFrame, panel: Panel, columns: Sequence[str], name: str = "health_score") -> DataFrame:

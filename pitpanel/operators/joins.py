@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,9 +14,19 @@ HOT_ROWS = 5_000_000
 SALTS = 64
 
 
+def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join by columns of equal names in which a null equals a null; the key columns of ``left`` are kept.
+
+    ``how`` is inner or left.
+    """
+    keyed = right.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(keyed[f"_on_{c}"]) for c in on])
+    return left.join(keyed, same, how).drop(*[f"_on_{c}" for c in on])
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                  max_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Left or inner join with a table that has one row per key; safe for hot keys.
+    """Left or inner join with a table that has one row per key; safe for hot keys, and null keys equal each other.
 
     ``right`` is broadcast only after counting it (the count stops at ``max_rows + 1`` rows).
     Otherwise the keys with more than ``hot_rows`` left rows are spread over ``salts`` partitions and
@@ -24,14 +35,14 @@ def join_checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     """
     on = list(on)
     if right.limit(max_rows + 1).count() <= max_rows:
-        return left.join(F.broadcast(right), on, how)
+        return join_same(left, F.broadcast(right), on, how)
     hot = left.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
     hot = hot.select(*on, F.lit(salts).alias("_salts"))
     spread = F.pmod(F.xxhash64(*left.columns), F.col("_salts").cast("long")).cast("int")
-    a = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")
-    b = right.join(F.broadcast(hot), on, "left").withColumn(
+    a = join_same(left, F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts")
+    b = join_same(right, F.broadcast(hot), on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
-    return a.join(b, [*on, "_salt"], how).drop("_salt")
+    return join_same(a, b, [*on, "_salt"], how).drop("_salt")
 
 
 def one_row_per_day(daily: DataFrame, on: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pitpanel.functions.columns import existing, flag, ratio
 from pitpanel.operators import windows
 from pitpanel.operators.profile import long_report
-from pitpanel.operators.joins import join_checked
+from pitpanel.operators.joins import join_checked, join_same
 from pitpanel.operators.quantiles import grouped_quantiles, quantile_name, quantile_table
 from pitpanel.panel import Panel
 
@@ -93,7 +93,7 @@ def outlier_report(df: DataFrame, panel: Panel, columns: Sequence[str], factor:
     ])
     size_cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_n_{c}").alias("_n")) for c in columns])
     sizes = sizes.select(*panel.entity, F.explode(size_cells).alias("_s")).select(*panel.entity, "_s.*")
-    out = found.join(sizes, [*panel.entity, "column"])
+    out = join_same(found, sizes, [*panel.entity, "column"])
     return out.withColumn("pct", F.round(ratio(F.col("n_outliers"), F.col("_n"), 100.0), 2)).drop("_n")
 
 

@@ -71,7 +71,8 @@ def regime_slices(df: DataFrame, date: str, volatility: str, regime: str | None
 
 def slice_ks_pairs(df: DataFrame, slice_column: str, values: Sequence[str], feature: str, min_rows: int = 30,
                    alpha: float = 0.05) -> DataFrame:
-    """Two-sample KS test between every pair of slices; keeps the significant ones.
+    """Two-sample KS test between every pair of slices; keeps the significant ones, and pairs with fewer than
+    ``min_rows`` rows on a side with ``tested`` false and no p-value.
 
     Values are counted per slice, one distributed running total carries all slices side by side,
     and each pair is one aggregate expression: no row is ever paired with another.
@@ -92,9 +93,9 @@ def slice_ks_pairs(df: DataFrame, slice_column: str, values: Sequence[str], feat
         F.lit(feature).alias("feature"), F.lit(values[i]).alias("slice1"), F.lit(values[j]).alias("slice2"),
         F.col(f"_d{i}_{j}").alias("ks_statistic"), F.col(f"_tot._n{i}").alias("n1"), F.col(f"_tot._n{j}").alias("n2"),
         (F.col(f"_tot._a{i}") - F.col(f"_tot._a{j}")).alias("mean_diff")] for i, j in pairs])
-    out = out.filter((F.col("n1") >= min_rows) & (F.col("n2") >= min_rows))
-    out = out.withColumn("p_value", ks_p_value(F.col("ks_statistic"), F.col("n1"), F.col("n2")))
-    return out.filter(F.col("p_value") < alpha)
+    out = out.withColumn("tested", (F.col("n1") >= min_rows) & (F.col("n2") >= min_rows))
+    out = out.withColumn("p_value", F.when(F.col("tested"), ks_p_value(F.col("ks_statistic"), F.col("n1"), F.col("n2"))))
+    return out.filter(~F.col("tested") | (F.col("p_value") < alpha))
 
 
 def representation_bias(df: DataFrame, entity: str, limit: float = SHARE_LIMIT) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ def local_session(cores: str = "*", partitions: int = 8, name: str = "pitpanel")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -27,12 +30,16 @@ def local_session(cores: str = "*", partitions: int = 8, name: str = "pitpanel")
 def stable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint that survives lost executors.
 
-    Uses the folder of ``spark.checkpoint.dir``; a private one is made only when the session
-    has none, which is the case in local tests.
+    Uses the folder of ``spark.checkpoint.dir``. A session without one gets a private folder if it is local; on a
+    cluster, where executors do not share local folders, it is refused. Local sessions remove their files at the end.
     """
     context = df.sparkSession.sparkContext
     if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pitpanel-"))
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="pitpanel-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

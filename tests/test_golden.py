@@ -293,7 +293,8 @@ def test_checks_and_remediation(spark):
 
 def test_history_keeps_latest(spark):
     runs = spark.range(500).select(F.lit("d").alias("dataset"), F.col("id").alias("run"))
-    kept = checks.keep_history(runs, ["dataset"], ["run"], 100)
+    kept = checks.recent_runs(runs, ["dataset"], ["run"], 100)
+    assert checks.append_history(runs, runs.drop("run")).count() == 1000
     assert kept.count() == 100 and kept.agg(F.min("run")).first()[0] == 400
 
 

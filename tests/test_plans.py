@@ -43,4 +43,4 @@ def test_daily_grain_is_reached_before_the_join(spark, sf):
 
 def test_history_limit_is_applied_before_the_shuffle(spark):
     runs = spark.range(500).select((F.col("id") % 3).alias("dataset"), F.col("id").alias("run"))
-    assert "WindowGroupLimit" in plan(checks.keep_history(runs, ["dataset"], ["run"], 100))
+    assert "WindowGroupLimit" in plan(checks.recent_runs(runs, ["dataset"], ["run"], 100))
