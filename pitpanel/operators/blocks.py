@@ -105,26 +105,33 @@ def with_halo(
     keys: Sequence[str],
     order: Sequence[str],
     lookback: int,
-    build: Callable[[WindowSpec], Mapping[str, Column]],
+    build: Callable[[WindowSpec], Mapping[str, Column] | Sequence[Mapping[str, Column]]],
     slab_rows: int = SLAB_ROWS,
     n_blocks: int | None = None,
+    lookahead: int = 0,
 ) -> DataFrame:
-    """Row-count windows (lag, rolling) that look back at most ``lookback`` rows.
+    """Row-count windows (lag, lead, rolling) that look back at most ``lookback`` and ahead at most ``lookahead`` rows.
 
     Each key is cut into slabs of ``slab_rows`` consecutive rows; the last ``lookback`` rows of a
-    slab are copied to the next one, so every window sees the rows it needs and no group exceeds
-    ``slab_rows + lookback`` rows. ``build(window)`` returns the new columns; the ordered window
-    it gets has no frame, so it may set its own.
+    slab are copied to the next one, its first ``lookahead`` rows to the one before, so every window sees
+    the rows it needs and no group exceeds ``slab_rows + lookback + lookahead`` rows. ``build(window)``
+    returns the new columns, or several sets of columns that build on each other; the ordered window it
+    gets has no frame, so it may set its own.
     """
-    slab_rows = max(slab_rows, lookback)
+    slab_rows = max(slab_rows, lookback, lookahead)
     placed = row_positions(df, keys, order, "_pos", n_blocks)
     at = F.col("_pos") - 1
     slab = F.floor(at / slab_rows)
     own = F.struct(slab.alias("slab"), F.lit(False).alias("halo"))
     copy = F.struct((slab + 1).alias("slab"), F.lit(True).alias("halo"))
+    back = F.struct((slab - 1).alias("slab"), F.lit(True).alias("halo"))
     in_tail = (at % slab_rows) >= slab_rows - lookback
-    spread = placed.withColumn("_to", F.explode(F.when(in_tail, F.array(own, copy)).otherwise(F.array(own))))
+    in_head = ((at % slab_rows) < lookahead) & (slab > 0)
+    spread = placed.withColumn("_to", F.explode(F.array_compact(F.array(own, F.when(in_tail, copy), F.when(in_head, back)))))
     spread = spread.withColumns({"_slab": F.col("_to.slab"), "_halo": F.col("_to.halo")})
     window = Window.partitionBy(*keys, "_slab").orderBy("_pos")
-    out = spread.withColumns(dict(build(window)))
+    built = build(window)
+    out = spread
+    for columns in [built] if isinstance(built, Mapping) else built:
+        out = out.withColumns(dict(columns))
     return out.filter(~F.col("_halo")).drop("_to", "_slab", "_halo", "_pos")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pitpanel.functions.columns import missing, fractional, numeric_columns
 from pitpanel.operators import blocks
 from pitpanel.operators.joins import join_checked
+from pitpanel.operators.quantiles import quantile_name, quantile_table
 from pitpanel.panel import Panel
 
 
@@ -90,8 +91,17 @@ def _first_median(column: str, first_valid: int) -> Column:
     return F.percentile(early, F.lit(0.5))
 
 
-def median_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
-    """Replace remaining nulls by the entity median; an all-null column stays null."""
+def median_fill(df: DataFrame, panel: Panel, columns: Sequence[str], large: bool = False) -> DataFrame:
+    """Replace remaining nulls by the entity median; an all-null column stays null.
+
+    ``large`` takes the distributed quantiles, for entities of any size.
+    """
+    if large:
+        medians = quantile_table(df, panel.entity, columns, [0.5])
+        medians = medians.select(*panel.entity, *[F.col(quantile_name(c, 0.5)).alias(f"_m_{c}") for c in columns])
+        joined = join_checked(df, medians, panel.entity, "left") if panel.entity else df.withColumns(
+            {f"_m_{c}": medians.select(f"_m_{c}").scalar() for c in columns})
+        return joined.withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns}).drop(*[f"_m_{c}" for c in columns])
     w = panel.whole()
     return df.withColumns({
         c: F.coalesce(F.col(c), F.percentile(F.col(c).cast("double"), F.lit(0.5)).over(w)) for c in columns
@@ -121,7 +131,7 @@ def null_shares(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 
 
 def conditional_fill(df: DataFrame, panel: Panel, columns: Sequence[str], rule: str = "any",
-                     threshold: float = 5.0) -> DataFrame:
+                     threshold: float = 5.0, blocked: bool = False) -> DataFrame:
     """Forward/backward fill all columns only if the table needs it.
 
     ``rule='any'``: some column is more than ``threshold`` percent null; ``rule='mean'``: the
@@ -129,12 +139,13 @@ def conditional_fill(df: DataFrame, panel: Panel, columns: Sequence[str], rule:
     """
     shares = null_shares(df, columns)
     level = max(shares.values()) if rule == "any" else sum(shares.values()) / len(shares)
-    return forward_backward_fill(df, panel, columns) if level > threshold else df
+    return forward_backward_fill(df, panel, columns, blocked) if level > threshold else df
 
 
-def total_debt(df: DataFrame, panel: Panel, long_term: str, short_term: str, name: str = "total_debt") -> DataFrame:
+def total_debt(df: DataFrame, panel: Panel, long_term: str, short_term: str, name: str = "total_debt",
+               blocked: bool = False) -> DataFrame:
     """Forward-filled long-term debt plus short-term debt; a missing part counts as zero."""
-    out = forward_fill(df, panel, [long_term])
+    out = forward_fill(df, panel, [long_term], blocked)
     return out.withColumn(name, F.coalesce(long_term, F.lit(0.0)) + F.coalesce(short_term, F.lit(0.0)))
 
 
@@ -183,7 +194,7 @@ def _attribute(column: str, default: str | None, panel: Panel) -> Column:
     return F.when(none_known, other.cast("string")).otherwise(first)
 
 
-def asof_join(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence[str], blocked: bool = False) -> DataFrame:
     """For each left row the latest right value of each column at or before its date.
 
     Both sides are stacked and forward-filled in date order (right rows first on equal dates), so
@@ -194,12 +205,12 @@ def asof_join(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence
                     F.lit(1).alias("_side"))
     b = right.select(*panel.keys, *columns, F.lit(0).alias("_side"))
     both = a.unionByName(b, allowMissingColumns=True)
-    filled = forward_fill(both, Panel(panel.entity, panel.date, ("_side", *panel.tie)), columns)
+    filled = forward_fill(both, Panel(panel.entity, panel.date, ("_side", *panel.tie)), columns, blocked)
     return filled.filter("_side = 1").drop("_side")
 
 
-def exact_date_join_fill(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
+def exact_date_join_fill(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence[str], blocked: bool = False) -> DataFrame:
     """Older form: match equal dates only, then forward fill. A right record dated on a day the
     left side lacks is lost; prefer ``asof_join``."""
     out = left.join(right.select(*panel.keys, *columns), panel.keys, "left")
-    return forward_fill(out, panel, columns)
+    return forward_fill(out, panel, columns, blocked)

@@ -153,15 +153,18 @@ def rule_report(df: DataFrame, rules: Sequence[Rule] = BUSINESS_RULES) -> DataFr
 
 
 def jump_flags(df: DataFrame, panel: Panel, columns: Sequence[str], limit_pct: float = JUMP_LIMIT_PCT,
-               min_rows: int = MIN_ROWS, suffix: str = "_jump_flag") -> DataFrame:
+               min_rows: int = MIN_ROWS, suffix: str = "_jump_flag", blocked: bool = False) -> DataFrame:
     """1 where a column moves by more than ``limit_pct`` percent; entities with few rows stay 0."""
     cols = existing(df, columns)
     moves = {f"_j_{c}": (c, 1) for c in cols}
-    out = windows.pct_change(df, panel, moves)
-    enough = F.count(F.lit(1)).over(panel.whole()) >= min_rows
+    out = windows.pct_change(df, panel, moves, blocked=blocked)
+    if blocked and panel.entity:  # counts are combined before the shuffle
+        out = join_checked(out, df.groupBy(*panel.entity).agg(F.count("*").alias("_rows")), panel.entity)
+    else:
+        out = out.withColumn("_rows", F.count(F.lit(1)).over(panel.whole()) if not blocked else df.agg(F.count("*")).scalar())
     return out.withColumns({
-        c + suffix: flag(enough & (F.abs(F.col(f"_j_{c}")) > limit_pct)) for c in cols
-    }).drop(*moves)
+        c + suffix: flag((F.col("_rows") >= min_rows) & (F.abs(F.col(f"_j_{c}")) > limit_pct)) for c in cols
+    }).drop(*moves, "_rows")
 
 
 def jump_severity(flagged: DataFrame, panel: Panel, columns: Sequence[str], suffix: str = "_jump_flag",

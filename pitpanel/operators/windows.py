@@ -6,7 +6,7 @@ so Spark plans a chain of them over a single shuffle and sort.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from pitpanel.functions.columns import flag, ratio
 from pitpanel.operators import blocks
+from pitpanel.operators.joins import join_checked
 from pitpanel.panel import Panel
 
 TRADING_DAYS = 252
@@ -56,39 +57,62 @@ def _rolling(df, panel, specs, agg, min_rows, blocked) -> DataFrame:
     return df.withColumns(build(panel.ordered()))
 
 
-def pct_change(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], scale: float = 100.0) -> DataFrame:
+def _stages(df: DataFrame, panel: Panel, lookback: int, build: Callable[[WindowSpec], Sequence[Mapping[str, Column]]],
+            blocked: bool, lookahead: int = 0) -> DataFrame:
+    """Sets of window columns that build on each other; ``blocked`` cuts entities into slabs of bounded size."""
+    if blocked:
+        return blocks.with_halo(df, panel.entity, panel.order, lookback, build, lookahead=lookahead)
+    for columns in build(panel.ordered()):
+        df = df.withColumns(dict(columns))
+    return df
+
+
+def _trailing(w: WindowSpec, rows: int) -> WindowSpec:
+    return w.rowsBetween(-(rows - 1), 0)
+
+
+def pct_change(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], scale: float = 100.0,
+               blocked: bool = False) -> DataFrame:
     """Relative change over n rows of the padded column (gaps carry the last value first)."""
-    padded = {f"_pad_{c}": F.last(c, ignorenulls=True).over(panel.upto()) for c in {c for c, _ in specs.values()}}
-    w = panel.ordered()
-    out = df.withColumns(padded).withColumns({
-        name: (ratio(F.col(f"_pad_{c}"), F.lag(f"_pad_{c}", n).over(w)) - 1) * F.lit(scale)
-        for name, (c, n) in specs.items()
-    })
-    return out.drop(*padded)
+    pads = {c: f"_pad_{c}" for c in {c for c, _ in specs.values()}}
 
+    def changes(w: WindowSpec) -> list[dict[str, Column]]:
+        return [{
+            name: (ratio(F.col(pads[c]), F.lag(pads[c], n).over(w)) - 1) * F.lit(scale) for name, (c, n) in specs.items()
+        }]
 
-def annualized_volatility(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]]) -> DataFrame:
+    if blocked:
+        padded = blocks.fill_forward(df.withColumns({p: F.col(c) for c, p in pads.items()}), panel.entity, panel.order, list(pads.values()))
+    else:
+        padded = df.withColumns({p: F.last(c, ignorenulls=True).over(panel.upto()) for c, p in pads.items()})
+    return _stages(padded, panel, max(n for _, n in specs.values()), changes, blocked).drop(*pads.values())
+
+
+def annualized_volatility(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], blocked: bool = False) -> DataFrame:
     root = F.sqrt(F.lit(float(TRADING_DAYS)))
-    return df.withColumns({
-        name: F.stddev_samp(c).over(panel.trailing(n)) * root for name, (c, n) in specs.items()
-    })
+    return _stages(df, panel, max(n for _, n in specs.values()) - 1, lambda w: [{
+        name: F.stddev_samp(c).over(_trailing(w, n)) * root for name, (c, n) in specs.items()
+    }], blocked)
 
 
-def relative_to_average(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]]) -> DataFrame:
+def relative_to_average(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], blocked: bool = False) -> DataFrame:
     """Value divided by its own moving average."""
-    return df.withColumns({
-        name: ratio(F.col(c), F.avg(c).over(panel.trailing(n))) for name, (c, n) in specs.items()
-    })
+    return _stages(df, panel, max(n for _, n in specs.values()) - 1, lambda w: [{
+        name: ratio(F.col(c), F.avg(c).over(_trailing(w, n))) for name, (c, n) in specs.items()
+    }], blocked)
 
 
-def rsi(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 14) -> DataFrame:
+def rsi(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 14, blocked: bool = False) -> DataFrame:
     """Relative strength index. A step next to a gap counts as no move; no loss at all gives NULL."""
-    step = F.col(column) - F.lag(column).over(panel.ordered())
-    staged = df.withColumn("_step", step)
-    gain = F.avg(F.when(F.col("_step") > 0, F.col("_step")).otherwise(0.0)).over(panel.trailing(rows))
-    loss = F.avg(F.when(F.col("_step") < 0, -F.col("_step")).otherwise(0.0)).over(panel.trailing(rows))
-    strength = ratio(gain, loss)
-    return staged.withColumn(name, 100 - 100 / (1 + strength)).drop("_step")
+    step = F.col("_step")
+
+    def build(w: WindowSpec) -> list[dict[str, Column]]:
+        frame = _trailing(w, rows)
+        gain = F.avg(F.when(step > 0, step).otherwise(0.0)).over(frame)
+        loss = F.avg(F.when(step < 0, -step).otherwise(0.0)).over(frame)
+        return [{"_step": F.col(column) - F.lag(column).over(w)}, {name: 100 - 100 / (1 + ratio(gain, loss))}]
+
+    return _stages(df, panel, rows, build, blocked).drop("_step")
 
 
 def macd(df: DataFrame, panel: Panel, column: str, name: str = "macd", signal: str = "macd_signal",
@@ -117,30 +141,34 @@ def macd(df: DataFrame, panel: Panel, column: str, name: str = "macd", signal: s
     return out.withColumns({name: F.nanvl(name, null), signal: F.nanvl(signal, null)})
 
 
-def trend_flag(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 90) -> DataFrame:
+def trend_flag(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 90, blocked: bool = False) -> DataFrame:
     """1 if the last row of the frame is above its first row, else 0; NULL while nothing is known."""
-    w = panel.trailing(rows)
-    rising = (F.count(F.lit(1)).over(w) > 1) & (F.last(column).over(w) > F.first(column).over(w))
-    return df.withColumn(name, F.when(F.count(column).over(w) > 0, flag(rising)))
+    def build(w: WindowSpec) -> list[dict[str, Column]]:
+        frame = _trailing(w, rows)
+        rising = (F.count(F.lit(1)).over(frame) > 1) & (F.last(column).over(frame) > F.first(column).over(frame))
+        return [{name: F.when(F.count(column).over(frame) > 0, flag(rising))}]
+
+    return _stages(df, panel, rows - 1, build, blocked)
 
 
 def base_index(df: DataFrame, panel: Panel, column: str, name: str, base: float = 100.0) -> DataFrame:
-    """The column relative to the first row of its entity."""
-    return df.withColumn(name, ratio(F.col(column), F.first(column).over(panel.upto())) * F.lit(base))
+    """The column relative to the first row of its entity, found by one combined aggregate: safe for hot entities."""
+    first = df.groupBy(*panel.entity).agg(F.min_by(F.struct(F.col(column).alias("v")), F.struct(*panel.order)).alias("_first"))
+    joined = join_checked(df, first, panel.entity) if panel.entity else df.withColumn("_first", first.select("_first").scalar())
+    return joined.withColumn(name, ratio(F.col(column), F.col("_first.v")) * F.lit(base)).drop("_first")
 
 
 def forward_targets(df: DataFrame, panel: Panel, column: str, specs: Mapping[str, int],
-                    scale: float = 100.0) -> DataFrame:
+                    scale: float = 100.0, blocked: bool = False) -> DataFrame:
     """Change from this row to n rows ahead: labels for a model, not features."""
-    w = panel.ordered()
-    return df.withColumns({
+    return _stages(df, panel, 0, lambda w: [{
         name: (ratio(F.lead(column, n).over(w), F.col(column)) - 1) * F.lit(scale) for name, n in specs.items()
-    })
+    }], blocked, lookahead=max(specs.values()))
 
 
-def max_date_gap(df: DataFrame, panel: Panel, limit_days: int = 30) -> DataFrame:
+def max_date_gap(df: DataFrame, panel: Panel, limit_days: int = 30, blocked: bool = False) -> DataFrame:
     """Largest distance between consecutive dates per entity, and whether it exceeds the limit."""
-    steps = df.select(*panel.keys, F.datediff(panel.date, F.lag(panel.date).over(panel.ordered())).alias("_gap"))
+    steps = _stages(df.select(*panel.entity, *panel.order), panel, 1, lambda w: [{"_gap": F.datediff(panel.date, F.lag(panel.date).over(w))}], blocked)
     return steps.groupBy(*panel.entity).agg(F.max("_gap").alias("max_gap_days")).withColumn(
         "gap_warning", flag(F.col("max_gap_days") > limit_days)
     )
