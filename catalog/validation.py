@@ -11,6 +11,7 @@ from catalog.views import ENTITY, macro, market, prices, raw_prices, read_table,
 from pitpanel import Panel
 from pitpanel.operators import checks, expectations as ex, merge, outliers, profile
 from pitpanel.plans import suites
+from pitpanel.session import stable
 
 q = REGISTRY.add
 
@@ -333,17 +334,18 @@ VERDICT = f"""{BROKEN}, {POST}, i AS ({ISSUES_SQL}), pc AS ({POST_SQL}), e AS ({
 @q("checkpoint_verdict", f"""WITH {VERDICT}, r AS (SELECT (SELECT count(*) FROM i WHERE severity = 'CRITICAL') = 0 AS c, (SELECT count(*) FROM e WHERE NOT success AND severity IN ('CRITICAL', 'ERROR')) = 0 AS x,
    (SELECT count(*) FROM pc WHERE severity = 'CRITICAL') = 0 AS p) SELECT 'panel' AS dataset, c AS checks_passed, x AS expectations_passed, p AS post_clean_passed, c AND x AND p AS passed FROM r""", "spiked", "macro", "raw_prices")
 def _(spark, sf):
-    gates = ex.gate(_price_results(spark, sf), "ERROR").withColumn("suite", F.lit("panel"))
+    gates = ex.gate(stable(_price_results(spark, sf)), "ERROR").withColumn("suite", F.lit("panel"))
     post = checks.issue_counts(checks.post_clean(_post(spark, sf), "panel", ["entity", "dt"]))
-    return checks.checkpoint_verdict(gates, checks.issue_counts(_issues(spark, sf)), post)
+    return checks.checkpoint_verdict(gates, checks.issue_counts(stable(_issues(spark, sf))), post)
 
 
 @q("checkpoint_summary", f"""WITH {BROKEN}, i AS ({ISSUES_SQL}), e AS ({PRICE_SQL}), s AS (SELECT {SUMMARY_COLS} FROM e)
    SELECT 'panel' AS dataset, (SELECT count(*) FROM i WHERE severity = 'CRITICAL') = 0 AND critical_failures = 0 AS passed, evaluated, failed, success_pct,
    (SELECT count(*) FROM i WHERE severity = 'CRITICAL') AS critical, (SELECT count(*) FROM i WHERE severity = 'ERROR') AS error, (SELECT count(*) FROM i WHERE severity = 'WARNING') AS warning FROM s""", "spiked", "raw_prices")
 def _(spark, sf):
-    results = _price_results(spark, sf).withColumn("suite", F.lit("panel"))
-    counts = checks.issue_counts(_issues(spark, sf))
+    # reports have a few rows for each check; written once, they serve verdict and summary
+    results = stable(_price_results(spark, sf).withColumn("suite", F.lit("panel")))
+    counts = checks.issue_counts(stable(_issues(spark, sf)))
     verdict = checks.checkpoint_verdict(ex.gate(results, "CRITICAL"), counts)
     return checks.checkpoint_summary(ex.summarize(results), verdict, counts)
 

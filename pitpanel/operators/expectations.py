@@ -126,13 +126,13 @@ def _measure(df: DataFrame, e: Expectation) -> Column:
         return F.datediff(top, F.lit("1970-01-01").cast("date")).cast("double") if dict(df.dtypes)[e.column] == "date" else top.cast("double")
     if e.kind in ("row_count_to_be_between", "row_count_to_equal_other_table"):
         return F.count("*").cast("double")
+    if e.kind == "unique_value_count_to_be_between":
+        return F.count_distinct(c).cast("double")
     raise ValueError(e.kind)
 
 
 def _scalar(df: DataFrame, e: Expectation) -> Column:
-    """Expectations that need a grouped pass."""
-    if e.kind == "unique_value_count_to_be_between":
-        return df.agg(F.count_distinct(e.column).cast("double").alias("v")).scalar()
+    """Expectations that need a grouped pass: rows whose key occurs more than once."""
     keys = [e.column] if e.column else list(e.columns)
     rows = df.dropna(subset=[e.column]) if e.column else df
     repeated = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1")
@@ -157,7 +157,7 @@ def _passes(df: DataFrame, e: Expectation, v: Column, other: Column | None) -> C
     return F.coalesce(_inside(v, e.low, e.high), F.lit(False))
 
 
-GROUPED = ("unique_value_count_to_be_between", "values_to_be_unique", "compound_columns_to_be_unique")
+GROUPED = ("values_to_be_unique", "compound_columns_to_be_unique")
 SCHEMA = ("column_to_exist", "values_to_be_of_type", "column_count_to_be_between")
 
 

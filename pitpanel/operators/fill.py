@@ -156,7 +156,8 @@ def quarterly_to_daily(df: DataFrame, panel: Panel, attributes: Mapping[str, str
     record are null. ``attributes`` are constant per entity: they take the entity's first value on
     all days, or the given default (a column name or, with ``=`` in front, a text) when all are null.
     The fill happens at the low frequency; the days come from ``sequence``, so nothing is sorted at
-    daily size.
+    daily size. Of several records of an entity on one date the last by the panel's tie columns counts;
+    without tie columns such a repeat is an error, because nothing says which record is the later one.
     """
     (date,) = [panel.date]
     span = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
@@ -169,6 +170,9 @@ def quarterly_to_daily(df: DataFrame, panel: Panel, attributes: Mapping[str, str
         "_first": F.row_number().over(w) == 1,
         **{c: _attribute(c, default, panel) for c, default in attributes.items()},
     }).withColumn("_edge", edge)
+    if not panel.tie:
+        several = F.raise_error(F.lit("an entity has several records on one date; the panel needs a tie column")).cast("date")
+        staged = staged.withColumn("_next", F.when(F.col("_next") == F.col(date), several).otherwise(F.col("_next")))
     start = F.when(F.col("_first"), F.least(F.col("_edge.lo"), F.col(date))).otherwise(F.col(date))
     stop = F.coalesce(F.date_sub("_next", 1), F.greatest(F.col("_edge.hi"), F.col(date)))
     days = staged.withColumn("_day", F.explode(F.when(start <= stop, F.sequence(start, stop))))

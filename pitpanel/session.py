@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,15 @@ def local_session(cores: str = "*", partitions: int = 8, name: str = "pitpanel")
     )
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which the driver and all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        stable(spark.range(1))
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint that survives lost executors.
 
