@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -33,6 +34,29 @@ def shared_folder(spark: SparkSession, kind: str) -> str:
     return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and checkpoints of steps that nothing refers to any more.
+
+    Its cleaner learns of them from a garbage collection on the driver, which may otherwise come late or never in a job
+    whose driver has little to do; until then they take disk on the executors. Call it after a step that shuffles much.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """Rows of ``counts`` with the highest counts, at most ``most``; rows of one count are all in or all out.
+
+    What comes to the driver is the number of rows by count: with N counted things there are at most sqrt(2 N) of them.
+    """
+    left, least = most, None
+    for row in sorted(counts.groupBy(n).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r[n]):
+        if row["rows"] > left:
+            break
+        left, least = left - row["rows"], row[n]
+    return counts.where(F.col(n) >= least) if least is not None else counts.limit(0)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to lower case, all other characters as they are; null counts as empty."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

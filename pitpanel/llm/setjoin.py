@@ -3,10 +3,12 @@
 Two documents link when 100 * |A and B| >= percent * |A or B| over their sets of shingles. Equal sets are one document
 from the start. The steps, each over all documents:
 
-1. Shingles below a fixed quantile of the hash are counted; those in many documents (*frequent*) sort last. This only
-   sets an order: any order is right, a good one keeps common passages out of the prefixes.
+1. Shingles below a fixed quantile of the hash that stand in several documents of a task are counted; those that many
+   documents have (*frequent*) sort last. This only sets an order: any order is right, a good one keeps common passages
+   out of the prefixes.
 2. In that order a linked pair shares one of the first shingles of both, at places that leave enough to share behind
-   them (prefix and place bound). Documents that share such a shingle with another are candidates.
+   them (prefix and place bound), and ``k`` of them if both prefixes are ``k - 1`` longer. Documents are candidates if
+   that many of their longer prefix stand in other documents' prefixes, with the least ``k`` that a partner can have.
 3. Where more than BUCKET candidates share a prefix shingle, those documents are put in a second order, by the exact
    number of candidates that hold each shingle: edits come before what a family of near copies has in common.
 4. Under each prefix shingle a leader, the one with most of its set behind that place, is compared with the others.
@@ -28,14 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pitpanel.llm.common import bounded_batches, slices
+from pitpanel.llm.common import bounded_batches, most_frequent, release
 from pitpanel.llm.graph import components
 from pitpanel.session import stable
 
-#: Shingles in this many documents count as frequent; at most FREQUENT_MOST of them are broadcast (8 bytes each).
-FREQUENT, FREQUENT_MOST = 40, 1 << 18
+#: Shingles counted this often are frequent; at most FREQUENT_MOST of them are broadcast (8 bytes each).
+FREQUENT, FREQUENT_MOST = 8, 1 << 18
 #: Share of the hash range in which documents are counted.
 QUANTILE = 0.25
+#: Shingles that a task holds before it reports those that occurred several times.
+COUNTED = 4_000_000
 #: Candidates under one prefix shingle, beyond which they get an order of their own.
 BUCKET = 48
 _SPACE = bytes([9, 10, 11, 12, 13, 32])
@@ -59,7 +63,7 @@ def _word_hashes(text: str) -> np.ndarray:
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the word ``width``-grams; all words as one if there are fewer."""
-    words = np.concatenate([_word_hashes(p) for p in slices(text or "")])
+    words = _word_hashes(text or "")
     if not len(words):
         return words
     n = max(1, len(words) - width + 1)
@@ -75,18 +79,34 @@ def _need(n, m, percent: int):
     return -(-percent * (n + m) // (100 + percent))
 
 
+#: Shingles of the longer prefix that a pair must share, as a share of the set; at least one.
+SHARED = 0.03
+
+
 def _prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1 if n else 0
+    return n - -(-percent * n // 100) + max(1, int(SHARED * n)) if n else 0
 
 
 def _counts(width: int):
     limit = np.uint64(int(QUANTILE * 2**64))
 
     def count(batches):
+        held, size = [], 0
+
+        def several():
+            token, n = np.unique(np.concatenate(held), return_counts=True)
+            return pd.DataFrame({"token": token[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
+
         for pdf in batches:
-            found = [s[: np.searchsorted(s, limit)] for s in (shingles(t, width) for t in pdf["text"])]
-            token, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            yield pd.DataFrame({"token": token.view(np.int64), "n": n.astype(np.int64)})
+            for text in pdf["text"]:
+                s = shingles(text, width)
+                held.append(s[: np.searchsorted(s, limit)].copy())
+                size += len(held[-1])
+            if size > COUNTED:
+                yield several()
+                held, size = [], 0
+        if held:
+            yield several()
 
     return count
 
@@ -147,7 +167,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _second_order(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(kind, token, id, n, pos) of prefixes in the order of (documents of the crowd that hold the shingle, hash)."""
     tokens = stable(sets.join(crowd, "id", "left_semi").mapInPandas(_unpack, "id long, token long"))
-    held = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    held = stable(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"))
     shared = tokens.join(held, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("order"))
     sized = shared.join(crowd, "id")
     # shingles that no other one holds come first and match nothing: they only move the others back
@@ -161,41 +181,57 @@ def classes(docs: DataFrame, text: str, identifier: str, width: int, percent: in
     """(id, n, digest, prefix) of each row with an identifier; equal digests are equal sets."""
     rows = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
     counted = rows.mapInPandas(_counts(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    common = counted.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST).toPandas()["token"].to_numpy(np.int64)
+    counted = stable(counted.where(F.col("n") >= FREQUENT))
+    common = most_frequent(counted, "n", FREQUENT_MOST).select("token").toPandas()["token"].to_numpy(np.int64)
     frequent = docs.sparkSession.sparkContext.broadcast(np.sort(common.view(np.uint64)))
     return stable(rows.mapInPandas(_prefixes(width, percent, frequent), "id long, n long, digest binary, prefix array<long>"))
 
 
 def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width: int = 3, percent: int = 90) -> DataFrame:
     """One row for each row of ``docs``: ``identifier``, n_shingles, component_id (smallest identifier that links lead to)."""
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     own = classes(docs, text, identifier, width, percent)
-    heads = own.where("n > 0").groupBy("digest").agg(F.min("id").alias("head"))
+    release(spark)
+    # a table of its own: a join with it can then be split where one key has very many rows; so below
+    heads = stable(own.where("n > 0").groupBy("digest").agg(F.min("id").alias("head")))
     first = own.join(heads, "digest").where("id = head").select("id", "n", "prefix").dropDuplicates(["id", "n"])
-    rows = first.select(F.lit(0).alias("kind"), F.posexplode("prefix").alias("pos", "token"), "id", "n").select("kind", "token", "id", "n", "pos")
-    rows = stable(rows)
-    crowded = rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    rows = stable(rows.join(crowded, "token"))
-    candidates = rows.select("id").distinct()
-    texts = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")).join(candidates, "id", "left_semi")
+    first = stable(first)
+    rows = first.select(F.posexplode("prefix").alias("pos", "token"), "id", "n")
+    crowded = stable(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token"))
+    least = F.greatest(F.lit(1), F.floor(F.lit(SHARED) * F.ceil(F.lit(percent) * F.col("n") / 100)))
+    candidates = stable(rows.join(crowded, "token").groupBy("id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).select("id"))
+    del rows, crowded
+    release(spark)
+    rows = first.join(candidates, "id", "left_semi").select(F.lit(0).alias("kind"), F.posexplode("prefix").alias("pos", "token"), "id", "n")
+    rows = rows.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100))
+    sizes = stable(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"))
+    rows = stable(rows.join(sizes, "token"))
+    texts = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")).join(rows.select("id").distinct(), "id", "left_semi")
     sets = stable(texts.mapInPandas(_sets(width), "id long, tokens binary"))
+    del first, candidates, sizes, texts
+    release(spark)
     crowd = stable(rows.where(F.col("size") > BUCKET).select("id", "n").distinct())
     rows = stable(rows.where(F.col("size") <= BUCKET).select("kind", "token", "id", "n", "pos").unionByName(_second_order(crowd, sets, percent)))
 
     key = ["kind", "token"]
     place = F.struct("pos", "n", "id")
     leader = rows.groupBy(*key).agg(F.min(place).alias("lead"), F.count("*").alias("size")).where("size > 1")
-    leader = leader.select(*key, F.col("lead.id").alias("id"), F.col("lead.n").alias("n"), F.col("lead.pos").alias("pos"))
+    leader = stable(leader.select(*key, F.col("lead.id").alias("id"), F.col("lead.n").alias("n"), F.col("lead.pos").alias("pos")))
     led = rows.alias("a").join(leader.alias("b"), key).where((F.col("a.id") != F.col("b.id")) & _bounds(percent))
     pairs = led.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct()
     links = stable(_verified(pairs, sets, percent))
+    del crowd, leader, led, pairs
+    release(spark)
 
     grouped = rows.join(components(links).withColumnRenamed("node", "id"), "id", "left")
     grouped = stable(grouped.withColumn("group", F.coalesce("component", "id")).drop("component"))
     matrix = grouped.groupBy(*key, "group").agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("rest"))
-    several = matrix.groupBy(*key).agg(F.count("*").alias("groups")).where("groups > 1").select(*key)
+    several = stable(matrix.groupBy(*key).agg(F.count("*").alias("groups")).where("groups > 1").select(*key))
     matrix = stable(matrix.join(several, key))
+    del rows, several
+    release(spark)
     least = F.ceil(F.lit(percent) * (F.col("a.n_min") + F.col("b.n_min")) / (100 + percent))
     qualify = (
         (F.col("a.group") < F.col("b.group"))
@@ -207,7 +243,9 @@ def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width:
     members = grouped.join(opened, "group").alias("a")
     met = members.join(grouped.alias("b"), [F.col("a.other") == F.col("b.group"), *[F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]]).where(_bounds(percent))
     met = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct()
-    links = links.unionByName(_verified(met, sets, percent))
+    links = stable(links.unionByName(_verified(met, sets, percent)))
+    del sets, grouped, matrix, opened, members, met
+    release(spark)
 
     parts = components(links).select(F.col("node").alias("head"), "component")
     named = own.select("id", "n", "digest").join(heads, "digest", "left").join(parts, "head", "left")
