@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.llm import bpe, decontaminate, langid, linededup, setjoin
-from pitpanel.llm.common import shared_folder, table
+from pitpanel.llm.common import release, shared_folder, table
+from pitpanel.session import stable
 
 
 def _own(docs: DataFrame) -> list:
@@ -41,7 +42,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Rows without identifier link with nothing and stay.
     """
     joined = setjoin.join(docs)
-    gone = joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    gone = stable(joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct())
+    del joined
+    release(spark)
     kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
     # rows with one identifier count as one document
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))

@@ -215,7 +215,8 @@ def near_duplicates(rows: DataFrame, vector: str = "embedding", label: str = "la
     entries = stable(heads.select("id", "place", "vector").mapInPandas(_entries, "id long, place string, bucket long, home boolean"))
     bucket = ["place", "bucket"]
     sizes = entries.groupBy(*bucket).agg(F.count("*").alias("n"), F.max("home").alias("lived_in")).where("n > 1 and lived_in")
-    sizes = sizes.select(*bucket, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    # tables of their own, so that joins with them can be split where one key has very many rows
+    sizes = stable(sizes.select(*bucket, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     met = entries.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sides = F.least("block", "with"), F.greatest("block", "with")
@@ -225,7 +226,7 @@ def near_duplicates(rows: DataFrame, vector: str = "embedding", label: str = "la
     links = stable(met.groupBy("shard").applyInPandas(_meet(threshold), "id long, other long, n long"))
     counts = links.groupBy("id").agg(F.sum("n").alias("found")).withColumnRenamed("id", "least")
     parts = components(links.select(F.col("id").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "least")
-    named = distinct.drop("vector").join(counts, "least", "left").join(parts, "least", "left")
+    named = stable(distinct.drop("vector").join(counts, "least", "left").join(parts, "least", "left"))
     out = given.drop("vector").alias("g").join(named, same, "left")
     component = F.when(F.col("ok"), F.coalesce("component", "least")).otherwise(F.col("id"))
     return out.select(

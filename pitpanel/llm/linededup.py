@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pitpanel.llm.common import release
 from pitpanel.session import shuffle_partitions, stable
 
 #: Passages of this many words count as copied.
@@ -112,7 +113,8 @@ def copies(docs: DataFrame, text: str = "text", identifier: str = "doc_id", min_
     runs = stable(runs)
     interval = ["n", "left", "right"]
     place = F.struct("id", "th", "start")
-    firsts = runs.groupBy(*interval).agg(F.min(place).alias("original"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    # a table of its own, so that a join with it can be split where one interval has very many suffixes
+    firsts = stable(runs.groupBy(*interval).agg(F.min(place).alias("original"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     later = runs.join(firsts, interval).where(~place.eqNullSafe(F.col("original")))
     covered = later.select(*_KEY, F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at")).distinct()
     covered = covered.alias("a").join(lines.alias("b"), _same("a", "b", ["at"])).select("a.*", "b.raw")
@@ -121,7 +123,9 @@ def copies(docs: DataFrame, text: str = "text", identifier: str = "doc_id", min_
 
 def dedup(docs: DataFrame, text: str = "text", identifier: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with copied lines deleted from ``text``, plus struct ``line_dedup`` (n_lines, n_removed; blank lines do not count)."""
-    removed = copies(docs, text, identifier, min_words).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("removed").alias("__removed"))
+    removed = stable(copies(docs, text, identifier, min_words))
+    release(docs.sparkSession)
+    removed = removed.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("removed").alias("__removed"))
     rows = docs.select("*", F.col(identifier).alias("__own"), F.xxhash64(F.col(text)).alias("__hash"))
     rows = rows.join(removed, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
     lines, gone = F.split(F.col(text), "\n", -1), F.col("__removed")

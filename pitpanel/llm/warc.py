@@ -154,7 +154,8 @@ def write(pages: DataFrame, folder: str, page: str = "page_id", url: str = "url"
         F.octet_length(body).cast("long").alias("size"), F.sha2(body, 256).alias("digest"))
     named = pages.select(F.col(page).cast("long").alias("page"), F.octet_length(body).alias("size"), F.sha2(body, 256).alias("digest"))
     repeated = named.where(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page").alias("original"), F.count("*").alias("copies"))
-    repeated = repeated.where((F.col("copies") > 1) & F.col("original").isNotNull()).select("digest", "original")
+    # a table of its own, so that the join can be split where one payload has very many pages
+    repeated = stable(repeated.where((F.col("copies") > 1) & F.col("original").isNotNull()).select("digest", "original"))
     rows = rows.join(repeated, "digest", "left")
     refers = F.when(~F.col("original").eqNullSafe(F.col("page")), F.col("original"))
     rows = rows.select("page", "url", F.when(refers.isNull(), F.col("html")).alias("html"), "size", "digest", refers.alias("original"))
