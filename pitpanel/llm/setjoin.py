@@ -115,17 +115,22 @@ def _prefixes(width: int, percent: int, frequent):
     def prefix(batches):
         common = frequent.value
         for pdf in batches:
-            sizes, sums, firsts = [], [], []
+            sizes, sums, firsts, lates, ends = [], [], [], [], []
             for text in pdf["text"]:
                 s = shingles(text, width)
                 sizes.append(len(s))
                 sums.append(xxhash.xxh3_128_digest(s.tobytes()))
+                early = len(s)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     late = common[at] == s
+                    early = int((~late).sum())
                     s = np.concatenate([s[~late], s[late]])
                 firsts.append(s[: _prefix_length(len(s), percent)].view(np.int64))
-            yield pd.DataFrame({"id": pdf["id"], "n": sizes, "digest": sums, "prefix": firsts})
+                last = len(s) - -(-percent * len(s) // 100)
+                lates.append(int(last >= early))
+                ends.append(int(s[last] >> np.uint64(1)) if len(s) else 0)
+            yield pd.DataFrame({"id": pdf["id"], "n": sizes, "digest": sums, "prefix": firsts, "late": lates, "end": ends})
 
     return prefix
 
@@ -156,6 +161,28 @@ def _bounds(percent: int):
     return (need <= F.col("a.n") - F.col("a.pos")) & (need <= F.col("b.n") - F.col("b.pos"))
 
 
+def _sizes_fit(percent: int):
+    return (F.lit(percent) * F.col("a.n") <= 100 * F.col("b.n")) & (F.lit(percent) * F.col("b.n") <= 100 * F.col("a.n"))
+
+
+def _reaching(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) of the rows in which two documents meet that can still reach the threshold.
+
+    The rows are all common shingles of the two prefixes. Where the prefix of one ends first in the order, every shingle
+    of it that the other document has at all is among them, so the overlap is at most their number and what lies behind
+    that prefix. Pairs of a crowd are judged in the second order, where their rows are complete.
+    """
+    named = met.select(
+        "a.kind", F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"),
+        F.col("a.end").alias("ea"), F.col("b.end").alias("eb"))
+    met = named.groupBy("kind", "a", "b", "na", "nb").agg(F.count("*").alias("common"), F.min("ea").alias("ea"), F.min("eb").alias("eb"))
+    # behind the plain prefix of n - ceil(percent n / 100) + 1 shingles
+    behind = {c: F.ceil(F.lit(percent) * F.col(c) / 100) - 1 for c in ("na", "nb")}
+    rest = F.when(F.col("ea") < F.col("eb"), behind["na"]).when(F.col("eb") < F.col("ea"), behind["nb"]).otherwise(F.greatest(*behind.values()))
+    need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
+    return met.where(F.col("common") + rest >= need).select("a", "b", "na", "nb").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) that link."""
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
@@ -171,9 +198,12 @@ def _second_order(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shared = tokens.join(held, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("order"))
     sized = shared.join(crowd, "id")
     # shingles that no other one holds come first and match nothing: they only move the others back
-    alone = F.col("n") - F.size("order")
-    rows = sized.select("id", "n", alone.alias("alone"), F.posexplode("order").alias("at", "x"))
-    rows = rows.select(F.lit(1).alias("kind"), F.col("x.token").alias("token"), "id", "n", (F.col("at") + F.col("alone")).cast("int").alias("pos"))
+    alone = (F.col("n") - F.size("order")).cast("int")
+    last = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)).cast("int")
+    # missing if the prefix has only shingles of its own: it has no rows below then
+    end = F.get("order", last - alone).cast("struct<major:bigint,minor:bigint>")
+    rows = sized.select("id", "n", alone.alias("alone"), end.alias("end"), F.posexplode("order").alias("at", "x"))
+    rows = rows.select(F.lit(1).alias("kind"), F.col("x.token").alias("token"), "id", "n", (F.col("at") + F.col("alone")).cast("int").alias("pos"), "end")
     return rows.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100))
 
 
@@ -184,7 +214,8 @@ def classes(docs: DataFrame, text: str, identifier: str, width: int, percent: in
     counted = stable(counted.where(F.col("n") >= FREQUENT))
     common = most_frequent(counted, "n", FREQUENT_MOST).select("token").toPandas()["token"].to_numpy(np.int64)
     frequent = docs.sparkSession.sparkContext.broadcast(np.sort(common.view(np.uint64)))
-    return stable(rows.mapInPandas(_prefixes(width, percent, frequent), "id long, n long, digest binary, prefix array<long>"))
+    found = rows.mapInPandas(_prefixes(width, percent, frequent), "id long, n long, digest binary, prefix array<long>, late long, end long")
+    return stable(found.withColumn("end", F.struct(F.col("late").alias("major"), F.col("end").alias("minor"))).drop("late"))
 
 
 def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width: int = 3, percent: int = 90) -> DataFrame:
@@ -195,7 +226,7 @@ def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width:
     release(spark)
     # a table of its own: a join with it can then be split where one key has very many rows; so below
     heads = stable(own.where("n > 0").groupBy("digest").agg(F.min("id").alias("head")))
-    first = own.join(heads, "digest").where("id = head").select("id", "n", "prefix").dropDuplicates(["id", "n"])
+    first = own.join(heads, "digest").where("id = head").select("id", "n", "end", "prefix").dropDuplicates(["id", "n"])
     first = stable(first)
     rows = first.select(F.posexplode("prefix").alias("pos", "token"), "id", "n")
     crowded = stable(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token"))
@@ -203,7 +234,7 @@ def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width:
     candidates = stable(rows.join(crowded, "token").groupBy("id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).select("id"))
     del rows, crowded
     release(spark)
-    rows = first.join(candidates, "id", "left_semi").select(F.lit(0).alias("kind"), F.posexplode("prefix").alias("pos", "token"), "id", "n")
+    rows = first.join(candidates, "id", "left_semi").select(F.lit(0).alias("kind"), F.posexplode("prefix").alias("pos", "token"), "id", "n", "end")
     rows = rows.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100))
     sizes = stable(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"))
     rows = stable(rows.join(sizes, "token"))
@@ -212,7 +243,7 @@ def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width:
     del first, candidates, sizes, texts
     release(spark)
     crowd = stable(rows.where(F.col("size") > BUCKET).select("id", "n").distinct())
-    rows = stable(rows.where(F.col("size") <= BUCKET).select("kind", "token", "id", "n", "pos").unionByName(_second_order(crowd, sets, percent)))
+    rows = stable(rows.where(F.col("size") <= BUCKET).select("kind", "token", "id", "n", "pos", "end").unionByName(_second_order(crowd, sets, percent)))
 
     key = ["kind", "token"]
     place = F.struct("pos", "n", "id")
@@ -241,8 +272,8 @@ def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width:
     opened = matrix.alias("a").join(matrix.alias("b"), key).where(qualify)
     opened = opened.select(F.col("a.group").alias("group"), F.col("b.group").alias("other")).distinct()
     members = grouped.join(opened, "group").alias("a")
-    met = members.join(grouped.alias("b"), [F.col("a.other") == F.col("b.group"), *[F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]]).where(_bounds(percent))
-    met = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct()
+    met = members.join(grouped.alias("b"), [F.col("a.other") == F.col("b.group"), *[F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]])
+    met = _reaching(met.where(_sizes_fit(percent)), percent)
     links = stable(links.unionByName(_verified(met, sets, percent)))
     del sets, grouped, matrix, opened, members, met
     release(spark)
