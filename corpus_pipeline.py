@@ -2,7 +2,7 @@
 
 1. language identification: documents without text or without a letter go;
 2. line dedup: later copies of runs of lines are deleted; documents that lose every line go;
-3. n-gram Jaccard join: of documents that are connected by links the one with the smallest identifier stays;
+3. n-gram Jaccard join of five words at 0.8: of documents that are connected by links the one with the smallest identifier stays;
 4. benchmark decontamination: documents with a benchmark passage go;
 5. byte-level BPE: documents become token ids, with digests and proof of the round trip.
 """
@@ -18,6 +18,10 @@ from pitpanel.llm.common import release, shared_folder, table
 from pitpanel.session import stable
 
 
+#: Words of a shingle and percent of all shingles that near copies share.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
 def _own(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
@@ -41,7 +45,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Rows without identifier link with nothing and stay.
     """
-    joined = setjoin.join(docs)
+    joined = setjoin.join(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
     gone = stable(joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct())
     del joined
     release(spark)

@@ -1,5 +1,7 @@
 """The pipeline: each stage does what its operator says, with whole rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +54,29 @@ def test_edge_rows_and_clashing_columns(spark, small):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, small)
         assert empty.count() == 0
+
+
+def test_near_copies_against_brute_force_at_five_words(spark, small):
+    rng = random.Random(4)
+    docs, start = [], 0
+    for _ in range(6):
+        base = [f"{rng.choice('abcdefgh')}{rng.randint(0, 10**6)}" for _ in range(200)]
+        docs.append((start, base))
+        for k in range(1, 8):  # scattered edits, and words behind the end
+            words, edits = list(base), (4, 4, 5, 3, 0, 0, 0)[k - 1]
+            for at in rng.sample(range(5), edits):
+                words[20 + 40 * at] = f"new{rng.randint(0, 10**6)}"
+            words += [f"more{rng.randint(0, 10**6)}" for _ in range((0, 0, 0, 10, 30, 45, 60)[k - 1])]
+            docs.append((start + k, words))
+        start += 100
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in docs}
+    label = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    want = sorted(i for i, x in label.items() if i == x)
+    assert 6 < len(want) < len(docs)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.keep_one_of_near_copies(spark, df, small).collect()) == want
