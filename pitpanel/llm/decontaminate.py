@@ -1,16 +1,18 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts are compared as lower-case letters, digits and single spaces (UTF-8 bytes). Benchmark items are cut into
-overlapping segments. A place in a document matches a segment of length L within e edits only if both share at least
+overlapping segments: WORDS words from each word on, so that a passage of that many words is found wherever it begins,
+and SEGMENT bytes every STRIDE bytes, which allow more edits close together. Within a word of more than LONG bytes, as
+in scripts without spaces, segments begin every LONG bytes; there a passage of SEGMENT + LONG bytes is found. A place in a document matches a segment of length L within e edits only if both share at least
 L + 1 - Q - Q * e q-grams whose diagonals (place in the text minus place in the segment) lie within e of each other.
 
 The filter works in three steps over a batch of texts. A bit table finds places whose q-gram is in the benchmark at all;
 windows of text with fewer such places than any segment needs are done. In the windows that are left the q-grams are
-counted by segment and diagonal band; bands are twice as wide as the budget and overlap by half, so every alignment lies
-inside one. Bands that reach their bound are verified by an edit distance along the band, free at both ends of the text.
+gathered by item and diagonal band and counted by segment; bands are twice as wide as the budget and overlap by half, so
+every alignment lies inside one. Bands that reach their bound are verified by an edit distance along the band, free at both ends of the text.
 
 The benchmark goes to the executors in blocks of about BLOCK_CHARS characters, one after another, so what is broadcast
-stays bounded however large it is. Null and empty texts match nothing; items of fewer than MIN_CHARS characters after
+stays bounded however large it is. Null and empty texts match nothing; items of fewer than MIN_CHARS bytes after
 normalisation are no evidence and match nothing. Repeated rows and other columns do not matter.
 """
 
@@ -28,6 +30,8 @@ from pitpanel.llm.common import bounded_batches
 Q = 8
 #: Segments have at most this many bytes and start this far apart.
 SEGMENT, STRIDE = 120, 60
+#: Words of a passage that is found from any word on (SEGMENT bytes of it if they are more); bytes of a long word.
+WORDS, LONG = 13, 12
 #: Edits allowed for each byte of a segment.
 RATE = 0.08
 MIN_CHARS = 24
@@ -55,6 +59,11 @@ def _cell(gram: np.ndarray) -> np.ndarray:
     return (gram * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)
 
 
+def _inside(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... within each of consecutive groups of these sizes."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def budget(length: int) -> int:
     """Edits allowed in a segment; never so many that the lemma asks for less than one q-gram."""
     return max(0, min(int(RATE * length), (length - Q) // Q))
@@ -62,18 +71,33 @@ def budget(length: int) -> int:
 
 @dataclass
 class Block:
-    """Index of some benchmark segments."""
+    """Index of some benchmark segments. Segments that overlap in an item share a *source*, whose q-grams stand in it once."""
 
     items: list[int]
     starts: list[int]
     segments: list[bytes]
 
     def __post_init__(self):
-        size = np.array([len(s) for s in self.segments], np.int64)
-        self.edits = np.array([budget(n) for n in size.tolist()], np.int64)
-        self.bound = size + 1 - Q - Q * self.edits
-        self.width = 2 * (self.edits + 1)
-        parts = [grams(np.frombuffer(s, np.uint8)) for s in self.segments]
+        self.size = np.array([len(s) for s in self.segments], np.int64)
+        self.edits = np.array([budget(n) for n in self.size.tolist()], np.int64)
+        self.bound = self.size + 1 - Q - Q * self.edits
+        sources, source, offset = [], [], []
+        last = base = None
+        for item, start, s in zip(self.items, self.starts, self.segments):
+            held = sources[-1][start - base :][: len(s)] if sources and item == last and 0 <= start - base <= len(sources[-1]) else None
+            if held is None or not s.startswith(held):
+                sources.append(bytearray())
+                last, base, held = item, start, b""
+            sources[-1] += s[len(held) :]
+            source.append(len(sources) - 1)
+            offset.append(start - base)
+        self.source, self.offset = np.array(source), np.array(offset, np.int64)
+        self.longest = max(map(len, sources))
+        # of each source: its first segment and their number, the least bound, the widest step of bands
+        _, self.begin, self.parts = np.unique(self.source, return_index=True, return_counts=True)
+        self.lowest = np.minimum.reduceat(self.bound, self.begin)
+        self.step = 1 + np.maximum.reduceat(self.edits, self.begin)
+        parts = [grams(np.frombuffer(s, np.uint8)) for s in sources]
         gram = np.concatenate(parts)
         owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         at = np.concatenate([np.arange(len(p)) for p in parts])
@@ -83,8 +107,8 @@ class Block:
         self.table = np.zeros(1 << _BITS, bool)
         self.table[_cell(self.gram)] = True
         self.least = int(self.bound.min())
-        self.reach = int((size + self.edits).max()) - Q + 1
-        self.overlap = 2 * int((size + 2 * self.edits).max()) + Q
+        self.reach = int((self.size + self.edits).max()) - Q + 1
+        self.overlap = 2 * int((self.size + 2 * self.edits).max()) + Q
 
     def _places(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places with q-grams of the benchmark in windows that have enough of them, and the numbers of those q-grams."""
@@ -102,38 +126,47 @@ class Block:
         same = self.gram[number] == gram[hit]
         return hit[same], number[same]
 
-    def candidates(self, data: np.ndarray) -> list[tuple[int, int]]:
-        """(segment, lowest diagonal of a band) that the lemma leaves."""
+    def candidates(self, data: np.ndarray) -> list[tuple[int, int, int]]:
+        """(segment, lowest diagonal of a band, diagonals of the band) that the lemma leaves."""
         place, number = self._places(data)
         if not len(place):
             return []
         copies = self.count[number]
-        total = int(copies.sum())
-        inside = np.arange(total) - np.repeat(np.cumsum(copies) - copies, copies)
-        entry = np.repeat(self.first[number], copies) + inside
-        segment, diagonal = self.owner[entry], np.repeat(place, copies) - self.at[entry]
-        width, edits = self.width[segment], self.edits[segment]
+        entry = np.repeat(self.first[number], copies) + _inside(copies)
+        source, at = self.owner[entry], self.at[entry]
+        diagonal, step = np.repeat(place, copies) - at, self.step[source]
         # a number for each band: even ones begin at multiples of the width, odd ones half a width later
-        found: list[tuple[int, int]] = []
+        found: list[tuple[int, int, int]] = []
         for half in (0, 1):
-            band = (diagonal + SEGMENT - half * (edits + 1)) // width
-            key = segment * (2 * (len(data) + 2 * SEGMENT)) + band + 1
-            value, at, n = np.unique(key, return_index=True, return_counts=True)
-            good = n >= self.bound[segment[at]]
-            at = at[good]
-            low = band[at] * width[at] + half * (edits[at] + 1) - SEGMENT
-            found += zip(segment[at].tolist(), low.tolist())
+            band = (diagonal + self.longest - half * step) // (2 * step)
+            key = source * (len(data) + 2 * self.longest) + band + 1
+            order = np.argsort(key)
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            n = np.diff(first, append=len(order))
+            enough = n >= self.lowest[source[order[first]]]
+            first, n = first[enough], n[enough]
+            one = order[first]
+            # places in the source of the hits of each band, in order
+            stride = self.longest + 1
+            hits = np.sort(np.repeat(np.arange(len(n)), n) * stride + at[order[np.repeat(first, n) + _inside(n)]])
+            parts = self.parts[source[one]]
+            segment = np.repeat(self.begin[source[one]], parts) + _inside(parts)
+            base = np.repeat(np.arange(len(n)), parts) * stride + self.offset[segment]
+            inside = np.searchsorted(hits, base + self.size[segment] - Q, "right") - np.searchsorted(hits, base)
+            low = np.repeat(band[one] * 2 * step[one] + half * step[one] - self.longest, parts) + self.offset[segment]
+            good = inside >= self.bound[segment]
+            found += zip(segment[good].tolist(), low[good].tolist(), np.repeat(2 * step[one], parts)[good].tolist())
         return found
 
-    def distance(self, segment: int, data: np.ndarray, low: int) -> tuple[int, int]:
-        """Edits and place of the best alignment of a segment around the diagonals from ``low``; more than allowed: none."""
+    def distance(self, segment: int, data: np.ndarray, low: int, span: int) -> tuple[int, int]:
+        """Edits and end of the best alignment of a segment around ``span`` diagonals from ``low``; more than allowed: none."""
         pattern, e = self.segments[segment], int(self.edits[segment])
-        lo, hi = max(0, low - e), min(len(data), low + 3 * e + 2 + len(pattern))
+        lo, hi = max(0, low - e), min(len(data), low + span + e + 1 + len(pattern))
         text = data[lo:hi].tobytes()
         if (exact := text.find(pattern)) >= 0:
-            return 0, lo + exact
+            return 0, lo + exact + len(pattern)
         shift = low - e - lo  # of the first diagonal of the band, in `text`
-        wide = 4 * e + 3
+        wide = span + 2 * e + 1
         padded = np.full(len(text) + 2 * (wide + len(pattern)), 0, np.uint8)
         base = wide + len(pattern)
         padded[base : base + len(text)] = np.frombuffer(text, np.uint8)
@@ -147,7 +180,7 @@ class Block:
             if cost.min() > e:
                 return e + 1, -1
         best = int(cost.argmin())
-        return int(cost[best]), max(0, lo + shift + best)
+        return int(cost[best]), lo + shift + best + len(pattern)
 
     def matches(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """For each text (item, segment, place in the normalised text, edits) of all its matches."""
@@ -157,9 +190,10 @@ class Block:
         def flush():
             data = np.frombuffer(b"".join(p + bytes(SEGMENT) for _, _, p in chunk), np.uint8)
             begin = np.cumsum([0] + [len(p) + SEGMENT for _, _, p in chunk])
-            for segment, low in self.candidates(data):
-                edits, place = self.distance(segment, data, low)
+            for segment, low, span in self.candidates(data):
+                edits, end = self.distance(segment, data, low, span)
                 if edits <= self.edits[segment]:
+                    place = max(0, end - len(self.segments[segment]))
                     k = int(np.searchsorted(begin, place, "right")) - 1
                     row, offset, _ = chunk[k]
                     key = (self.items[segment], self.starts[segment])
@@ -177,15 +211,30 @@ class Block:
                     chunk, size = [], 0
         if chunk:
             flush()
-        return [[(item, start, place, edits) for (item, start), (edits, place) in sorted(found.items())] for found in out]
+        return [[(item, start, place, edits) for (item, start), (edits, place) in sorted(found.items(), key=lambda x: (x[0][0] is not None, x))] for found in out]
 
 
 def segments(plain: bytes) -> list[tuple[int, bytes]]:
-    """Overlapping segments of a normalised item; the last one ends with it."""
+    """Overlapping segments of a normalised item, each with a start of its own; the last one of SEGMENT bytes ends with it.
+
+    Where segments of both kinds begin at one place, that of WORDS words leaves out its first byte.
+    """
     if len(plain) <= SEGMENT:
-        return [(0, plain)]
-    starts = [*range(0, len(plain) - SEGMENT, STRIDE), len(plain) - SEGMENT]
-    return [(s, plain[s : s + SEGMENT]) for s in dict.fromkeys(starts)]
+        found = {0: plain}
+    else:
+        starts = [*range(0, len(plain) - SEGMENT, STRIDE), len(plain) - SEGMENT]
+        found = {s: plain[s : s + SEGMENT] for s in starts}
+    ends = [k for k, byte in enumerate(plain) if byte == 32] + [len(plain)]
+    begin = 0
+    for word, end in enumerate(ends):
+        last = ends[word + WORDS - 1] if word + WORDS <= len(ends) else len(plain) + 1
+        for start in range(begin, end if end - begin > LONG else begin + 1, LONG):
+            stop = min(last, start + SEGMENT)
+            if stop <= len(plain):
+                start += start in found
+                found.setdefault(start, plain[start:stop])
+        begin = end + 1
+    return sorted(found.items())
 
 
 def blocks(benchmark: DataFrame, text: str = "text", identifier: str = "item_id"):
@@ -195,9 +244,10 @@ def blocks(benchmark: DataFrame, text: str = "text", identifier: str = "item_id"
     n = 1 + total // BLOCK_CHARS
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        found = [(r["item"], start, s) for r in part.toLocalIterator() if len(p := normalize(r["text"])) >= MIN_CHARS for start, s in segments(p)]
+        plain = [(r["item"], p) for r in part.toLocalIterator() if len(p := normalize(r["text"])) >= MIN_CHARS]
+        found = [(item, *s) for item, p in sorted(plain, key=lambda x: (x[0] is not None, x)) for s in segments(p)]
         if found:
-            items, starts, parts = zip(*sorted(found, key=lambda x: (x[0] is not None, x)))
+            items, starts, parts = zip(*found)
             yield Block(list(items), list(starts), list(parts))
 
 

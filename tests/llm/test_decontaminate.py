@@ -48,6 +48,36 @@ def test_every_alignment_within_the_budget_is_found():
             assert got.get((i, start)) == (best if best <= dc.budget(len(s)) else None), (trial, i, start)
 
 
+def index(items):
+    return dc.Block(*map(list, zip(*[(k, start, s) for k, item in enumerate(items) for start, s in dc.segments(dc.normalize(item))])))
+
+
+def test_passages_cut_anywhere_are_found():
+    rng = random.Random(11)
+    items = [words(rng, n) for n in (14, 20, 33, 60, 150)] + [" ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(1, 25))) for _ in range(60))]
+    block = index(items)
+    for trial in range(300):
+        item = rng.randrange(len(items))
+        w = items[item].split()
+        n = rng.randint(13, min(len(w), 20))
+        at = rng.randint(0, len(w) - n)
+        passage = " ".join(w[at : at + n])
+        if n == 13 and len(passage) <= dc.SEGMENT and trial % 2:
+            passage = damaged(rng, passage, dc.budget(len(passage) - 1))
+        text = f"{words(rng, rng.randint(40, 60))} {passage} {words(rng, rng.randint(40, 60))}"
+        assert item in {i for i, *_ in block.matches([text])[0]}, (trial, passage)
+
+
+def test_passages_of_scripts_without_spaces_are_found():
+    rng = random.Random(12)
+    item = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    block = index([item])
+    for _ in range(100):
+        at = rng.randint(0, 400 - 44)
+        other = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(50))
+        assert block.matches([other + item[at : at + 44] + other])[0] and not block.matches([other + other])[0]
+
+
 def test_rows(spark):
     rng = random.Random(1)
     items = [(1, words(rng, 30)), (1, words(rng, 30)), (2, None), (3, "too short"), (None, words(rng, 25))]
