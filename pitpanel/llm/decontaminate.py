@@ -193,9 +193,10 @@ class Block:
             for segment, low, span in self.candidates(data):
                 edits, end = self.distance(segment, data, low, span)
                 if edits <= self.edits[segment]:
-                    place = max(0, end - len(self.segments[segment]))
-                    k = int(np.searchsorted(begin, place, "right")) - 1
+                    # its last byte is in the text or behind it; the first diagonal may be before the text
+                    k = int(np.searchsorted(begin, end - 1, "right")) - 1
                     row, offset, _ = chunk[k]
+                    place = max(int(begin[k]), end - len(self.segments[segment]))
                     key = (self.items[segment], self.starts[segment])
                     value = (edits, offset + place - int(begin[k]))
                     out[row][key] = min(out[row].get(key, value), value)

@@ -78,6 +78,30 @@ def test_passages_of_scripts_without_spaces_are_found():
         assert block.matches([other + item[at : at + 44] + other])[0] and not block.matches([other + other])[0]
 
 
+def test_damaged_passages_belong_to_the_text_they_begin():
+    rng = random.Random(13)
+    items = [words(rng, n) for n in (9, 12, 20, 40)]
+    block = index(items)
+    for trial in range(40):
+        texts, want = [], []
+        for _ in range(12):
+            item = rng.randrange(len(items))
+            chars = list(items[item])
+            cut = rng.randint(1, min(4, dc.budget(len(chars)) // 2))  # a space may go with each letter
+            for _ in range(cut):  # letters missing at the start, or anywhere near it
+                del chars[0 if trial % 2 else rng.randrange(40)]
+            clean = rng.randint(0, 1)
+            texts.append(words(rng, 30) if clean else "".join(chars) + " " + words(rng, rng.randint(0, 9)))
+            want.append(set() if clean else {item})
+        texts.insert(0, None)
+        want.insert(0, set())
+        found = block.matches(texts)
+        assert found == [block.matches([t])[0] for t in texts], trial
+        for row, text, items_wanted in zip(found, texts, want):
+            assert {i for i, *_ in row} == items_wanted, (trial, text)
+            assert all(0 <= place < len(dc.normalize(text)) for _, _, place, _ in row)
+
+
 def test_rows(spark):
     rng = random.Random(1)
     items = [(1, words(rng, 30)), (1, words(rng, 30)), (2, None), (3, "too short"), (None, words(rng, 25))]
