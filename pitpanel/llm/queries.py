@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import bpe, brown, crosspolytope, decontaminate, langid, lengths, licenses, linededup, setjoin, warc
+from pitpanel.llm import bpe, brown, chatrepair, crosspolytope, decontaminate, langid, lengths, licenses, linededup, setjoin, warc
 from pitpanel.llm.common import shared_folder, table
 from pitpanel.llm.sql import SQL  # noqa: F401
 
@@ -76,6 +76,11 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return chatrepair.report(rows, chatrepair.damage(rows))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_line_dedup": op2_line_dedup,
@@ -87,4 +92,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
 }

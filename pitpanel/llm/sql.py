@@ -91,7 +91,75 @@ SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM firsts
 """
 
+def _plus(value: str, cost: str, edit: str) -> str:
+    """A value is the cost in twelve digits, then the audit, so that the least value is the cheapest and ASCII-least."""
+    return f"lpad((left({value}, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({value}, 13) || '{edit}'"
+
+
+def conversation_repair() -> str:
+    """Row after row with the least value for each state of the pattern, instead of intervals."""
+    kept = lambda letter, froms: ", ".join(f"CASE WHEN letter = '{letter}' THEN {_plus(v, 'cut', 'K')} END" for v in froms)
+    made = lambda froms: ", ".join(f"CASE WHEN letter <> '-' THEN {_plus(v, '2 + cut', 'R')} END" for v in froms)
+    gone = {k: _plus(f"v{k}", "3", "D") for k in range(4)}
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (
+  SELECT keyed.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(k) + 1), lambda i: unicode(substr(k, i, 1))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n,
+    trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    left(role, 1) AS initial, left(lag(role) OVER (PARTITION BY conv_id ORDER BY n), 1) AS before FROM numbered),
+symbols AS (
+  SELECT conv_id, n, role, text, initial, CASE WHEN fault IN ('blank', 'duplicate') THEN '-' ELSE initial END AS letter, (fault = 'truncated')::BIGINT AS cut FROM faults),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS size FROM faults GROUP BY conv_id),
+walk(conv_id, n, v0, v1, v2, v3) AS (
+  SELECT conv_id, 0::BIGINT, repeat('0', 12), NULL::VARCHAR, '000000000002I', '000000000004II' FROM counts
+  UNION ALL
+  SELECT conv_id, n, m0, m1, least(m2, {_plus("m3", "2", "I")}), m3 FROM (
+    SELECT conv_id, n, m0, m1, m2, least(n3, {_plus("m2", "2", "I")}) AS m3 FROM (
+      SELECT conv_id, n, n0 AS m0, n1 AS m1, n3, least(n2, {", ".join(_plus(x, "2", "I") for x in ("n0", "n1", "n3"))}) AS m2 FROM (
+        SELECT w.conv_id, s.n, {gone[0]} AS n0, least({gone[1]}, {kept("s", ["v0"])}) AS n1,
+          least({gone[2]}, {made(["v0", "v1", "v3"])}, {kept("u", ["v0", "v1", "v3"])}) AS n2,
+          least({gone[3]}, {made(["v2"])}, {kept("a", ["v2"])}) AS n3
+        FROM walk w JOIN symbols s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.n + 1)))),
+ends AS (
+  SELECT w.conv_id, least(v0, v3) AS best FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.n = c.size),
+edits AS (SELECT conv_id, unnest(range(1, length(best) - 11)) AS i, substr(best, 13) AS audit FROM ends),
+placed AS (
+  SELECT conv_id, i, substr(audit, i, 1) AS edit, length(replace(left(audit, i), 'I', '')) AS n, length(replace(left(audit, i), 'D', '')) AS j FROM edits),
+lines AS (
+  SELECT p.conv_id, i, edit, j, s.role, s.text, max((j = 1 AND edit = 'K' AND s.initial = 's')::INT) OVER (PARTITION BY p.conv_id) AS headed
+  FROM placed p LEFT JOIN symbols s ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.n = p.n AND p.edit <> 'I' WHERE edit <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (j - headed) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY i) AS body
+  FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(left(best, 12)::BIGINT, 0) AS cost,
+  coalesce(substr(best, 13), '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+  LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 SQL = {
+    "op11_conversation_repair": conversation_repair(),
     "op1_license_scans": license_scans(),
     "op2_line_dedup": LINE_DEDUP,
     "op5_warc": WARC,
