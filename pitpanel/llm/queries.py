@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import bpe, brown, chatrepair, crosspolytope, decontaminate, langid, lengths, licenses, linededup, setjoin, warc
+from pitpanel.llm import bpe, brown, chatrepair, crosspolytope, crosstoken, decontaminate, langid, lengths, licenses, linededup, secrets, setjoin, warc
 from pitpanel.llm.common import shared_folder, table
 from pitpanel.llm.sql import SQL  # noqa: F401
 
@@ -81,6 +81,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chatrepair.report(rows, chatrepair.damage(rows))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return crosstoken.score(table(spark, sf_dir, "documents").select("doc_id", "text"), *files)
+
+
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.Ledger(spark)
+    ledger.scan(docs)
+    return secrets.digest(ledger.paths(docs))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_line_dedup": op2_line_dedup,
@@ -93,4 +105,6 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_secret_scans": op13_secret_scans,
 }

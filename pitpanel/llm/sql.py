@@ -1,6 +1,6 @@
 """DuckDB SQL for the rows of queries that SQL can express."""
 
-from pitpanel.llm import licenses, linededup, warc
+from pitpanel.llm import licenses, linededup, secrets, warc
 
 
 def _quoted(text: str) -> str:
@@ -158,8 +158,33 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 """
 
 
+def secret_scans() -> str:
+    """Matches of every rule in every text, without ledger; places from the lengths of what lies before."""
+    found = " UNION ALL ".join(rf"""
+  SELECT k, {rank} AS rank, {_quoted(rule.kind)} AS kind, {max(rule.least, 1)} AS least, string_split_regex(text, {_quoted(secrets.pattern(rule))}) AS gaps,
+    regexp_extract_all(text, {_quoted(secrets.pattern(rule))}) AS hits, regexp_extract_all(text, {_quoted(secrets.pattern(rule))}, {rule.group}) AS kept
+  FROM docs WHERE regexp_matches(text, {_quoted(secrets.pattern(rule))})""" for rank, rule in enumerate(secrets.RULES))
+    base = ", ".join(_quoted(kind) for kind in secrets.BASE_KINDS)
+    return rf"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS k, coalesce(text, '') AS text FROM documents),
+found AS ({found}),
+places AS (
+  SELECT k, rank, kind, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start,
+    length(hits[i]) AS size, length(kept[i]) >= least AS fits FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found)),
+spans AS (SELECT k, rank, kind, start::BIGINT AS start, kind || ':' || start::BIGINT || ':' || (start + size)::BIGINT AS span FROM places WHERE fits),
+figures AS (
+  SELECT k, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(span, ',' ORDER BY start, rank) FILTER (kind IN ({base})) AS base, string_agg(span, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY k)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN figures USING (k)
+"""
+
+
 SQL = {
     "op11_conversation_repair": conversation_repair(),
+    "op13_secret_scans": secret_scans(),
     "op1_license_scans": license_scans(),
     "op2_line_dedup": LINE_DEDUP,
     "op5_warc": WARC,
