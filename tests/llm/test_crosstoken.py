@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -61,7 +62,7 @@ class Plain:
                 rows.append((0, 0, 0, 0, ""))
                 continue
             a, b = placed
-            found = [(i, j) for i, s, e in a for j, t, f in b if max(s, t) < min(e, f)] if len(a) < 3000 else None
+            found = [(i, j) for i, s, e in a for j, t, f in b if max(s, t) < min(e, f)] if len(a) < 300 else None
             if found is None:  # the same by a sweep, for long texts
                 found, k = [], 0
                 for i, s, e in a:
@@ -74,12 +75,13 @@ class Plain:
             links.append(found)
             counts.update(found)
             cuts = sorted({e for *_, e in a} & {e for *_, e in b})
-            parts = []
-            where = lambda tokens: [min(range(len(cuts)), key=lambda g: (cuts[g] < e, cuts[g])) for *_, e in tokens]
-            if len(a) < 3000:
-                ga, gb = where(a), where(b)
-                for g in range(len(cuts)):
-                    parts.append(",".join(str(x[0]) for x, y in zip(a, ga) if y == g) + "|" + ",".join(str(x[0]) for x, y in zip(b, gb) if y == g))
+            where = lambda tokens: [bisect_left(cuts, e) for *_, e in tokens]
+            ga, gb = where(a), where(b)
+            sides = [[[] for _ in cuts] for _ in "ab"]
+            for side, tokens, group in zip(sides, (a, b), (ga, gb)):
+                for x, g in zip(tokens, group):
+                    side[g].append(str(x[0]))
+            parts = [",".join(x) + "|" + ",".join(y) for x, y in zip(*sides)]
             rows.append((len(a), len(b), len(cuts), len(found), hashlib.sha256(";".join(parts).encode()).hexdigest() if parts else None))
         best = defaultdict(int)
         for (_, j), n in counts.items():
