@@ -44,6 +44,48 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Steps:
+    """Tables between the steps of a job, as compressed Parquet in the shared folder, deleted by name when they are done with.
+
+    While it is open as a context, Spark removes shuffle files as soon as the action that made them ends; at its end all tables
+    go and the session is as before. What outlives it has to be checkpointed.
+    """
+
+    _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, kind: str) -> None:
+        self.spark, self.kind, self.paths, self.number = spark, kind, {}, 0
+
+    def __enter__(self) -> Steps:
+        self.folder, self.before = shared_folder(self.spark, self.kind), self.spark.conf.get(self._CLEANUP, None)
+        self.spark.conf.set(self._CLEANUP, "true")
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.before is None:
+            self.spark.conf.unset(self._CLEANUP)
+        else:
+            self.spark.conf.set(self._CLEANUP, self.before)
+        self._delete(self.folder)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows of ``df``, written and read again."""
+        self.number += 1
+        path = f"{self.folder}/{self.number}-{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = (path, table)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            self._delete(self.paths.pop(id(table))[0])
+
+    def _delete(self, path: str) -> None:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     """Rows of ``counts`` with the highest counts, at most ``most``; rows of one count are all in or all out.
 

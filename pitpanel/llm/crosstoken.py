@@ -8,10 +8,13 @@ cuts are then refined by the lengths of the tokens' decoded bytes, from the last
 text characters are bytes, and the lengths alone are the cuts. Places where A and B both end divide the tokens into groups.
 Two tokens are linked where their bytes overlap; there is one link for each stretch between neighbouring cuts of either.
 
-Links are summed up by pair of ids within a text, within a task and then over the corpus. The HEAD most frequent pairs (13 bytes
+Neither tokenizer joins anything across a single space between two other characters: A starts a word there, and no piece
+of B has a space behind another character. So both end before each such space, groups and links never reach over it,
+and a word with its space always gives the same tokens, groups and links. Tasks remember those of short words; new
+ones are encoded many at a time, as one text. Long stretches without such a space are encoded as they are.
+
+Links are summed up by pair of ids within a text, within a task and then over the corpus. The HEAD most frequent pairs (17 bytes
 each) go to all tasks with their counts; texts' other pairs meet the table of counts in a join by pair, none of them frequent.
-Texts are cut into parts of about a million characters at spaces between ASCII letters or digits, over which neither tokenizer joins
-anything; a longer word stays whole.
 
 Null and empty texts, and texts whose joined bytes of A or B differ from a space and the text, have no tokens: all figures are 0
 and the digest is the empty string. Repeated rows count as often as they occur. Null identifiers are kept. Other
@@ -22,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,9 +39,9 @@ from pitpanel.session import stable
 HEAD = 1 << 19
 #: Pairs that a task holds before it reports their counts.
 HELD = 2_000_000
-#: Characters of a text that are encoded at once, if it has a safe cut.
-PART = 1 << 20
-_SAFE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+#: Words that a task remembers, twice as many at most; characters of such a word at most, characters of words that are encoded at once.
+REMEMBERED, SHORT, TOGETHER = 250_000, 64, 1 << 18
+_CUT = re.compile(r"(?<=\S) (?=[\w!-/:-@\[-`{-~])")
 _SHIFT = 32
 
 
@@ -72,38 +74,87 @@ class Tokenizers:
         self.divisible = not any(re.search("[^▁]▁", p) for p in pieces)
         a, b = range(len(self.a_bytes)), range(len(self.b_bytes))
         self.written = [f";{i}" for i in a] + [f",{i}" for i in a] + [f"|{i}" for i in b] + [f",{i}" for i in b]
-
-    def parts(self, text: str) -> Iterator[str]:
-        start = 0
-        while self.divisible and len(text) - start > PART and (cut := _SAFE.search(text, start + PART)):
-            yield text[start : cut.start()]
-            start = cut.end()
-        yield text[start:]
+        # what was needed lately, and what before that
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def coded(self, text: str):
         """Ids and byte ends of A and of B over a space and the text; None if either does not give those bytes."""
-        a_ids, a_ends, b_ids, b_ends, base = [], [], [], [], 0
-        for part in self.parts(text):
-            source = b" " + part.encode()
-            found = self.a.encode(" " + part, add_special_tokens=False)
-            a = np.array(found.ids, np.int64)
-            if part.isascii():
-                b = np.asarray(self.b.encode(part, return_type="numpy", num_threads=1), np.int64)
-                a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-            else:
-                at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in " " + part])])
-                a_end = refined(at[np.array(found.offsets, np.int64).reshape(-1, 2)], self.a_sizes[a])
-                spans = self.b.encode(part, return_type="offset_mapping", return_bytes=True, num_threads=1)
-                b = np.array(spans["ids"], np.int64)
-                coarse = np.array(spans["offsets"], np.int64).reshape(-1, 2) + 1
-                coarse[:1, 0] = 0
-                b_end = refined(coarse, self.b_sizes[b])
-            if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != source or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != source:
-                return None
-            for kept, new in ((a_ids, a), (b_ids, b), (a_ends, a_end + base), (b_ends, b_end + base)):
-                kept.append(new)
-            base += len(source)
-        return tuple(np.concatenate(x) for x in (a_ids, a_ends, b_ids, b_ends))
+        source = b" " + text.encode()
+        found = self.a.encode(" " + text, add_special_tokens=False)
+        a = np.array(found.ids, np.int64)
+        if text.isascii():
+            b = np.asarray(self.b.encode(text, return_type="numpy", num_threads=1), np.int64)
+            a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        else:
+            at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in " " + text])])
+            a_end = refined(at[np.array(found.offsets, np.int64).reshape(-1, 2)], self.a_sizes[a])
+            spans = self.b.encode(text, return_type="offset_mapping", return_bytes=True, num_threads=1)
+            b = np.array(spans["ids"], np.int64)
+            coarse = np.array(spans["offsets"], np.int64).reshape(-1, 2) + 1
+            coarse[:1, 0] = 0
+            b_end = refined(coarse, self.b_sizes[b])
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != source or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != source:
+            return None
+        return a, a_end, b, b_end
+
+    def words(self, text: str) -> list[str]:
+        """The text cut at its separating spaces, which go."""
+        return _CUT.split(text) if self.divisible else [text]
+
+    def remember(self, texts: list[list[str]]) -> None:
+        """Make sure that the short words of these texts are known."""
+        needed = {w for words in texts for w in words if len(w) <= SHORT}
+        if len(self.known) + len(needed) > REMEMBERED:
+            self.known, self.older = {w: self.known[w] for w in needed if w in self.known}, self.known
+        new = needed.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        new -= again
+        for plain in (True, False):
+            some, size = [], 0
+            for w in sorted(w for w in new if w.isascii() == plain):
+                if not _CUT.search(f"x {w[:1]}") or w[-1].isspace() or "▁" in w:
+                    self.known[w] = self.entries([w])[0]
+                    continue
+                some.append(w)
+                size += len(w)
+                if size >= TOGETHER:
+                    self.known.update(zip(some, self.entries(some)))
+                    some, size = [], 0
+            if some:
+                self.known.update(zip(some, self.entries(some)))
+
+    def entries(self, words: list[str]) -> list[tuple | None]:
+        """For each word n_a, n_b, n_groups, its groups written with a semicolon before each, packed pair codes of its links."""
+        coded = self.coded(" ".join(words))
+        if coded is None:
+            return [None] if len(words) == 1 else [self.entries([w])[0] for w in words]
+        a, a_ends, b, b_ends = coded
+        cuts, stretches = np.intersect1d(a_ends, b_ends, assume_unique=True), np.union1d(a_ends, b_ends)
+        links = a[np.searchsorted(a_ends, stretches)] << _SHIFT | b[np.searchsorted(b_ends, stretches)]
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        n, m = len(self.a_bytes), len(self.b_bytes)
+        codes = np.concatenate([a + n * ~_first(a_group), 2 * n + b + m * ~_first(b_group)])
+        codes = codes[np.argsort(np.concatenate([a_group, b_group]), kind="stable")]
+        ends = np.cumsum([1 + len(w.encode()) for w in words])
+        # all of them end where a word ends
+        upto = [np.searchsorted(x, ends, "right") for x in (a_ends, b_ends, cuts, stretches)]
+        n_a, n_b, n_groups, n_links = (np.diff(x, prepend=0).tolist() for x in upto)
+        text = list(map(self.written.__getitem__, codes.tolist()))
+        out, at, link = [], 0, 0
+        for x, y, g, k in zip(n_a, n_b, n_groups, n_links):
+            out.append((x, y, g, "".join(text[at : at + x + y]), links[link : link + k].tobytes()))
+            at, link = at + x + y, link + k
+        return out
+
+    def aligned(self, words: list[str]):
+        """n_a, n_b, n_groups, groups as ``a1,a2|b1;a3|b2,b3``, pair codes of all links; None if the bytes are others."""
+        found = [self.known[w] if len(w) <= SHORT else self.entries([w])[0] for w in words]
+        if None in found:
+            return None
+        n_a, n_b, n_groups, groups, links = zip(*found)
+        return sum(n_a), sum(n_b), sum(n_groups), "".join(groups)[1:], np.frombuffer(b"".join(links), np.int64)
 
 
 def refined(coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -119,26 +170,6 @@ def loaded(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-def aligned(tokenizers: Tokenizers, text: str | None):
-    """(ids of A, group of each, ids of B, group of each, pair codes of the links); None without tokens."""
-    coded = tokenizers.coded(text) if text else None
-    if coded is None:
-        return None
-    a, a_ends, b, b_ends = coded
-    cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    stretches = np.union1d(a_ends, b_ends)
-    links = a[np.searchsorted(a_ends, stretches)] << _SHIFT | b[np.searchsorted(b_ends, stretches)]
-    return a, np.searchsorted(cuts, a_ends), b, np.searchsorted(cuts, b_ends), links
-
-
-def written(tokenizers: Tokenizers, a, a_group, b, b_group) -> str:
-    """The groups as ``a1,a2|b1;a3|b2,b3``."""
-    n, m = len(tokenizers.a_bytes), len(tokenizers.b_bytes)
-    codes = np.concatenate([a + n * ~_first(a_group), 2 * n + b + m * ~_first(b_group)])
-    order = np.argsort(np.concatenate([a_group, b_group]), kind="stable")
-    return "".join(map(tokenizers.written.__getitem__, codes[order].tolist()))[1:]
-
-
 def _first(group: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], group[1:] != group[:-1]])
 
@@ -150,16 +181,16 @@ def _align(a_path: str, b_path: str, with_groups: bool):
     def align(batches):
         tokenizers = loaded(a_path, b_path)
         for pdf in batches:
-            out = []
-            for identifier, text in zip(pdf["id"], pdf["text"]):
-                found = aligned(tokenizers, text)
+            out, texts = [], [tokenizers.words(t) if t else [] for t in pdf["text"]]
+            tokenizers.remember(texts)
+            for identifier, words in zip(pdf["id"], texts):
+                found = tokenizers.aligned(words) if words else None
                 if found is None:
                     out.append((identifier, 0, 0, 0, 0, "", b"", b"", ""))
                     continue
-                a, a_group, b, b_group, links = found
+                n_a, n_b, n_groups, groups, links = found
                 pairs, times = np.unique(links, return_counts=True)
-                groups = written(tokenizers, a, a_group, b, b_group)
-                out.append((identifier, len(a), len(b), int(a_group[-1]) + 1, len(links), hashlib.sha256(groups.encode()).hexdigest(),
+                out.append((identifier, n_a, n_b, n_groups, len(links), hashlib.sha256(groups.encode()).hexdigest(),
                             np.diff(pairs, prepend=0).tobytes(), times.astype(np.uint32).tobytes(), groups if with_groups else ""))
             names = [x.split()[0] for x in _ALIGNED.split(", ")]
             pdf = pd.DataFrame(out, columns=[*names, "groups"])

@@ -17,12 +17,21 @@ from the start. The steps, each over all documents:
    qualify where the overlap that this bounds can reach the threshold; only those are opened, member by member.
 6. Links of 4 and 5 give the components. Pairs inside a group need no comparison: they are connected already.
 
+Before whole sets are compared, pairs have to pass a bound by MARKS counts for each set, of its shingles by the first bits of their
+hash: the sum of the smaller counts is never less than the overlap. Pairs that are left are verified in rounds by the
+hash of one side, as many as keep a round at half of the size of the sets themselves, so disk use follows
+the input. Tables between steps are deleted as soon as the next one is written.
+
+Shingles stand for themselves by 64-bit hashes: two different ones are taken for one with a chance of about 2^-64 for each pair of shingles.
+
 A null identifier links with nothing and gets a null component. Null and empty texts have no shingles and link with
 nothing. Rows that share an identifier count as one document. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -30,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pitpanel.llm.common import bounded_batches, most_frequent, release
+from pitpanel.llm.common import Steps, bounded_batches, most_frequent
 from pitpanel.llm.graph import components
 from pitpanel.session import stable
 
@@ -42,6 +51,10 @@ QUANTILE = 0.25
 COUNTED = 4_000_000
 #: Candidates under one prefix shingle, beyond which they get an order of their own.
 BUCKET = 48
+#: Counts of shingles by the first bits of their hash; pairs that a round verifies have at least so many bytes of sets.
+MARKS, ROUND_BYTES = 256, 64 << 20
+#: Sets that are sent to a semi join at most by broadcast, in rows of 8 bytes.
+BROADCAST_IDS = 1 << 21
 _SPACE = bytes([9, 10, 11, 12, 13, 32])
 _words: dict[bytes, int] = {}
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _SPACE, b"abcdefghijklmnopqrstuvwxyz" + b" " * 6)
@@ -129,8 +142,8 @@ def _prefixes(width: int, percent: int, frequent):
                 firsts.append(s[: _prefix_length(len(s), percent)].view(np.int64))
                 last = len(s) - -(-percent * len(s) // 100)
                 lates.append(int(last >= early))
-                ends.append(int(s[last] >> np.uint64(1)) if len(s) else 0)
-            yield pd.DataFrame({"id": pdf["id"], "n": sizes, "digest": sums, "prefix": firsts, "late": lates, "end": ends})
+                ends.append(lates[-1] << 30 | int(s[last] >> np.uint64(34)) if len(s) else 0)
+            yield pd.DataFrame({"id": pdf["id"], "n": sizes, "digest": sums, "prefix": firsts, "end": ends})
 
     return prefix
 
@@ -138,11 +151,26 @@ def _prefixes(width: int, percent: int, frequent):
 def _sets(width: int):
     def sets(batches):
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "tokens": [shingles(t, width).tobytes() for t in pdf["text"]]})
+            found = [shingles(t, width) for t in pdf["text"]]
+            counts = [np.bincount((a >> np.uint64(56)).view(np.int64), minlength=MARKS) for a in found]
+            # a count that needs more than a byte: no bound for this set
+            marks = [c.astype(np.uint8).tobytes() if len(c) == MARKS and c.max() < 256 else b"" for c in counts]
+            yield pd.DataFrame({"id": pdf["id"], "tokens": [a.tobytes() for a in found], "marks": marks})
 
     return sets
 
 
+@F.pandas_udf(LongType())
+def _most(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Upper bound of the overlap of two sets by their marks; -1 where there is none."""
+    out = np.full(len(a), -1, np.int64)
+    held = np.flatnonzero([len(x) > 0 and len(y) > 0 for x, y in zip(a, b)])
+    for some in np.array_split(held, 1 + len(held) // 4096):
+        x, y = (np.frombuffer(b"".join(s.iloc[some]), np.uint8).reshape(-1, MARKS) for s in (a, b))
+        out[some] = np.minimum(x, y).sum(1, dtype=np.int64)
+    return pd.Series(out)
+
+
 def _unpack(batches):
     for pdf in batches:
         arrays = [np.frombuffer(t, np.int64) for t in pdf["tokens"]]
@@ -183,107 +211,140 @@ def _reaching(met: DataFrame, percent: int) -> DataFrame:
     return met.where(F.col("common") + rest >= need).select("a", "b", "na", "nb").distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(steps: Steps, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) that link."""
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", _overlap("ta", "tb").alias("common"))
-    return both.where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
-
-
-def _second_order(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(kind, token, id, n, pos) of prefixes in the order of (documents of the crowd that hold the shingle, hash)."""
-    tokens = stable(sets.join(crowd, "id", "left_semi").mapInPandas(_unpack, "id long, token long"))
-    held = stable(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"))
+    marks = sets.select("id", "marks")
+    marked = pairs.join(marks.select(F.col("id").alias("a"), F.col("marks").alias("ma")), "a").join(marks.select(F.col("id").alias("b"), F.col("marks").alias("mb")), "b")
+    need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
+    left = steps.keep(marked.select("a", "b", "na", "nb", _most("ma", "mb").alias("most")).where((F.col("most") < 0) | (F.col("most") >= need)).drop("most"), "pairs")
+    held, whole = (df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] for df, size in ((left, 8 * F.col("na")), (sets, F.length("tokens"))))
+    rounds = 1 + held // max(ROUND_BYTES, whole // 2)
+    links = []
+    for k in range(rounds):
+        part = left.where(F.pmod(F.xxhash64("a"), F.lit(rounds)) == k)
+        both = part.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
+        both = both.select("a", "b", "na", "nb", _overlap("ta", "tb").alias("common"))
+        links.append(steps.keep(both.where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "links"))
+    steps.drop(left)
+    return reduce(DataFrame.unionByName, links)
+
+
+def _only(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose ``id`` is one of ``ids`` (different ones), which are broadcast if they are few."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return table.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def _second_order(steps: Steps, crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(kind, token, id, n, pos, end) of prefixes in the order of (documents of the crowd that hold the shingle, hash)."""
+    tokens = steps.keep(_only(sets.select("id", "tokens"), crowd.select("id")).mapInPandas(_unpack, "id long, token long"), "tokens")
+    held = steps.keep(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "held")
     shared = tokens.join(held, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("order"))
     sized = shared.join(crowd, "id")
     # shingles that no other one holds come first and match nothing: they only move the others back
     alone = (F.col("n") - F.size("order")).cast("int")
     last = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)).cast("int")
     # missing if the prefix has only shingles of its own: it has no rows below then
-    end = F.get("order", last - alone).cast("struct<major:bigint,minor:bigint>")
+    end = F.get("order", last - alone)
+    end = (F.shiftleft(F.least(end["held"], F.lit((1 << 20) - 1)).cast("int"), 11) + F.shiftrightunsigned(end["token"], 53).cast("int")).cast("int")
     rows = sized.select("id", "n", alone.alias("alone"), end.alias("end"), F.posexplode("order").alias("at", "x"))
     rows = rows.select(F.lit(1).alias("kind"), F.col("x.token").alias("token"), "id", "n", (F.col("at") + F.col("alone")).cast("int").alias("pos"), "end")
-    return rows.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100))
+    rows = steps.keep(rows.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)), "second")
+    steps.drop(tokens, held)
+    return rows
 
 
-def classes(docs: DataFrame, text: str, identifier: str, width: int, percent: int) -> DataFrame:
-    """(id, n, digest, prefix) of each row with an identifier; equal digests are equal sets."""
+def classes(steps: Steps, docs: DataFrame, text: str, identifier: str, width: int, percent: int) -> DataFrame:
+    """(id, n, digest, prefix, end) of each row with an identifier; equal digests are equal sets."""
     rows = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
     counted = rows.mapInPandas(_counts(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counted = stable(counted.where(F.col("n") >= FREQUENT))
+    counted = steps.keep(counted.where(F.col("n") >= FREQUENT), "counted")
     common = most_frequent(counted, "n", FREQUENT_MOST).select("token").toPandas()["token"].to_numpy(np.int64)
     frequent = docs.sparkSession.sparkContext.broadcast(np.sort(common.view(np.uint64)))
-    found = rows.mapInPandas(_prefixes(width, percent, frequent), "id long, n long, digest binary, prefix array<long>, late long, end long")
-    return stable(found.withColumn("end", F.struct(F.col("late").alias("major"), F.col("end").alias("minor"))).drop("late"))
+    steps.drop(counted)
+    return steps.keep(rows.mapInPandas(_prefixes(width, percent, frequent), "id long, n long, digest binary, prefix array<long>, end int"), "classes")
 
 
 def join(docs: DataFrame, text: str = "text", identifier: str = "doc_id", width: int = 3, percent: int = 90) -> DataFrame:
     """One row for each row of ``docs``: ``identifier``, n_shingles, component_id (smallest identifier that links lead to)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    own = classes(docs, text, identifier, width, percent)
-    release(spark)
-    # a table of its own: a join with it can then be split where one key has very many rows; so below
-    heads = stable(own.where("n > 0").groupBy("digest").agg(F.min("id").alias("head")))
-    first = own.join(heads, "digest").where("id = head").select("id", "n", "end", "prefix").dropDuplicates(["id", "n"])
-    first = stable(first)
-    rows = first.select(F.posexplode("prefix").alias("pos", "token"), "id", "n")
-    crowded = stable(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token"))
+    with Steps(spark, "jaccard") as steps:
+        own, heads, links = _links(steps, docs, text, identifier, width, percent)
+        parts = stable(components(links).select(F.col("node").alias("head"), "component"))
+        named = own.join(heads, "digest", "left").join(parts, "head", "left")
+        found = stable(named.select(F.col("id").alias(identifier), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "head", "id").alias("component_id")))
+    nameless = docs.where(F.col(identifier).isNull()).select(F.col(identifier), F.col(text).alias("text"))
+    blank = nameless.mapInPandas(_sizes(width), "n long").select(F.lit(None).cast("long").alias(identifier), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    return found.unionByName(blank)
+
+
+def _links(steps: Steps, docs: DataFrame, text: str, identifier: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, n, digest) of all rows, (digest, head) of their classes, and links (a, b) between heads that give all components."""
+    every = classes(steps, docs, text, identifier, width, percent)
+    # tables of their own: a join with them can then be split where one key has very many rows; so below
+    heads = steps.keep(every.where("n > 0").groupBy("digest").agg(F.min("id").alias("head")), "heads")
+    first = every.join(heads, "digest").where("id = head").select("id", "n", "end", "prefix").dropDuplicates(["id", "n"])
+    first = steps.keep(first, "first")
+    own = steps.keep(every.select("id", "n", "digest"), "own")
+    steps.drop(every)
+
+    rows = first.select("id", F.explode("prefix").alias("token"))
+    crowded = steps.keep(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token"), "crowded")
+    shared = steps.keep(rows.join(crowded, "token").groupBy("id").agg(F.count("*").alias("shared")), "shared")
     least = F.greatest(F.lit(1), F.floor(F.lit(SHARED) * F.ceil(F.lit(percent) * F.col("n") / 100)))
-    candidates = stable(rows.join(crowded, "token").groupBy("id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).select("id"))
-    del rows, crowded
-    release(spark)
-    rows = first.join(candidates, "id", "left_semi").select(F.lit(0).alias("kind"), F.posexplode("prefix").alias("pos", "token"), "id", "n", "end")
+    candidates = steps.keep(first.select("id", "n").join(shared, "id").where(F.col("shared") >= least).select("id"), "candidates")
+    steps.drop(crowded, shared)
+
+    rows = _only(first, candidates).select(F.lit(0).alias("kind"), F.posexplode("prefix").alias("pos", "token"), "id", "n", "end")
     rows = rows.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100))
-    sizes = stable(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"))
-    rows = stable(rows.join(sizes, "token"))
-    texts = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")).join(rows.select("id").distinct(), "id", "left_semi")
-    sets = stable(texts.mapInPandas(_sets(width), "id long, tokens binary"))
-    del first, candidates, sizes, texts
-    release(spark)
-    crowd = stable(rows.where(F.col("size") > BUCKET).select("id", "n").distinct())
-    rows = stable(rows.where(F.col("size") <= BUCKET).select("kind", "token", "id", "n", "pos", "end").unionByName(_second_order(crowd, sets, percent)))
+    sizes = steps.keep(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    rows = steps.keep(rows.join(sizes, "token").select("kind", "token", "id", "n", "pos", "end", "size"), "rows")
+    steps.drop(first, candidates, sizes)
+
+    texts = _only(docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")), rows.select("id").distinct())
+    sets = steps.keep(texts.mapInPandas(_sets(width), "id long, tokens binary, marks binary"), "sets")
+    crowd = steps.keep(rows.where(F.col("size") > BUCKET).select("id", "n").distinct(), "crowd")
+    second = _second_order(steps, crowd, sets, percent)
+    placed = steps.keep(rows.where(F.col("size") <= BUCKET).drop("size").unionByName(second), "placed")
+    steps.drop(rows, crowd, second)
 
     key = ["kind", "token"]
     place = F.struct("pos", "n", "id")
-    leader = rows.groupBy(*key).agg(F.min(place).alias("lead"), F.count("*").alias("size")).where("size > 1")
-    leader = stable(leader.select(*key, F.col("lead.id").alias("id"), F.col("lead.n").alias("n"), F.col("lead.pos").alias("pos")))
-    led = rows.alias("a").join(leader.alias("b"), key).where((F.col("a.id") != F.col("b.id")) & _bounds(percent))
-    pairs = led.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct()
-    links = stable(_verified(pairs, sets, percent))
-    del crowd, leader, led, pairs
-    release(spark)
-
-    grouped = rows.join(components(links).withColumnRenamed("node", "id"), "id", "left")
-    grouped = stable(grouped.withColumn("group", F.coalesce("component", "id")).drop("component"))
+    leader = placed.groupBy(*key).agg(F.min(place).alias("lead"), F.count("*").alias("size")).where("size > 1")
+    leader = steps.keep(leader.select(*key, F.col("lead.id").alias("id"), F.col("lead.n").alias("n"), F.col("lead.pos").alias("pos")), "leader")
+    led = placed.alias("a").join(leader.alias("b"), key).where((F.col("a.id") != F.col("b.id")) & _bounds(percent))
+    pairs = steps.keep(led.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct(), "led")
+    steps.drop(leader)
+    near = _verified(steps, pairs, sets, percent)
+    steps.drop(pairs)
+
+    grouped = placed.join(components(near).withColumnRenamed("node", "id"), "id", "left")
+    grouped = steps.keep(grouped.withColumn("group", F.coalesce("component", "id")).drop("component"), "grouped")
+    steps.drop(placed)
     matrix = grouped.groupBy(*key, "group").agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("rest"))
-    several = stable(matrix.groupBy(*key).agg(F.count("*").alias("groups")).where("groups > 1").select(*key))
-    matrix = stable(matrix.join(several, key))
-    del rows, several
-    release(spark)
+    matrix = steps.keep(matrix, "matrix")
+    # a group whose overlap with the smallest set that it can link to is out of reach takes no part
+    several = steps.keep(matrix.groupBy(*key).agg(F.count("*").alias("groups"), F.min("n_min").alias("n_least")).where("groups > 1").drop("groups"), "several")
+    partner = F.greatest(F.col("n_least"), F.ceil(F.lit(percent) * F.col("n_min") / 100))
+    reach = F.ceil(F.lit(percent) * (F.col("n_min") + partner) / (100 + percent)) <= F.col("rest")
+    able = steps.keep(matrix.join(several, key).where(reach).drop("n_least"), "able")
+    steps.drop(matrix, several)
     least = F.ceil(F.lit(percent) * (F.col("a.n_min") + F.col("b.n_min")) / (100 + percent))
     qualify = (
         (F.col("a.group") < F.col("b.group"))
         & (least <= F.least("a.rest", "b.rest"))
         & (F.lit(percent) * F.col("a.n_min") <= 100 * F.col("b.n_max")) & (F.lit(percent) * F.col("b.n_min") <= 100 * F.col("a.n_max"))
     )
-    opened = matrix.alias("a").join(matrix.alias("b"), key).where(qualify)
-    opened = opened.select(F.col("a.group").alias("group"), F.col("b.group").alias("other")).distinct()
+    opened = able.alias("a").join(able.alias("b"), key).where(qualify)
+    opened = steps.keep(opened.select(F.col("a.group").alias("group"), F.col("b.group").alias("other")).distinct(), "opened")
+    steps.drop(able)
     members = grouped.join(opened, "group").alias("a")
     met = members.join(grouped.alias("b"), [F.col("a.other") == F.col("b.group"), *[F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]])
-    met = _reaching(met.where(_sizes_fit(percent)), percent)
-    links = stable(links.unionByName(_verified(met, sets, percent)))
-    del sets, grouped, matrix, opened, members, met
-    release(spark)
-
-    parts = components(links).select(F.col("node").alias("head"), "component")
-    named = own.select("id", "n", "digest").join(heads, "digest", "left").join(parts, "head", "left")
-    found = named.select(F.col("id").alias(identifier), F.col("n").alias("n_shingles"), F.coalesce("component", "head", "id").alias("component_id"))
-    nameless = docs.where(F.col(identifier).isNull()).select(F.col(identifier), F.col(text).alias("text"))
-    blank = nameless.mapInPandas(_sizes(width), "n long").select(F.lit(None).cast("long").alias(identifier), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return found.unionByName(blank)
+    met = steps.keep(_reaching(met.where(_sizes_fit(percent)), percent), "met")
+    steps.drop(grouped, opened)
+    return own, heads, near.unionByName(_verified(steps, met, sets, percent))
 
 
 def _sizes(width: int):

@@ -121,15 +121,24 @@ def test_rare_pairs_go_through_the_join(spark, plain, monkeypatch):
     assert rows_of(crosstoken.score(df, A, B)) == want
 
 
-def test_long_texts_in_parts(plain, monkeypatch):
-    text = " ".join(random.Random(4).choices(["word", "it's", "über", "漢字", "x1", "\n", "", "and", "</s>"], k=2000))
+def test_words_alone_give_what_the_whole_text_gives(plain, monkeypatch):
+    dice = random.Random(4)
     tokenizers = crosstoken.loaded(A, B)
     assert tokenizers.divisible
-    whole = tokenizers.coded(text)
-    monkeypatch.setattr(crosstoken, "PART", 50)
-    assert len(list(tokenizers.parts(text))) > 20
-    for x, y in zip(whole, tokenizers.coded(text)):
-        assert (x == y).all()
+    for bits in (["word", "it's", "über", "漢字", "x1", "\n", "", "and", "</s>", "(a)", "\u00a0", "e\u0301", "\u0301", "\t", "'s", "don't", "99", "…"], ["the", "of", "-", "a.b", "\x1f", "y" * 90]):
+        for sep in (" ", "  ", ""):
+            for _ in range(60):
+                text = sep.join(dice.choices(bits, k=12)) + dice.choice(["", " ", "\n"])
+                whole, words = tokenizers.entries([text])[0], tokenizers.words(text)
+                tokenizers.remember([words])
+                n_a, n_b, n_groups, groups, links = tokenizers.aligned(words)
+                assert (n_a, n_b, n_groups, ";" + groups, links.tobytes()) == whole, text
+    monkeypatch.setattr(crosstoken, "REMEMBERED", 3)
+    for text in ("one two three four five", "six seven one two", "x" * 70 + " one"):
+        words = tokenizers.words(text)
+        tokenizers.remember([words])
+        assert tokenizers.aligned(words)[:3] == tokenizers.entries([text])[0][:3]
+    assert len(tokenizers.known) + len(tokenizers.older) <= 10
 
 
 def test_cuts_come_from_both_reports():

@@ -80,3 +80,16 @@ def test_near_copies_against_brute_force_at_five_words(spark, small):
     assert 6 < len(want) < len(docs)
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.keep_one_of_near_copies(spark, df, small).collect()) == want
+
+
+def test_rows_that_share_an_identifier_but_not_the_text(spark, small):
+    near = [f"w{k}" for k in range(100)]
+    far = " ".join(f"v{k}" for k in range(80))
+    other = " ".join(f"u{k}" for k in range(80))
+    rows = [(5, far, 1), (5, other, 2), (5, far, 3), (9, " ".join(near), 4), (9, " ".join(near + ["more"]), 5), (4, other + " end", 6), (5, None, 7), (None, far, 8), (None, far, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id long")
+    left = corpus_pipeline.keep_one_of_near_copies(spark, df, small)
+    assert left.columns == df.columns
+    kept = sorted((str(r["doc_id"]), (r["text"] or "")[:3]) for r in left.collect())
+    # of 4 and the other text of 5 the smaller identifier stays; of both texts of 9 one; texts without words stay
+    assert kept == [("4", "u0 "), ("5", ""), ("5", "v0 "), ("9", "w0 "), ("None", "v0 "), ("None", "v0 ")]

@@ -80,3 +80,54 @@ def test_query(spark, small):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op9_ngram_jaccard_join(spark, small).collect()}
     assert got == brute(docs)
+
+
+def test_a_large_family_just_below_the_threshold_opens_no_pairs(spark):
+    rng = random.Random(6)
+    base = [f"core{k}" for k in range(120)]
+    docs = []
+    for k in range(3000):  # each has words of its own at three places: any two share less than 90 percent, all share most
+        words = list(base)
+        for at in rng.sample(range(10), 3):
+            words[5 + 11 * at] = f"own{k}x{at}"
+        docs.append((k, " ".join(words)))
+    docs += [(5000 + k, docs[7 * k][1] + f" end{k}") for k in range(40)]  # and some have a real partner
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in setjoin.join(df).collect()}
+    sets = {i: grams(t) for i, t in docs}
+    for i, c in got.items():
+        assert c == (7 * (i - 5000) if i >= 5000 else i), i
+    for k in range(40):
+        a, b = sets[7 * k], sets[5000 + k]
+        assert 100 * len(a & b) >= 90 * len(a | b)
+    some = rng.sample(range(3000), 40)
+    assert all(100 * len(sets[x] & sets[y]) < 90 * len(sets[x] | sets[y]) for x in some for y in some if x < y)
+
+
+def test_marks_bound_the_overlap_and_rounds_lose_no_pair(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(0, 2**63, rng.integers(1, 900), dtype=np.uint64)) for _ in range(2))
+        b = np.unique(np.concatenate([b, rng.choice(a, len(a) // 2)]))
+        marks = [np.bincount((x >> np.uint64(56)).view(np.int64), minlength=setjoin.MARKS).astype(np.uint8).tobytes() for x in (a, b)]
+        most = setjoin._most.func(pd.Series(marks[:1] + [b""]), pd.Series(marks[1:] + [b""])).tolist()
+        assert most[0] >= len(np.intersect1d(a, b)) and most[1] == -1
+    monkeypatch.setattr(setjoin, "ROUND_BYTES", 1)
+    monkeypatch.setattr(setjoin, "BROADCAST_IDS", 0)
+    docs = family(random.Random(5), 100, 60, 4, 0) + family(random.Random(9), 60, 20, 2, 500)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(df) == brute(docs)
+
+
+def test_no_table_of_a_step_is_left(spark, small):
+    import os
+
+    before = set(os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:"))) if spark.sparkContext.getCheckpointDir() else set()
+    assert setjoin.join(spark.read.parquet(f"{small}/documents.parquet")).count() > 0
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    folders = [base, os.path.dirname(base)]
+    left = {x for f in folders for x in os.listdir(f) if x.startswith("jaccard")} - before
+    assert not left
