@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.llm import bpe, decontaminate, langid, linededup, setjoin
 from pitpanel.llm.common import release, shared_folder, table
+from pitpanel.operators import blocks
 from pitpanel.session import stable
 
 
@@ -43,15 +44,34 @@ def delete_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each connected group, that with the smallest identifier; one row if rows repeat it.
 
-    Rows without identifier link with nothing and stay.
+    Rows are one document if identifier and text are equal. Rows that share only the identifier are documents of their
+    own; among them the text with the smallest SHA-256 comes first. Rows without identifier link with nothing and stay.
     """
-    joined = setjoin.join(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
-    gone = stable(joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct())
+    times = docs.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.sha2("text", 256)).alias("a"), F.max(F.sha2("text", 256)).alias("b"),
+                                       F.count("text").alias("known"))
+    named = times.where("doc_id is not null")
+    most, several = named.agg(F.max("n"), F.max((~F.col("a").eqNullSafe(F.col("b")) | ~F.col("known").isin(0, F.col("n"))).cast("int"))).first()
+    if several:
+        docs = _numbered(docs)
+    key = "__number" if several else "doc_id"
+    joined = setjoin.join(docs, identifier=key, width=NEAR_WIDTH, percent=NEAR_PERCENT)
+    gone = stable(joined.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct())
+    few = gone.count() <= setjoin.BROADCAST_IDS
     del joined
     release(spark)
-    kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    # rows with one identifier count as one document
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    kept = docs.join(F.broadcast(gone) if few else gone, docs[key] == F.col("__gone"), "left_anti")
+    if (most or 0) > 1:
+        kept = kept.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(kept.where(F.col(key).isNull()))
+    return kept.drop("__number")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each (identifier, text), in the order of identifier and SHA-256 of the text; null without identifier."""
+    mark = F.coalesce(F.sha2("text", 256), F.lit("")).alias("__mark")
+    pairs = docs.where("doc_id is not null").select("doc_id", mark).distinct()
+    numbers = stable(blocks.row_positions(pairs, [], ["doc_id", "__mark"], "__number"))
+    marked = docs.withColumn("__mark", mark)
+    return stable(marked.join(numbers, ["doc_id", "__mark"], "left").select(*_own(docs), "__number"))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
