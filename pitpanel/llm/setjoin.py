@@ -50,7 +50,7 @@ QUANTILE = 0.25
 #: Shingles that a task holds before it reports those that occurred several times.
 COUNTED = 4_000_000
 #: Candidates under one prefix shingle, beyond which they get an order of their own.
-BUCKET = 48
+BUCKET = 8
 #: Counts of shingles by the first bits of their hash; pairs that a round verifies have at least so many bytes of sets.
 MARKS, ROUND_BYTES = 256, 64 << 20
 #: Sets that are sent to a semi join at most by broadcast, in rows of 8 bytes.
