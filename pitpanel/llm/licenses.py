@@ -134,11 +134,92 @@ public-domain; public domain; released into the public domain; is in the public
 proprietary; proprietary; all rights reserved; proprietary license|licence; confidential and proprietary
 """
 
+#: Sentences of license texts themselves, for texts without the name of their license: label; sentences as above.
+BODIES = """
+mit; permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files; to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute; the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+mit-0; to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and|or or? sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided
+x11; except as contained in this notice the name|names of the above|x copyright|consortium holders? shall not be used in advertising or otherwise to promote the sale use or other dealings
+isc; permission to use copy modify and|or or? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice; the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness
+0bsd; permission to use copy modify and|or or? distribute this software for any purpose with or without fee is hereby granted the software is provided as is
+hpnd; permission to use copy modify and distribute this software and its documentation for any purpose and? without fee is hereby granted; not be used in advertising or publicity pertaining to distribution of the software without specific written prior permission
+postgresql; permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
+ntp; permission to use copy modify and distribute this software and its documentation for any purpose with or without fee is hereby granted
+bsd; redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met; redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer; redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer
+bsd-3-clause; neither the name of; may be used to endorse or promote products derived from this software without specific prior written permission
+bsd-4-clause; all advertising materials mentioning features or use of this software must display the following acknowledgement|acknowledgment
+bsd-2-clause-views; the views and conclusions contained in the software and documentation are those of the authors and should not be interpreted as representing official policies
+bsd-3-clause-clear; no express or implied licenses to any party s patent rights are granted by this license
+ncsa; to deal with the software without restriction including without limitation the rights to use copy modify merge; redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers
+apache-1.1; the end user documentation included with the redistribution if any must include the following acknowledgment; products derived from this software may not be called apache nor may apache appear in their name
+apache-2.0; you may not use this file except in compliance with the license you may obtain a copy of the license at; unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis; without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations; you must cause any modified files to carry prominent notices stating that you changed the files; each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright|patent license
+gpl; this program is free software you can redistribute it and or modify it under the terms of the gnu general public license; this program is distributed in the hope that it will be useful but without any warranty; you should have received a copy of the gnu general public license along with this program; everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed; when we speak of free software we are referring to freedom not price
+gpl-2.0; the licenses for most software are designed to take away your freedom to share and change it; these requirements apply to the modified work as a whole if identifiable sections of that work are not derived from the program; you are not required to accept this license since you have not signed it however nothing else grants you permission to modify or distribute
+gpl-3.0; the gnu general public license is a free copyleft license for software and other kinds of works; to propagate a work means to do anything with it that without permission would make you directly or secondarily liable for infringement; no covered work shall be deemed part of an effective technological measure
+lgpl; this library is free software you can redistribute it and or modify it under the terms of the gnu lesser|library general public license; this library is distributed in the hope that it will be useful but without any warranty; you should have received a copy of the gnu lesser|library general public license along with this library
+lgpl-2.1; this license the lesser general public license applies to some specially designated software packages typically libraries; a work that uses the library
+lgpl-3.0; an application is any work that makes use of an interface provided by the library but which is not otherwise based on the library
+agpl-3.0; if you modify the program your modified version must prominently offer all users interacting with it remotely through a computer network; specifically designed to ensure cooperation with the community in the case of network server software
+agpl; you should have received a copy of the gnu affero general public license along with this program
+gfdl; permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license; with no invariant sections no front cover texts and no back cover texts; the purpose of this license is to make a manual textbook or other functional and useful document free
+mpl-1.1; the contents of this file are subject to the mozilla public license version; software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied see the license for the specific language governing rights and limitations; the initial developer of the original code is
+mpl-2.0; this source code form is subject to the terms of the mozilla public license v 2 0; if a copy of the mpl was not distributed with this file you can obtain one at; this source code form is incompatible with secondary licenses
+epl; the accompanying program is provided under the terms of this eclipse public license agreement; any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement
+epl-2.0; this program and the accompanying materials are made available under the terms of the eclipse public license 2 0
+cddl-1.0; the contents of this file are subject to the terms of the common development and distribution license; when distributing covered code include this cddl header in each file
+cpl-1.0; the accompanying program is provided under the terms of this common public license agreement
+ipl-1.0; the accompanying program is provided under the terms of this ibm public license agreement
+apsl-2.0; this file contains original code and or modifications of original code as defined in and that are subject to the apple public source license
+artistic; the intent of this document is to state the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control
+artistic-2.0; this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed
+bsl-1.0; permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license; the copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included
+busl-1.1; the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work; effective on the change date or the fourth anniversary of the first publicly available distribution
+sspl-1.0; if you make the functionality of the program or a modified version available to third parties as a service you must make the service source code available
+elastic-2.0; you may not provide the software to third parties as a hosted or managed service where the service provides users with access to any substantial set of the features; you may not move change disable or circumvent the license key functionality in the software
+unlicense; this is free and unencumbered software released into the public domain; anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
+zlib; in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose; the origin of this software must not be misrepresented you must not claim that you wrote the original software; altered source versions must be plainly marked as such and must not be misrepresented as being the original software
+libpng; the origin of this source code must not be misrepresented; altered versions must be plainly marked as such and must not be misrepresented as being the original source
+curl; permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software
+openssl; this product includes software developed by the openssl project for use in the openssl toolkit; the names openssl toolkit and openssl project must not be used to endorse or promote products
+ssleay; this library is free for commercial and non commercial use as long as the following conditions are aheared to
+python-2.0; psf hereby grants licensee a nonexclusive royalty free world wide license to reproduce analyze test perform and or display publicly; psf is making python available to licensee on an as is basis
+php-3.01; products derived from this software may not be called php nor may php appear in their name
+ruby; you may make and give away verbatim copies of the source form of the software without restriction provided that you duplicate all of the original copyright notices; you may modify your copy of the software in any way provided that you do at least one of the following
+vim; there are no restrictions on distributing unmodified copies of vim except that they must include this license text
+w3c; permission to copy modify and distribute this work with or without modification for any purpose and without fee or royalty is hereby granted
+unicode-3.0; permission is hereby granted free of charge to any person obtaining a copy of data files and any associated documentation
+ofl-1.1; this font software is licensed under the sil open font license; no modified version of the font software may use the reserved font name s unless explicit written permission is granted; neither the font software nor any of its individual components in original or modified versions may be sold by itself
+eupl; the work is provided under the terms of this licence when the licensor as defined below has placed the following notice
+ms-pl; if you use the software you accept this license if you do not accept the license do not use the software; if you bring a patent claim against any contributor over patents that you claim are infringed by the software
+ms-rl; for any file you distribute that contains code from the software in source code or binary format you must provide recipients the source code to that file
+afl-3.0; licensor hereby grants you a worldwide royalty free non exclusive sublicensable license for the duration of the copyright
+qpl-1.0; this license applies to any software containing a notice placed by the copyright holder saying that it may be distributed under the terms of the q public license
+sleepycat; redistributions in any form must be accompanied by information on how to obtain complete source code for the software and any accompanying software that uses the software
+mulanpsl-2.0; subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide royalty free non exclusive irrevocable copyright license to reproduce use modify or distribute its contribution
+lppl-1.3c; this work may be distributed and or modified under the conditions of the latex project public license; this work has the lppl maintenance status
+blueoak-1.0.0; each contributor licenses you to do everything with this software that would otherwise infringe that contributor s copyright in it
+json; the software shall be used for good not evil
+beerware; as long as you retain this notice you can do whatever you want with this stuff if we meet some day and you think this stuff is worth it
+wtfpl; everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed
+odbl-1.0; you are free to share copy distribute and use the database to create produce works from the database to adapt modify transform and build upon the database
+odc-by-1.0; you must attribute any public use of the database or works produced from the database
+pddl-1.0; the rightsholder permanently and irrevocably makes the work available to the public for any use of any kind
+cdla-permissive-2.0; the agreement does not impose any restriction or obligations with respect to the use modification or sharing of results
+openrail; you agree not to use the model or derivatives of the model in any way that violates any applicable national federal state local or international law
+cc0-1.0; the person who associated a work with this deed has dedicated the work to the public domain; affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders all of affirmer s copyright; to the extent possible under law the|this author|person s? has|have waived all copyright and related or neighboring rights to
+cc; by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons; you must give appropriate credit provide a link to the license and indicate if changes were made; you may not apply legal terms or technological measures that legally restrict others from doing anything the license permits
+cc-by-sa; if you remix transform or build upon the material you must distribute your contributions under the same license as the original
+cc-by-nc; you may not use the material for commercial purposes
+cc-by-nd; if you remix transform or build upon the material you may not distribute the modified material
+public-domain; the author|authors hereby? disclaims|disclaim copyright to this source code; this work has been released into the public domain by its author; no copyright is claimed in the united states under title 17
+proprietary; this software is the confidential and proprietary information of; unauthorized copying of this file via any medium is strictly prohibited; you shall not disclose such confidential information and shall use it only in accordance with the terms of the license agreement; no part of this publication|document|work may be reproduced distributed or transmitted in any form or by any means; this program contains proprietary information and is protected by copyright law; you may not reverse engineer decompile or disassemble the software
+warranty-disclaimer; the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement; in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise; any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed
+"""
+
 #: Words that are too common in licenses to gate a rule by themselves.
 _WEAK = {"license", "version", "public", "the", "and", "software", "general", "source", "open", "free"}
-TAG, NOTICE, NAME = 3, 2, 1
+TAG, NOTICE, BODY, NAME = 4, 3, 2, 1
 #: Confidence of each level.
-SCORE = {TAG: 1.0, NOTICE: 0.95, NAME: 0.8}
+SCORE = {TAG: 1.0, NOTICE: 0.95, BODY: 0.9, NAME: 0.8}
 _HIT = "struct<first:int,reach:int,rank:int,rule:int,label:string,level:int,last:int>"
 
 
@@ -158,7 +239,7 @@ def _keyword(tokens: list[str]) -> str:
 
 
 def rules() -> list[tuple[str, int, str, str, str]]:
-    """(label, level, two keywords, pattern) in order: identifier tags, license notices, bare names."""
+    """(label, level, two keywords, pattern) in order: identifier tags, license notices, sentences of license texts, bare names."""
     tags, notices, names = [], [], []
     for line in SIGNATURES.strip().splitlines():
         label, *forms = ([*part.split()] for part in line.split(";"))
@@ -169,8 +250,14 @@ def rules() -> list[tuple[str, int, str, str, str]]:
             notices.append((label, NOTICE, "under", _keyword(form), _pattern([*start, *form])))
         for form in forms if len(tag) > 1 else forms[1:]:
             names.append((label, NAME, _keyword(form), _keyword(form), _pattern(form)))
+    bodies = []
+    for line in BODIES.strip().splitlines():
+        label, *sentences = ([*part.split()] for part in line.split(";"))
+        for words in sentences:
+            one, two = sorted({t for t in words if "|" not in t and not t.endswith("?")} - _WEAK, key=lambda t: (-len(t), t))[:2]
+            bodies.append((label[0], BODY, one, two, _pattern(words)))
     base = [(label, NAME, _keyword(p.split()), _keyword(p.split()), _pattern(p.split())) for p, label in BASE.items()]
-    return list(dict.fromkeys([*tags, *notices, *names, *base]))
+    return list(dict.fromkeys([*tags, *notices, *bodies, *names, *base]))
 
 
 def keywords() -> list[str]:

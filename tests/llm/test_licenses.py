@@ -42,6 +42,20 @@ def test_rules_are_hundreds_and_all_match_something():
     assert all(k for r in rules for k in r[2:4])
 
 
+def test_license_texts_without_their_name(spark):
+    texts = [
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute',
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice",
+        "Redistribution and use in source and binary forms, with or without modification,\n * are permitted provided that the following conditions are met: neither the name of X may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "You may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "permission to use this house", "redistribution of wealth and use of source",
+    ]
+    got = run(spark, texts)
+    assert [got[k]["labels"] for k in range(7)] == ["mit", "isc", "bsd,bsd-3-clause", "apache-2.0", "mpl-2.0", "", ""]
+    assert [got[k]["score"] for k in range(7)] == [0.9] * 5 + [0.0] * 2
+    assert sum(r[1] == licenses.BODY for r in licenses.rules()) > 130
+
+
 def test_columns_and_empty_table(spark):
     df = spark.createDataFrame([(1, "mit license", "a", "b"), (1, "mit license", None, None)], "doc_id long, text string, words string, rule string")
     out = licenses.scan(df)
