@@ -1,18 +1,23 @@
 """Language-model scoring with a class-based bigram model: P(text) = product of P(class | class before) * P(word | class).
 
-Word counts cover the whole training corpus and stay a distributed table. The most frequent words, HEAD at most and all
-of a count or none, are broadcast.
-The CLUSTERED most frequent of these are put into CLASSES classes by exchange: a word moves to the class with the best
-bigram likelihood, until no pass changes anything. Its input is a matrix of bigram counts over all training texts, as
-large as CLUSTERED squared at any size of the corpus. Further head words form one class for each power of four of their
-count, all other words the tail class, text ends a class of their own. Class transitions are interpolated with class
+Word counts cover the whole training corpus and stay a distributed table. The vocabulary, all words that occur LEAST times,
+is put into CLASSES classes by exchange: a word moves to the class with the best bigram likelihood. It grows with the corpus;
+since the words go to all tasks, HEAD of them is the most (the most frequent, all of a count or none).
+
+Bigrams of all training texts are a table as well, with one row for each word of the vocabulary and its neighbours on either
+side, at most as many as there are words. The exchange begins with the SEED most frequent words, whose moves depend on each other most: these
+are moved one by one until none moves. Then all words move in rounds. In a round the words of every other rank look for
+their best class in tasks, given the classes of the round before; the moves count if the likelihood of the whole corpus, taken anew, is
+higher. Rounds end when a pair of them gains less than a share GAIN of all that was gained.
+
+Words outside the vocabulary form the tail class, text ends a class of their own. Class transitions are interpolated with class
 frequencies; in the tail class every count is raised by one and one more is kept for unknown words.
 
-Scores of head words are summed in the task that reads a text. Tail words are joined with the counts by word; no single
+Scores of vocabulary words are summed in the task that reads a text. Tail words are joined with the counts by word; no single
 one of them is frequent, so that join has no hot key. Sums go back to the row by a row number.
 
 Null text counts as empty: it has its end token only. Without training rows all counts are 0. Repeated rows are scored
-one by one (and counted one by one in training); other columns are not looked at.
+one by one (and counted one by one in training); other columns are not looked at. Texts of any length are read word by word.
 """
 
 from __future__ import annotations
@@ -26,13 +31,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import bounded_batches, crc_of, most_frequent
+from pitpanel.llm.common import Steps, bounded_batches, crc_of, most_frequent
 from pitpanel.session import stable
 
-#: Words that are broadcast, words that are clustered, and classes for these.
-HEAD, CLUSTERED, CLASSES = 1 << 17, 500, 50
-#: Passes of the exchange at most; each one that changes something raises the likelihood.
-PASSES = 20
+#: Words that are broadcast at most, words that the exchange begins with, and classes.
+HEAD, CLUSTERED, CLASSES = 1 << 18, 500, 50
+#: Times that a word occurs at least to be in the vocabulary.
+LEAST = 8
+#: Share of all gains so far that a pair of rounds has to add for another one.
+GAIN = 0.01
+#: Bigrams that a task holds before it reports their counts.
+HELD = 3_000_000
 #: Weight of the class bigrams against class frequencies.
 BIGRAM = 0.9
 _WHITE = bytes([9, 10, 11, 12, 13])
@@ -62,6 +71,42 @@ def _count(batches):
         yield flush()
 
 
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def likelihood(joint: np.ndarray) -> float:
+    """What the exchange raises: sum n(g,h) log n(g,h) - sum n(g,.) log n(g,.) - sum n(.,g) log n(.,g)."""
+    return float(_xlogx(joint).sum() - _xlogx(joint.sum(0)).sum() - _xlogx(joint.sum(1)).sum())
+
+
+def _take(joint: np.ndarray, c: int, out: np.ndarray, inn: np.ndarray, own: float, sign: int) -> None:
+    """Give a word's bigrams to class c, or take them away; ``out`` and ``inn`` are those with other words by class."""
+    joint[c] += sign * out
+    joint[:, c] += sign * inn
+    joint[c, c] += sign * own
+
+
+def _best(joint: np.ndarray, out: np.ndarray, inn: np.ndarray, own: float, classes: int, old: int) -> int:
+    """The class with the best likelihood for a word whose bigrams ``joint`` is without; equal ones: the old or the lowest."""
+    # totals of each class with the bigrams between it and the word, wherever that goes
+    rows, cols = joint.sum(1) + inn, joint.sum(0) + out
+    total_out, total_in = out.sum() + own, inn.sum() + own
+    c = np.arange(classes)
+    # class c takes the word: row c gains `out`, column c gains `inn`, the cell (c, c) both and the word's own;
+    # only cells where the word has bigrams change
+    h, g = np.flatnonzero(out), np.flatnonzero(inn)
+    row = (_xlogx(joint[:classes, h] + out[h]) - _xlogx(joint[:classes, h])).sum(1)
+    col = (_xlogx(joint[g, :classes] + inn[g, None]) - _xlogx(joint[g, :classes])).sum(0)
+    cell = joint[c, c]
+    both = _xlogx(cell + out[:classes] + inn[:classes] + own) - _xlogx(cell)
+    row -= _xlogx(cell + out[:classes]) - _xlogx(cell)
+    col -= _xlogx(cell + inn[:classes]) - _xlogx(cell)
+    gain = row + col + both
+    gain -= _xlogx(rows[:classes] + total_out) - _xlogx(rows[:classes]) + _xlogx(cols[:classes] + total_in) - _xlogx(cols[:classes])
+    return int(np.argmax(gain > gain.max() - 1e-9)) if gain[old] < gain.max() - 1e-9 else old
+
+
 def exchange(bigrams: np.ndarray, free: int, classes: int) -> np.ndarray:
     """Class of each symbol. The first ``free`` symbols are clustered, each further one keeps a class of its own.
 
@@ -72,39 +117,20 @@ def exchange(bigrams: np.ndarray, free: int, classes: int) -> np.ndarray:
     classes = min(classes, max(1, free))
     label = np.concatenate([np.arange(free) % classes, classes + np.arange(size - free)]).astype(np.int64)
     n_labels = classes + size - free
-    xlogx = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
     into = lambda v: np.bincount(label, weights=v, minlength=n_labels)
     hot = np.zeros((size, n_labels))
     hot[np.arange(size), label] = 1
     joint = hot.T @ bigrams @ hot
-    for _ in range(PASSES):
+    while True:
         moved = 0
         for w in range(free):
             old = label[w]
             out, inn, own = into(bigrams[w]), into(bigrams[:, w]), bigrams[w, w]
             out[old] -= own
             inn[old] -= own
-            # counts without the symbol
-            joint[old] -= out
-            joint[:, old] -= inn
-            joint[old, old] -= own
-            # totals of each class with the bigrams between it and the symbol, wherever that goes
-            rows, cols = joint.sum(1) + inn, joint.sum(0) + out
-            total_out, total_in = out.sum() + own, inn.sum() + own
-            c = np.arange(classes)
-            # class c takes w: row c gains `out`, column c gains `inn`, the cell (c, c) both and w's own
-            row = xlogx(joint[:classes] + out).sum(1) - xlogx(joint[:classes]).sum(1)
-            col = xlogx(joint[:, :classes] + inn[:, None]).sum(0) - xlogx(joint[:, :classes]).sum(0)
-            cell = joint[c, c]
-            both = xlogx(cell + out[:classes] + inn[:classes] + own) - xlogx(cell)
-            row -= xlogx(cell + out[:classes]) - xlogx(cell)
-            col -= xlogx(cell + inn[:classes]) - xlogx(cell)
-            gain = row + col + both
-            gain -= xlogx(rows[:classes] + total_out) - xlogx(rows[:classes]) + xlogx(cols[:classes] + total_in) - xlogx(cols[:classes])
-            new = int(np.argmax(gain > gain.max() - 1e-9)) if gain[old] < gain.max() - 1e-9 else int(old)
-            joint[new] += out
-            joint[:, new] += inn
-            joint[new, new] += own
+            _take(joint, old, out, inn, own, -1)
+            new = _best(joint, out, inn, own, classes, int(old))
+            _take(joint, new, out, inn, own, 1)
             moved += new != old
             label[w] = new
         if not moved:
@@ -114,29 +140,19 @@ def exchange(bigrams: np.ndarray, free: int, classes: int) -> np.ndarray:
 
 @dataclass
 class Symbols:
-    """Symbols: clustered words, bands of further head words, the tail, the end of a text."""
+    """Symbols: the words of the vocabulary, the tail, the end of a text."""
 
     head: list[bytes]
     counts: np.ndarray
 
-    @property
-    def clustered(self) -> int:
-        return min(CLUSTERED, len(self.head))
-
-    @cached_property
-    def band(self) -> np.ndarray:
-        """Band of each head word that is not clustered."""
-        return (np.log2(np.maximum(1, self.counts[self.clustered :])) // 2).astype(np.int64)
-
     @cached_property
     def symbol(self) -> np.ndarray:
-        """Symbol of each head word; one more entry, read at -1, for all others."""
-        bands = 1 + int(self.band.max(initial=-1))
-        return np.concatenate([np.arange(self.clustered), self.clustered + self.band, [self.clustered + bands]])
+        """Symbol of each word of the vocabulary; one more entry, read at -1, for all others."""
+        return np.arange(len(self.head) + 1)
 
     @property
     def tail(self) -> int:
-        return int(self.symbol[-1])
+        return len(self.head)
 
     @property
     def end(self) -> int:
@@ -147,7 +163,7 @@ class Symbols:
         return {w: k for k, w in enumerate(self.head)}
 
     def numbers(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
-        """Words of a text and their numbers in the head, -1 outside."""
+        """Words of a text and their numbers in the vocabulary, -1 outside."""
         found = words(text)
         get = self.number.get
         return found, np.fromiter((get(w, -1) for w in found), np.int64, len(found))
@@ -157,22 +173,131 @@ class Symbols:
 
 
 def _bigrams(shared):
+    """(first, second, n) of the symbols of one task; each text begins and ends with the end of a text."""
     def count(batches):
         symbols = shared.value
         size = symbols.end + 1
-        cells = np.zeros(size * size, np.int64)
+        held, n = [], 0
+
+        def summed():
+            code, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            return code, np.bincount(at, np.concatenate([t for _, t in held])).astype(np.int64)
+
+        def rows(code, times):
+            return pd.DataFrame({"first": (code // size).astype(np.int32), "second": (code % size).astype(np.int32), "n": times})
+
         for pdf in batches:
-            runs = [np.array([symbols.end])]
             for text in pdf["text"]:
-                runs += [symbols.symbol[symbols.numbers(text)[1]], runs[0]]
-            line = np.concatenate(runs)  # the end of one text begins the next one
-            cells += np.bincount(line[:-1] * size + line[1:], minlength=size * size)
-        some = np.flatnonzero(cells)
-        yield pd.DataFrame({"cell": some, "n": cells[some]})
+                line = np.concatenate([[symbols.end], symbols.symbol[symbols.numbers(text)[1]], [symbols.end]])
+                held.append((line[:-1] * size + line[1:], np.ones(len(line) - 1, np.int64)))
+                n += len(line)
+                if n > HELD:
+                    held = [summed()]
+                    n = len(held[0][0])
+                    if n > HELD // 2:
+                        yield rows(*held[0])
+                        held, n = [], 0
+        if held:
+            yield rows(*summed())
 
     return count
 
 
+def _neighbours(steps: Steps, pairs: DataFrame) -> DataFrame:
+    """One row for each symbol: its followers with counts, and what comes before it."""
+    def side(own: str, other: str, name: str) -> DataFrame:
+        listed = pairs.groupBy(F.col(own).alias("symbol")).agg(F.collect_list(F.struct(F.col(other).alias("s"), "n")).alias("x"))
+        return listed.select("symbol", F.col("x.s").alias(name), F.col("x.n").alias(f"n_{name}"))
+
+    # two tables first: each is grouped on its own, and the shuffle files of one go before those of the other come
+    after, before = steps.keep(side("first", "second", "after"), "after"), steps.keep(side("second", "first", "before"), "before")
+    both = steps.keep(after.join(before, "symbol", "full"), "neighbours")
+    steps.drop(after, before)
+    return both
+
+
+def _joint(shared):
+    """Cells of the class bigrams of one task's words."""
+    def add(batches):
+        label, size, _, _ = shared.value
+        joint = np.zeros((size, size))
+        for pdf in batches:
+            for symbol, after, n in zip(pdf["symbol"], pdf["after"], pdf["n_after"]):
+                if after is not None:
+                    joint[label[symbol]] += np.bincount(label[after], n, size)
+        cell = np.flatnonzero(joint)
+        yield pd.DataFrame({"cell": cell, "n": joint.ravel()[cell].astype(np.int64)})
+
+    return add
+
+
+def _moves(shared):
+    """(symbol, class) of the words of one half that another class suits better, each seen alone."""
+    def move(batches):
+        label, size, joint, (half, free, classes) = shared.value
+        joint = joint.copy()
+        for pdf in batches:
+            out = []
+            for symbol, after, n_after, before, n_before in zip(*(pdf[c] for c in ("symbol", "after", "n_after", "before", "n_before"))):
+                if symbol >= free or symbol % 2 != half or after is None or before is None:
+                    continue
+                old = int(label[symbol])
+                own = float(n_after[after == symbol].sum())
+                to, since = np.bincount(label[after], n_after, size), np.bincount(label[before], n_before, size)
+                to[old] -= own
+                since[old] -= own
+                _take(joint, old, to, since, own, -1)
+                new = _best(joint, to, since, own, classes, old)
+                _take(joint, old, to, since, own, 1)
+                if new != old:
+                    out.append((symbol, new))
+            yield pd.DataFrame(out, columns=["symbol", "label"])
+
+    return move
+
+
+def cluster(steps: Steps, pairs: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each symbol, tail and end last, and the class bigrams."""
+    spark, free = steps.spark, len(symbols.head)
+    seed = min(CLUSTERED, free)
+    # the seed words among themselves, all other words as one, text ends
+    place = lambda c: F.when(F.col(c) < seed, F.col(c)).when(F.col(c) < symbols.end, seed).otherwise(seed + 1).cast("int")
+    cells = pairs.groupBy(place("first").alias("first"), place("second").alias("second")).agg(F.sum("n").alias("n")).toPandas()
+    small = np.zeros((seed + 2, seed + 2))
+    small[cells["first"].to_numpy(np.int64), cells["second"].to_numpy(np.int64)] = cells["n"].to_numpy(np.float64)
+    classes = min(CLASSES, max(1, free))
+    seeded = exchange(small, seed, classes)[:seed]
+    label = np.concatenate([seeded, np.arange(free - seed) % classes, [classes, classes + 1]]).astype(np.int64)
+    size = classes + 2
+    table = _neighbours(steps, pairs)
+
+    def joint_of(label: np.ndarray) -> np.ndarray:
+        shared = spark.sparkContext.broadcast((label, size, None, None))
+        found = table.select("symbol", "after", "n_after").mapInPandas(_joint(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        shared.unpersist()
+        joint = np.zeros(size * size)
+        joint[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
+        return joint.reshape(size, size)
+
+    joint = joint_of(label)
+    first = last = likelihood(joint)
+    while True:
+        before = last
+        for half in (0, 1):
+            shared = spark.sparkContext.broadcast((label, size, joint, (half, free, classes)))
+            moves = table.mapInPandas(_moves(shared), "symbol long, label long").toPandas()  # words of the vocabulary: bounded
+            shared.unpersist()
+            other = label.copy()
+            other[moves["symbol"].to_numpy(np.int64)] = moves["label"].to_numpy(np.int64)
+            changed = joint_of(other) if len(moves) else joint
+            if likelihood(changed) > last:
+                label, joint, last = other, changed, likelihood(changed)
+        if last - before <= GAIN * (last - first):
+            break
+    steps.drop(table)
+    return label, joint
+
+
 @dataclass
 class Model:
     """Log10 probabilities; ``transition`` by class, ``emission`` and ``base`` by head word."""
@@ -191,28 +316,22 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame, dict[str, float]]:
     spark = texts.sparkSession
     counts = stable(texts.mapInPandas(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = most_frequent(counts, "n", HEAD).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    top = most_frequent(counts.where(F.col("n") >= LEAST), "n", HEAD).toPandas().sort_values(["n", "word"], ascending=[False, True])
     symbols = Symbols([w.encode("utf-8") for w in top["word"]], top["n"].to_numpy(np.int64))
-    cells = texts.mapInPandas(_bigrams(spark.sparkContext.broadcast(symbols)), "cell long, n long")
-    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    size = symbols.end + 1
-    bigrams = np.zeros(size * size)
-    bigrams[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.float64)
-    bigrams = bigrams.reshape(size, size)
-    label = exchange(bigrams, symbols.clustered, CLASSES)
-    n_labels = int(label.max()) + 1
-    hot = np.zeros((size, n_labels))
-    hot[np.arange(size), label] = 1
-    joint = hot.T @ bigrams @ hot
+    with Steps(spark, "classes") as steps:
+        found = texts.mapInPandas(_bigrams(spark.sparkContext.broadcast(symbols)), "first int, second int, n long")
+        pairs = steps.keep(found.groupBy("first", "second").agg(F.sum("n").alias("n")), "bigrams")
+        label, joint = cluster(steps, pairs, symbols)
+    n_labels = len(joint)
+    ends = joint[:, n_labels - 1].sum()
     held = joint.sum(0)
-    ends = bigrams[:, symbols.end].sum()
     n, v = total + ends, kinds + (ends > 0)
     frequency = (held + 1) / (held.sum() + n_labels)
     given = joint / np.maximum(1, joint.sum(1, keepdims=True))
     seen = joint.sum(1, keepdims=True) > 0
     transition = np.log10(np.where(seen, BIGRAM * given + (1 - BIGRAM) * frequency, frequency))
-    in_class = np.bincount(label[symbols.symbol[:-1]], weights=symbols.counts, minlength=n_labels)
-    emission = np.log10(symbols.counts / in_class[label[symbols.symbol[:-1]]])
+    in_class = np.bincount(label[:-2], weights=symbols.counts, minlength=n_labels)
+    emission = np.log10(symbols.counts / in_class[label[:-2]])
     base = np.log10((symbols.counts + 1) / (n + v + 1))
     model = Model(symbols, label, transition, emission, base, float(np.log10((ends + 1) / (n + v + 1))), bool(ends))
     tail = total - int(symbols.counts.sum())

@@ -11,21 +11,26 @@ windows of text with fewer such places than any segment needs are done. In the w
 gathered by item and diagonal band and counted by segment; bands are twice as wide as the budget and overlap by half, so
 every alignment lies inside one. Bands that reach their bound are verified by an edit distance along the band, free at both ends of the text.
 
-The benchmark goes to the executors in blocks of about BLOCK_CHARS characters, one after another, so what is broadcast
-stays bounded however large it is. Null and empty texts match nothing; items of fewer than MIN_CHARS bytes after
-normalisation are no evidence and match nothing. Repeated rows and other columns do not matter.
+Alignments are made many at a time, each a row of a matrix, so that a stem that many items share costs no more for each.
+
+The benchmark goes to the executors in blocks of about BLOCK_CHARS characters, one after another: the matches of a block are
+written before the next one is built, so what the driver holds and what is broadcast stays bounded however large it is. Null and
+empty texts match nothing. Items of fewer than MIN_CHARS bytes after normalisation allow no edits and are no evidence
+that a text has seen the benchmark, as any text may hold a few words; where they stand in a text word by word is told in a column of its own, which
+``clean`` does not look at. Repeated rows and other columns do not matter.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import bounded_batches
+from pitpanel.llm.common import bounded_batches, shared_folder
 
 Q = 8
 #: Segments have at most this many bytes and start this far apart.
@@ -36,10 +41,13 @@ WORDS, LONG = 13, 12
 RATE = 0.08
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
+#: Alignments that are made at once.
+ROWS = 4096
 #: Bytes of text that are looked at together.
 CHUNK = 1 << 20
 _BITS = 22
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+SHORT = "array<struct<item_id:bigint,place:int>>"
 MATCH = "array<struct<item_id:bigint,segment:int,place:int,edits:int>>"
 
 
@@ -158,29 +166,43 @@ class Block:
             found += zip(segment[good].tolist(), low[good].tolist(), np.repeat(2 * step[one], parts)[good].tolist())
         return found
 
-    def distance(self, segment: int, data: np.ndarray, low: int, span: int) -> tuple[int, int]:
-        """Edits and end of the best alignment of a segment around ``span`` diagonals from ``low``; more than allowed: none."""
-        pattern, e = self.segments[segment], int(self.edits[segment])
-        lo, hi = max(0, low - e), min(len(data), low + span + e + 1 + len(pattern))
-        text = data[lo:hi].tobytes()
-        if (exact := text.find(pattern)) >= 0:
-            return 0, lo + exact + len(pattern)
-        shift = low - e - lo  # of the first diagonal of the band, in `text`
-        wide = span + 2 * e + 1
-        padded = np.full(len(text) + 2 * (wide + len(pattern)), 0, np.uint8)
-        base = wide + len(pattern)
-        padded[base : base + len(text)] = np.frombuffer(text, np.uint8)
-        steps = np.arange(wide)
-        cost = np.zeros(wide, np.int64)
-        for i, byte in enumerate(pattern):
-            row = padded[base + i + shift : base + i + shift + wide]
-            new = cost + (row != byte)
-            new[:-1] = np.minimum(new[:-1], cost[1:] + 1)
-            cost = np.minimum.accumulate(new - steps) + steps
-            if cost.min() > e:
-                return e + 1, -1
-        best = int(cost.argmin())
-        return int(cost[best]), lo + shift + best + len(pattern)
+    def distances(self, found: list[tuple[int, int, int]], data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each (segment, lowest diagonal, diagonals) the edits and the end of its best alignment around them.
+
+        More edits than the segment allows mean none."""
+        segment, low, span = (np.array(x, np.int64) for x in zip(*found))
+        edits, ends = np.full(len(segment), 1 << 14, np.int64), np.full(len(segment), -1, np.int64)
+        margin = int((self.size + 3 * self.edits).max() + 2 * span.max() + 2)
+        padded = np.zeros(len(data) + 2 * margin, np.uint8)
+        padded[margin : margin + len(data)] = data
+        order = np.argsort(self.size[segment], kind="stable")
+        for some in np.array_split(order, 1 + len(order) // ROWS):
+            size, most = self.size[segment[some]], self.edits[segment[some]]
+            wide = span[some] + 2 * most + 1
+            patterns = np.zeros((len(some), int(size.max())), np.uint8)
+            for k, s in enumerate(segment[some].tolist()):
+                patterns[k, : size[k]] = np.frombuffer(self.segments[s], np.uint8)
+            first = low[some] - most + margin
+            steps = np.arange(int(wide.max()), dtype=np.int16)
+            cost = np.where(steps < wide[:, None], 0, 1 << 12).astype(np.int16)
+            alive = np.arange(len(some))
+            for i in range(patterns.shape[1]):
+                done = i >= size[alive]
+                if done.any() or i % 8 == 7:
+                    last = alive[done]
+                    edits[some[last]] = cost[done].min(1)
+                    ends[some[last]] = first[last] - margin + cost[done].argmin(1) + size[last]
+                    go = ~done & (cost.min(1) <= most[alive])
+                    alive, cost = alive[go], cost[go]
+                    if not len(alive):
+                        break
+                row = padded[first[alive, None] + i + steps]
+                new = cost + (row != patterns[alive, i, None])
+                new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
+                cost = np.minimum.accumulate(new - steps, axis=1) + steps
+            edits[some[alive]] = cost.min(1) if len(alive) else 0
+            ends[some[alive]] = first[alive] - margin + cost.argmin(1) + size[alive] if len(alive) else 0
+        return edits, ends
 
     def matches(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """For each text (item, segment, place in the normalised text, edits) of all its matches."""
@@ -190,8 +212,8 @@ class Block:
         def flush():
             data = np.frombuffer(b"".join(p + bytes(SEGMENT) for _, _, p in chunk), np.uint8)
             begin = np.cumsum([0] + [len(p) + SEGMENT for _, _, p in chunk])
-            for segment, low, span in self.candidates(data):
-                edits, end = self.distance(segment, data, low, span)
+            found = self.candidates(data)
+            for (segment, _, _), edits, end in zip(found, *(x.tolist() for x in self.distances(found, data))) if found else ():
                 if edits <= self.edits[segment]:
                     # its last byte is in the text or behind it; the first diagonal may be before the text
                     k = int(np.searchsorted(begin, end - 1, "right")) - 1
@@ -238,9 +260,50 @@ def segments(plain: bytes) -> list[tuple[int, bytes]]:
     return sorted(found.items())
 
 
+class ShortItems:
+    """Items of fewer than MIN_CHARS bytes, by their words."""
+
+    def __init__(self, items: list[tuple[int | None, bytes]]) -> None:
+        self.items: dict[tuple[bytes, ...], list] = {}
+        self.sizes: dict[bytes, set[int]] = {}
+        for item, plain in items:
+            words = tuple(plain.split(b" "))
+            self.items.setdefault(words, []).append(item)
+            self.sizes.setdefault(words[0], set()).add(len(words))
+
+    def matches(self, text: str | None) -> list[dict]:
+        words, out, place = normalize(text or "").split(b" "), [], 0
+        for k, word in enumerate(words):
+            for n in self.sizes.get(word, ()):
+                out += [{"item_id": item, "place": place} for item in self.items.get(tuple(words[k : k + n]), ())]
+            place += len(word) + 1
+        return out
+
+
+def _rows(benchmark: DataFrame, text: str, identifier: str) -> DataFrame:
+    return benchmark.select(F.col(identifier).cast("long").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
+
+
+def short_items(benchmark: DataFrame, text: str = "text", identifier: str = "item_id"):
+    """The short items, part by part; a text that normalisation makes shorter may be long, so all are looked at."""
+    rows = _rows(benchmark, text, identifier).mapInPandas(_short, "item long, plain binary")
+    n = 1 + (rows.agg(F.sum(F.length("plain") + 32)).first()[0] or 0) // BLOCK_CHARS
+    for k in range(n):
+        part = [(r["item"], bytes(r["plain"])) for r in rows.where(F.pmod(F.xxhash64("item", "plain"), F.lit(n)) == k).toLocalIterator()]
+        if part:
+            yield ShortItems(part)
+
+
+def _short(batches):
+    for pdf in batches:
+        plain = pdf["text"].map(normalize)
+        few = plain.map(lambda p: 0 < len(p) < MIN_CHARS)
+        yield pd.DataFrame({"item": pdf["item"], "plain": plain})[few.to_numpy(bool)]
+
+
 def blocks(benchmark: DataFrame, text: str = "text", identifier: str = "item_id"):
     """Indexes of the benchmark, block by block."""
-    rows = benchmark.select(F.col(identifier).cast("long").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
+    rows = _rows(benchmark, text, identifier)
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + total // BLOCK_CHARS
     for k in range(n):
@@ -252,31 +315,59 @@ def blocks(benchmark: DataFrame, text: str = "text", identifier: str = "item_id"
             yield Block(list(items), list(starts), list(parts))
 
 
-def _finders(docs: DataFrame, benchmark: DataFrame) -> list:
-    """For each block a column function: text to its matches."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+def _finder(spark, block: Block):
+    """A column function, text to its matches, and what it has broadcast."""
+    shared = spark.sparkContext.broadcast(block)
+
+    @F.pandas_udf(MATCH)
+    def find(text: pd.Series) -> pd.Series:
+        names = ("item_id", "segment", "place", "edits")
+        return pd.Series([[dict(zip(names, m)) for m in row] for row in shared.value.matches(list(text))], dtype=object)
+
+    return find, shared
 
-    def finder(block: Block):
-        shared = spark.sparkContext.broadcast(block)
 
-        @F.pandas_udf(MATCH)
-        def find(text: pd.Series) -> pd.Series:
-            names = ("item_id", "segment", "place", "edits")
-            return pd.Series([[dict(zip(names, m)) for m in row] for row in shared.value.matches(list(text))], dtype=object)
+def _short_finder(spark, items: ShortItems):
+    shared = spark.sparkContext.broadcast(items)
 
-        return find
+    @F.pandas_udf(SHORT)
+    def find(text: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.matches(t) for t in text], dtype=object)
 
-    return [finder(b) for b in blocks(benchmark)]
+    return find, shared
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus array column ``benchmark_matches`` (item_id, segment start, place, edits)."""
-    finders = _finders(docs, benchmark)
-    found = F.concat(*[f(F.col(text)) for f in finders]) if finders else F.array().cast(MATCH)
-    return docs.withColumn("benchmark_matches", found)
+    """``docs`` plus array columns ``benchmark_matches`` (item_id, segment start, place, edits) and
+    ``benchmark_short_matches`` (item_id, place) of items too short to be evidence."""
+    bounded_batches(docs.sparkSession)
+    long = _found(docs, "benchmark_matches", MATCH, blocks(benchmark), _finder, text)
+    return _found(long, "benchmark_short_matches", SHORT, short_items(benchmark), _short_finder, text)
+
+
+def _found(docs: DataFrame, name: str, kind: str, parts, finder, text: str) -> DataFrame:
+    """``docs`` plus the matches in all parts of the benchmark, one part after another."""
+    spark, parts = docs.sparkSession, iter(parts)
+    first, second = next(parts, None), next(parts, None)
+    if second is None:
+        return docs.withColumn(name, finder(spark, first)[0](F.col(text)) if first else F.array().cast(kind))
+    folder = shared_folder(spark, "benchmark")
+    docs.drop(name).withColumn("__row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{folder}/docs")
+    rows = spark.read.parquet(f"{folder}/docs")
+    parts, first, second = chain((first, second), parts), None, None
+    for number, part in enumerate(parts):
+        find, shared = finder(spark, part)
+        hits = rows.select("__row", find(F.col(text)).alias("__found")).where(F.size("__found") > 0)
+        hits.write.parquet(f"{folder}/matches/part={number}")
+        shared.destroy()
+        del part, find
+    hits = spark.read.parquet(f"{folder}/matches").groupBy("__row").agg(F.array_sort(F.flatten(F.collect_list("__found"))).alias("__found"))
+    both = rows.join(hits, "__row", "left")
+    return both.select(*[F.col(f"`{c}`") for c in rows.columns if c != "__row"], F.coalesce("__found", F.array().cast(kind)).alias(name))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a match."""
-    return find(docs, benchmark, text).where(F.size("benchmark_matches") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` without a match of an item that is long enough."""
+    bounded_batches(docs.sparkSession)
+    found = _found(docs, "__benchmark_matches", MATCH, blocks(benchmark), _finder, text)
+    return found.where(F.size("__benchmark_matches") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

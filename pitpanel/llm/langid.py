@@ -5,7 +5,9 @@ adds those up. The log-probability matrix (languages x BUCKETS floats) is broadc
 A batch is scored as a sparse matrix, bucket numbers with row offsets, times that dense matrix.
 
 Null text, empty text and text without a letter get ``und`` with score 0, and so does everything if there was no
-training row. Rows with null language or text teach nothing. Equal scores go to the first language in sorted order.
+training row. Rows with null language or text teach nothing. Nor do labels beyond the MAX_LANGUAGES most frequent ones (of equally
+frequent ones the first in sorted order): those are languages, the rest is free text and misspellings. Equal scores go to the first language in
+sorted order. Long texts are counted piece by piece, cut between letters and other characters only.
 Repeated rows are counted and scored one by one; other columns are not looked at.
 """
 
@@ -19,12 +21,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import bounded_batches, crc_of, slices
+from pitpanel.llm.common import bounded_batches, crc_of
 
 ORDERS = (2, 3)
 #: Hash buckets of the n-grams; the broadcast matrix has this many floats for each language.
 BUCKETS = 1 << 16
-#: More labels than this are refused: the matrix is meant for languages, not for free text (512 take 134 MB).
+#: Labels that are learned at most; the matrix takes 134 MB for 512.
 MAX_LANGUAGES = 512
 SMOOTHING = 0.5
 UNDETERMINED = "und"
@@ -71,11 +73,28 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners), n_letters
 
 
+def pieces(text: str, size: int):
+    """Parts of a text in lower case of about ``size`` characters; no run of letters is cut, so no n-gram differs."""
+    text, start = text.lower(), 0
+    while len(text) - start > size:
+        cut = start + size
+        while cut > start and text[cut - 1].isalpha():
+            cut -= 1
+        if cut == start:  # letters only: the run stays whole
+            cut = start + size
+            while cut < len(text) and text[cut].isalpha():
+                cut += 1
+        yield text[start:cut]
+        start = cut
+    if start < len(text) or not start:
+        yield text[start:]
+
+
 def _chunks(texts: list[str]):
     """(row, piece) pairs in lists of about CHUNK characters; a long text is cut into pieces."""
     chunk, size = [], 0
     for row, text in enumerate(texts):
-        for piece in slices(text, CHUNK):
+        for piece in pieces(text, CHUNK):
             chunk.append((row, piece))
             size += len(piece)
             if size >= CHUNK:
@@ -135,11 +154,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Learn from all rows of ``labelled`` that have text and language."""
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    often = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES)
+    learned = [r["lang"] for r in often.collect()]
+    rows = rows.where(F.col("lang").isin(learned)) if learned else rows.limit(0)
     counts = rows.mapInPandas(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counts.toPandas()  # at most languages x BUCKETS rows
     languages = sorted(found["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} labels; at most {MAX_LANGUAGES} are expected")
     number = found["lang"].map({x: k for k, x in enumerate(languages)}).to_numpy(np.int64) if len(found) else np.zeros(0, np.int64)
     n = np.full((BUCKETS, len(languages)), SMOOTHING)
     head = found["bucket"].to_numpy() == -1

@@ -53,6 +53,59 @@ def test_probabilities_sum_to_one(spark, monkeypatch):
     assert tail + 1 == totals["tail_total"]
 
 
+def test_scores_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CLUSTERED", 4)
+    monkeypatch.setattr(brown, "CLASSES", 3)
+    monkeypatch.setattr(brown, "LEAST", 6)
+    kinds = [["the", "a", "some"], ["cat", "dog", "bird", "fish"], ["sees", "likes"], ["."]]
+    docs = [(i, " ".join(kinds[k % 4][(i * 7 + k * k + i // 3) % len(kinds[k % 4])] for k in range(4 + i % 9)) + (f" rare{i}" if i % 4 == 0 else "")) for i in range(80)]
+    docs += [(100, None), (101, "The the never"), (102, "x" * 100_000 + " the " * 1000)]
+    rows = {r["doc_id"]: r["score"] for r in brown.score(spark.createDataFrame([(i, t, 1, "s") for i, t in docs], "doc_id long, text string, id long, symbol string")).collect()}
+    learned = [(i, t) for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2]
+    texts = spark.createDataFrame(learned, "doc_id long, text string")
+    model, _, _ = brown.train(texts.select("text"))
+    head = {w.decode(): int(c) for w, c in zip(model.symbols.head, model.label)}
+    counts = Counter(t for _, text in learned for t in tokens(text) if t is not None)
+    assert set(head) == {w for w, n in counts.items() if n >= 6} and len(head) > 6 and len(set(head.values())) == 3
+    kind = lambda t: "end" if t is None else head.get(t, "tail")
+    classes = [0, 1, 2, "tail", "end"]
+    pairs, of = Counter(), Counter()
+    for _, text in learned:
+        line = [kind(t) for t in [None, *tokens(text)]]
+        pairs.update(zip(line, line[1:]))
+        of.update(line[1:])
+    total = sum(of.values())
+    in_class = Counter()
+    for w, n in counts.items():
+        in_class[kind(w)] += n
+    unknown = in_class["tail"] + sum(w not in head for w in counts) + 1
+    for i, text in docs:
+        before, want = "end", 0.0
+        for t in tokens(text):
+            c = kind(t)
+            follows = sum(pairs[before, x] for x in classes)
+            own = (of[c] + 1) / (total + len(classes))
+            step = 0.9 * pairs[before, c] / follows + 0.1 * own if follows else own
+            word = 1 if t is None else counts[t] / in_class[c] if t in head else (counts[t] + 1) / unknown
+            want += math.log10(step * word)
+            before = c
+        assert math.isclose(rows[i], want, rel_tol=1e-9), i
+
+
+def test_moves_in_tasks_raise_the_likelihood_and_the_vocabulary_has_no_bound(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CLUSTERED", 10)
+    monkeypatch.setattr(brown, "CLASSES", 4)
+    rng = np.random.default_rng(5)
+    kinds = [[f"{c}{k}" for k in range(200)] for c in "abcd"]
+    texts = [" ".join(kinds[(i + k) % 4][rng.integers(200)] for k in range(60)) for i in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    model, _, _ = brown.train(df)
+    head = [w.decode() for w in model.symbols.head]
+    assert len(head) == 800
+    groups = [Counter(int(c) for w, c in zip(head, model.label) if w[0] == k) for k in "abcd"]
+    assert sum(g.most_common(1)[0][1] for g in groups) > 0.9 * 800 and len({g.most_common(1)[0][0] for g in groups}) == 4
+
+
 def likelihood(bigrams, label):
     hot = np.eye(label.max() + 1)[label]
     joint = hot.T @ bigrams @ hot

@@ -126,6 +126,33 @@ def test_blocks_give_the_same_result(spark, monkeypatch):
     assert {r["doc_id"]: [m["item_id"] for m in r["benchmark_matches"]][:1] for r in dc.find(df, bench).collect()} == {i: [i] if i < 100 else [] for i, _ in docs}
 
 
+def test_items_that_share_a_stem_take_no_time_of_their_own():
+    import time
+
+    rng = random.Random(21)
+    stem = "which of the following statements about the matter in hand is the only one that is true"
+    items = [f"{stem} {words(rng, 25)}" for _ in range(1000)]
+    block = index(items)
+    text = " ".join(f"{stem} {words(rng, 4)}" for _ in range(20))
+    start = time.time()
+    found = block.matches([text, f"{words(rng, 20)} {items[77]} {words(rng, 5)}"])
+    took = time.time() - start
+    plain = dc.normalize(text)
+    for item, at, _, n in found[0]:  # the stem itself is part of every item
+        pattern = next(s for i, b, s in zip(block.items, block.starts, block.segments) if (i, b) == (item, at))
+        assert edits(pattern, plain) == n
+        break
+    assert 77 in {i for i, *_ in found[1]} and took < 60, took
+
+
+def test_short_items_are_told_apart(spark):
+    bench = spark.createDataFrame([(1, "Too short!"), (2, "yes"), (None, "yes"), (3, "  "), (4, "a b")], "item_id long, text string")
+    df = spark.createDataFrame([(1, "This is too SHORT, yes."), (2, "tooshort yesterday a  b"), (3, None), (4, "")], "doc_id long, text string")
+    found = {r["doc_id"]: sorted((str(m["item_id"]), m["place"]) for m in r["benchmark_short_matches"]) for r in dc.find(df, bench).collect()}
+    assert found == {1: [("1", 8), ("2", 18), ("None", 18)], 2: [("4", 19)], 3: [], 4: []}
+    assert dc.clean(df, bench).count() == 4
+
+
 def test_query(spark, small):
     bench = {r["item_id"]: dc.normalize(r["text"]) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()}
     docs = {r["doc_id"]: dc.normalize(r["text"] or "") for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
