@@ -4,4 +4,4 @@ from catalog.views import Registry
 
 REGISTRY = Registry()
 
-from catalog import audit, blocked, features, files, merging, panels, pit, sources, validation  # noqa: E402,F401
+from catalog import audit, blocked, features, files, growth, merging, panels, pit, sources, validation  # noqa: E402,F401

@@ -23,7 +23,7 @@ def _(spark, sf):
     st = statements(spark, sf)
     income = st.dropna(subset=["short_debt"]).select("entity", "dt", "revenue", "net_income")
     balance = st.dropna(subset=["equity"]).select("entity", "dt", "revenue", "equity", "assets")
-    return merge.merge_outer(income, balance, ["entity", "dt"])
+    return merge.merge_stacked(income, balance, ["entity", "dt"])
 
 
 DAILY_SQL = f"""daily AS (
@@ -40,18 +40,49 @@ SELECT coalesce(p.entity, d.entity) AS entity, coalesce(p.dt, d.dt) AS dt, p.pri
 FROM prices p FULL JOIN daily d ON p.entity = d.entity AND p.dt = d.dt""", "prices", "statements")
 def _(spark, sf):
     daily = fill.quarterly_to_daily(statements(spark, sf).select("entity", "dt", "revenue", "equity"), ENTITY)
-    return merge.merge_outer(prices(spark, sf).select("entity", "dt", "price", "volume"), daily, ["entity", "dt"])
+    return merge.merge_stacked(prices(spark, sf).select("entity", "dt", "price", "volume"), daily, ["entity", "dt"])
+
+
+# every eleventh entity loses its name: prices and statements of all of them are one entity, and meet in one row per day
+NAMELESS = "CASE WHEN entity % 11 <> 0 THEN entity END"
+
+
+@q("merge_null_entity", f"""
+WITH p AS (SELECT {NAMELESS} AS entity, dt, sum(volume) AS volume FROM prices GROUP BY 1, 2),
+s AS (SELECT {NAMELESS} AS entity, dt, CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue FROM statements GROUP BY 1, 2)
+SELECT coalesce(p.entity, s.entity) AS entity, coalesce(p.dt, s.dt) AS dt, CAST(p.volume AS BIGINT) AS volume, s.revenue
+FROM p FULL JOIN s ON p.entity IS NOT DISTINCT FROM s.entity AND p.dt = s.dt""", "prices", "statements")
+def _(spark, sf):
+    p, s = _nameless(spark, sf)
+    return merge.merge_stacked(p, s, ["entity", "dt"])
+
+
+@q("exact_date_null_entity", f"""
+WITH p AS (SELECT {NAMELESS} AS entity, dt, CAST(sum(volume) AS BIGINT) AS volume FROM prices GROUP BY 1, 2),
+s AS (SELECT {NAMELESS} AS entity, dt, CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue FROM statements GROUP BY 1, 2),
+j AS (SELECT p.*, s.revenue AS r FROM p LEFT JOIN s ON p.entity IS NOT DISTINCT FROM s.entity AND p.dt = s.dt)
+SELECT entity, dt, volume, last_value(r IGNORE NULLS) OVER (PARTITION BY entity ORDER BY dt ROWS UNBOUNDED PRECEDING) AS revenue FROM j""", "prices", "statements")
+def _(spark, sf):
+    p, s = _nameless(spark, sf)
+    return fill.exact_date_join_fill(p, s, ENTITY, ["revenue"])
+
+
+def _nameless(spark, sf):
+    entity = F.when(F.col("entity") % 11 != 0, F.col("entity")).alias("entity")
+    p = prices(spark, sf).groupBy(entity, "dt").agg(F.sum("volume").alias("volume"))
+    cents = F.sum(F.round(F.col("revenue") * 100).cast("long")).cast("double") / 100
+    return p, statements(spark, sf).groupBy(entity, "dt").agg(cents.alias("revenue"))
 
 
 @q("merge_null_safe", """
 SELECT coalesce(a.entity, b.entity) AS entity, coalesce(a.g, b.g) AS g, a.n, b.m
-FROM (SELECT entity, CASE WHEN grp = 'ASIA' THEN NULL ELSE grp END AS g, count(*) AS n FROM prices WHERE volume > 20 GROUP BY 1, 2) a
-FULL JOIN (SELECT entity, CASE WHEN grp = 'ASIA' THEN NULL ELSE grp END AS g, count(*) AS m FROM prices WHERE volume < 4 GROUP BY 1, 2) b
+FROM (SELECT entity, CASE WHEN grp = 'ASIA' THEN NULL ELSE grp END AS g, count(*) AS n FROM prices WHERE volume >= 12 GROUP BY 1, 2) a
+FULL JOIN (SELECT entity, CASE WHEN grp = 'ASIA' THEN NULL ELSE grp END AS g, count(*) AS m FROM prices WHERE volume < 12 GROUP BY 1, 2) b
 ON a.entity = b.entity AND a.g IS NOT DISTINCT FROM b.g""", "prices")
 def _(spark, sf):
     p = prices(spark, sf).withColumn("g", F.when(F.col("grp") != "ASIA", F.col("grp")))
-    a = p.filter("volume > 20").groupBy("entity", "g").agg(F.count("*").alias("n"))
-    b = p.filter("volume < 4").groupBy("entity", "g").agg(F.count("*").alias("m"))
+    a = p.filter("volume >= 12").groupBy("entity", "g").agg(F.count("*").alias("n"))
+    b = p.filter("volume < 12").groupBy("entity", "g").agg(F.count("*").alias("m"))
     return merge.merge_outer(a, b, ["entity", "g"], null_safe=["g"])
 
 
@@ -91,21 +122,22 @@ def _(spark, sf):
 
 
 @q("merge_quality", """
-WITH s AS (SELECT DISTINCT entity FROM statements WHERE equity IS NOT NULL), p AS (SELECT DISTINCT entity FROM prices WHERE price > 2000),
-m AS (SELECT entity FROM s WHERE entity IN (SELECT entity FROM p))
+WITH s AS (SELECT DISTINCT c_custkey AS k FROM customer), p AS (SELECT DISTINCT o_custkey AS k FROM orders), m AS (SELECT k FROM s WHERE k IN (SELECT k FROM p))
 SELECT (SELECT count(*) FROM s) AS left_keys, (SELECT count(*) FROM p) AS right_keys, (SELECT count(*) FROM m) AS merged_keys,
- (SELECT count(*) FROM m) AS left_kept, ((SELECT count(*) FROM s) - (SELECT count(*) FROM m)) * 100.0::DOUBLE / (SELECT count(*) FROM s) AS lost_pct""",
-   "statements", "prices")
+ (SELECT count(*) FROM m) AS left_kept, round(((SELECT count(*) FROM s) - (SELECT count(*) FROM m)) * 100.0::DOUBLE / (SELECT count(*) FROM s), 8) AS lost_pct""")
 def _(spark, sf):
-    a = statements(spark, sf).dropna(subset=["equity"]).select("entity", "equity")
-    b = prices(spark, sf).filter("price > 2000").select("entity", "price")
-    out = merge.merge_quality(a, b, a.join(b.select("entity").distinct(), "entity", "left_semi"), "entity")
-    return out.withColumn("lost_pct", (F.col("left_keys") - F.col("left_kept")) * 100.0 / F.col("left_keys"))
+    a = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    b = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
+    return merge.merge_quality(a, b, a.join(b.distinct(), "k", "left_semi"), "k").withColumn("lost_pct", F.round("lost_pct", 8))
+
 
+def _columns_sql(select: str) -> str:
+    """Names and non-null counts of the columns of a query, from its rows."""
+    return f"(SELECT c, count(nullif(v, '~null~')) AS n FROM (UNPIVOT (SELECT coalesce(COLUMNS(*)::VARCHAR, '~null~') FROM ({select})) ON COLUMNS(*) INTO NAME c VALUE v) GROUP BY c)"
 
-@q("column_set_diff", """SELECT c.col AS "column", c.status, CASE c.col WHEN 'price' THEN count(price) WHEN 'volume' THEN count(volume) WHEN 'high' THEN count(high)
-   ELSE count(*) END AS non_null FROM prices, (VALUES ('entity','common'),('entity_name','removed'),('grp','removed'),('dt','common'),('price','common'),
-   ('high','removed'),('low','removed'),('volume','common'),('close','added')) c(col, status) GROUP BY c.col, c.status""", "prices")
+
+@q("column_set_diff", f"""WITH a AS {_columns_sql('SELECT * FROM prices')}, b AS {_columns_sql('SELECT entity, dt, price, volume, high AS close FROM prices')}
+   SELECT coalesce(a.c, b.c) AS "column", CASE WHEN a.c IS NULL THEN 'added' WHEN b.c IS NULL THEN 'removed' ELSE 'common' END AS status, coalesce(a.n, b.n) AS non_null FROM a FULL JOIN b ON a.c = b.c""", "prices")
 def _(spark, sf):
     p = prices(spark, sf)
     after = p.select("entity", "dt", "price", "volume", F.col("high").alias("close"))
@@ -114,9 +146,11 @@ def _(spark, sf):
     return merge.column_set_diff(p, after).join(filled, "column").select("column", "status", (n - F.col("nulls")).alias("non_null"))
 
 
-@q("suffix_report", """SELECT s.base, s.col AS "column", s.base_exists, CASE s.col WHEN 'price_macro' THEN count(oil) WHEN 'gdp_fred' THEN count(gdp) ELSE count(*) END AS non_null
-   FROM prices p LEFT JOIN macro m ON p.dt = m.dt, (VALUES ('price','price_macro',true),('gdp','gdp_fred',false)) s(base, col, base_exists)
-   GROUP BY s.base, s.col, s.base_exists""", "prices", "macro")
+SUFFIXED = "(_x|_y|_fred|_market|_macro|_company|_dup|_fin)$"
+
+
+@q("suffix_report", f"""WITH k AS {_columns_sql('SELECT p.entity, p.dt, p.price, m.gdp AS gdp_fred, m.oil AS price_macro FROM prices p LEFT JOIN macro m ON p.dt = m.dt')}
+   SELECT regexp_replace(c, '{SUFFIXED}', '') AS base, c AS "column", regexp_replace(c, '{SUFFIXED}', '') IN (SELECT c FROM k) AS base_exists, n AS non_null FROM k WHERE regexp_matches(c, '{SUFFIXED}')""", "prices", "macro")
 def _(spark, sf):
     context = macro(spark, sf).select("dt", F.col("gdp").alias("gdp_fred"), F.col("oil").alias("price"))
     merged = merge.add_context(prices(spark, sf).select("entity", "dt", "price"), context, "dt")
@@ -344,7 +378,9 @@ def _(spark, sf):
     return fill.fill_after_merge(statements(spark, sf).select("entity", "dt", "equity", "long_debt", "short_debt"), ENTITY)
 
 
-@q("constant_columns", """SELECT 'fixed' AS "column" FROM prices GROUP BY 1 HAVING count(*) > 0 UNION ALL SELECT 'empty' FROM prices GROUP BY 1 UNION ALL SELECT 'nearly' FROM prices GROUP BY 1""", "prices")
+@q("constant_columns", """SELECT c AS "column" FROM (UNPIVOT (SELECT coalesce(COLUMNS(*)::VARCHAR, '~null~') FROM (
+   SELECT * EXCLUDE (entity, dt, grp), 5.0::DOUBLE AS fixed, CAST(NULL AS DOUBLE) AS empty, CASE WHEN volume % 2 = 0 THEN 1e-12 ELSE 0.0 END AS nearly FROM prices)) ON COLUMNS(*) INTO NAME c VALUE v)
+   GROUP BY c HAVING count(DISTINCT v) <= 1 OR (count(DISTINCT v) = 2 AND stddev_samp(TRY_CAST(v AS DOUBLE)) < 1e-10)""", "prices")
 def _(spark, sf):
     p = prices(spark, sf).withColumns({
         "fixed": F.lit(5.0), "empty": F.lit(None).cast("double"), "nearly": F.when(F.col("volume") % 2 == 0, 1e-12).otherwise(0.0)})

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import REGISTRY
-from catalog.audit import _features, _jumps, _narrow, _ruled
+from catalog.audit import CURRENT, FEATURES, KS_SQL, REFERENCE, SEVERITY, _features, _jumps, _narrow, _ruled
 from catalog.merging import CTX
 from catalog.views import ENTITY, macro, market, prices, raw_prices, read_table, runs, show, spiked, statements
 from pitpanel import Panel
-from pitpanel.operators import checks, expectations as ex, merge, outliers, profile
+from pitpanel.operators import checks, drift, expectations as ex, merge, outliers, profile
 from pitpanel.plans import suites
 from pitpanel.session import stable
 
@@ -134,9 +134,9 @@ MACRO_TYPES = {c: "double" for c in MACRO_N}
        ("first_market", suites.FIRST_MARKET, MARKET_N), ("raw_market", suites.RAW_MARKET, MARKET_N), ("clean_market", suites.CLEAN_MARKET, MARKET_C))), "macro", "market")
 def _(spark, sf):
     m = named(macro(spark, sf), MACRO_N)
-    parts = [ex.evaluate(m, s, n, other=m) for n, s in MACRO_SUITES.items()]
+    parts = [ex.evaluate_all(m, MACRO_SUITES, other=m)]
     raw, clean = named(market(spark, sf), MARKET_N), named(market(spark, sf), MARKET_C)
-    parts += [ex.evaluate(raw, suites.FIRST_MARKET, "first_market"), ex.evaluate(raw, suites.RAW_MARKET, "raw_market"),
+    parts += [ex.evaluate_all(raw, {"first_market": suites.FIRST_MARKET, "raw_market": suites.RAW_MARKET}),
               ex.evaluate(clean, suites.CLEAN_MARKET, "clean_market")]
     return observed(merge.union_all(parts))
 
@@ -147,7 +147,7 @@ COMPANY_SUITES = {"first_company": suites.FIRST_COMPANY, "raw_prices": suites.RA
 @q("standard_suites_prices", "\nUNION ALL ".join(suite_sql(s, "prices", COMPANY, len(COMPANY), n, TYPES) for n, s in COMPANY_SUITES.items()), "prices")
 def _(spark, sf):
     p = named(prices(spark, sf), COMPANY)
-    return observed(merge.union_all([ex.evaluate(p, s, n) for n, s in COMPANY_SUITES.items()]))
+    return observed(ex.evaluate_all(p, COMPANY_SUITES))
 
 
 STATEMENT_SUITES = {"raw_balance": suites.RAW_BALANCE, "raw_income": suites.RAW_INCOME, "clean_balance": suites.CLEAN_BALANCE, "clean_income": suites.CLEAN_INCOME}
@@ -156,7 +156,7 @@ STATEMENT_SUITES = {"raw_balance": suites.RAW_BALANCE, "raw_income": suites.RAW_
 @q("standard_suites_statements", "\nUNION ALL ".join(suite_sql(s, "statements", STATEMENT, len(STATEMENT), n) for n, s in STATEMENT_SUITES.items()), "statements")
 def _(spark, sf):
     st = named(statements(spark, sf), STATEMENT)
-    return observed(merge.union_all([ex.evaluate(st, s, n) for n, s in STATEMENT_SUITES.items()]))
+    return observed(ex.evaluate_all(st, STATEMENT_SUITES))
 
 
 MERGED_N = {"Date": "dt", "Company": "name", "Sector": "grp", "Stock_Price": "price", "GDP": "gdp", "CPI": "cpi", "Unemployment_Rate": "unemp", "VIX": "vix", "SP500_Close": "idx", "Federal_Funds_Rate": "ffr"}
@@ -178,8 +178,7 @@ def _merged(spark, sf):
 def _(spark, sf):
     panel = _merged(spark, sf)
     mm = named(merge.add_context(macro(spark, sf), market(spark, sf), "dt"), MM_N)
-    return observed(merge.union_all([ex.evaluate(panel, s, n) for n, s in MERGED_SUITES.items()]
-                                    + [ex.evaluate(mm, s, n) for n, s in MERGED_MACRO_SUITES.items()]))
+    return observed(ex.evaluate_all(panel, MERGED_SUITES).unionByName(ex.evaluate_all(mm, MERGED_MACRO_SUITES)))
 
 
 # --- layered checks ----------------------------------------------------------------------------
@@ -364,11 +363,14 @@ def _(spark, sf):
 
 @q("alert_conditions", """
 WITH s AS (SELECT step, count(*) FILTER (success) * 100.0::DOUBLE / count(*) AS rate, max(duration_s) AS longest FROM runs GROUP BY step),
-c AS (SELECT count(*) AS n FROM prices WHERE volume > 40)
+crowd AS (SELECT count(*) AS n FROM prices WHERE volume > 40)
 SELECT 'low success rate' AS alert, step AS subject, rate AS value FROM s WHERE rate < 90 UNION ALL SELECT 'slow step', step, longest FROM s WHERE longest > 60
-UNION ALL SELECT 'critical anomaly', 'audit', CAST(n AS DOUBLE) FROM c WHERE n > 0 UNION ALL SELECT 'many critical anomalies', 'audit', CAST(n AS DOUBLE) FROM c WHERE n > 10""", "runs", "prices")
+UNION ALL SELECT 'critical anomaly', 'audit', CAST(n AS DOUBLE) FROM crowd WHERE n > 0 UNION ALL SELECT 'many critical anomalies', 'audit', CAST(n AS DOUBLE) FROM crowd WHERE n > 10
+UNION ALL SELECT 'many drifted features', 'drift', CAST(n AS DOUBLE) FROM (SELECT count(*) AS n FROM ks JOIN m ON ks.feature = m.feature WHERE SEVERITY = 'HIGH') WHERE n > 0""".replace("SEVERITY", SEVERITY).replace("WITH s AS", f"WITH {KS_SQL}, s AS"), "runs", "prices")
 def _(spark, sf):
     summary = profile.run_metrics_summary(runs(spark, sf), order=("run_ts", "event_id"))
     crowded = outliers.rule_report(prices(spark, sf), [outliers.Rule("volume", None, 40.0, "CRITICAL", "volume_flag", "volume at most 40")])
     total = crowded.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).scalar()
-    return checks.alert_conditions(summary, total, F.lit(0), max_seconds=60.0)
+    report = drift.drift_report(_features(spark, sf), "dt", list(FEATURES), REFERENCE, CURRENT)
+    high = report.agg(F.count(F.when(F.col("severity") == "HIGH", 1)).alias("n")).scalar()
+    return checks.alert_conditions(summary, total, high, max_seconds=60.0, max_high_drift=0)

@@ -100,6 +100,46 @@ def fill_forward(
     ).drop(*[f"_o_{c}" for c in columns])
 
 
+def fill_forward_and_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], lead: Sequence[str],
+                          first_valid: int = 10, n_blocks: int | None = None) -> DataFrame:
+    """Forward fill of ``columns``; what is still missing in ``lead`` gets the median of the key's first ``first_valid`` filled values.
+
+    Rows are read twice: once for a summary of each key and block, with its last value, its number of rows with and without a
+    value so far, and its first few filled values; once for the result. From the summaries alone follow, in one
+    window, the value that is carried into a block and the first values of the key, wherever its blocks begin.
+    """
+    laid = range_blocks(df, [*keys, *order], n_blocks)
+    position = F.struct(*order)
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = laid.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in columns})
+    ranked = filled.withColumns({f"_k_{c}": F.count(f"_f_{c}").over(inside) for c in lead})
+    few = lambda c: F.when(F.col(f"_f_{c}").isNotNull() & (F.col(f"_k_{c}") <= first_valid), F.struct(F.col(f"_k_{c}").alias("k"), F.col(f"_f_{c}").cast("double").alias("v")))
+    ends = ranked.groupBy(*keys, BLOCK).agg(
+        F.count("*").alias("_rows"), *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_e_{c}") for c in columns],
+        *[F.count(f"_f_{c}").alias(f"_n_{c}") for c in lead], *[F.collect_list(few(c)).alias(f"_a_{c}") for c in lead])
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    carry = ends.withColumns({f"_c_{c}": F.last(f"_e_{c}", ignorenulls=True).over(before) for c in columns})
+    nothing = F.array().cast("array<double>")
+
+    def first_values(c: str) -> Column:
+        carried = F.when(F.col(f"_c_{c}").isNotNull(), F.array_repeat(F.col(f"_c_{c}").cast("double"), F.least(F.col("_rows") - F.col(f"_n_{c}"), F.lit(first_valid)).cast("int")))
+        own = F.transform(F.array_sort(f"_a_{c}"), lambda x: x["v"])
+        return F.struct(F.col(BLOCK).alias("b"), F.concat(F.coalesce(carried, nothing), own).alias("v"))
+
+    listed = carry.withColumns({f"_l_{c}": F.collect_list(first_values(c)).over(whole) for c in lead})
+
+    def median(c: str) -> Column:
+        first = F.array_sort(F.slice(F.flatten(F.transform(F.array_sort(f"_l_{c}"), lambda x: x["v"])), 1, first_valid))
+        at = lambda k: F.element_at(first, (F.floor(k / 2) + 1).cast("int"))
+        return F.when(F.size(first) > 0, at(F.size(first) - 1) * 0.5 + at(F.size(first)) * 0.5)
+
+    carry = listed.select(*keys, BLOCK, *[f"_c_{c}" for c in columns], *[median(c).alias(f"_m_{c}") for c in lead])
+    out = join_same(filled, carry, [*keys, BLOCK])
+    return out.select(*[
+        F.coalesce(f"_f_{c}", f"_c_{c}", *([f"_m_{c}"] if c in lead else [])).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
 def with_halo(
     df: DataFrame,
     keys: Sequence[str],

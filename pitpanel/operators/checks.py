@@ -193,8 +193,12 @@ def remediate(df: DataFrame, issues: DataFrame, panel: Panel) -> tuple[DataFrame
 
 
 def post_clean(df: DataFrame, dataset: str, keys: Sequence[str], error_pct: float = 2.0, warning_pct: float = 1.0,
-               suffixes: Sequence[str] = MERGE_SUFFIXES) -> DataFrame:
-    """Checks of a cleaned merged table: infinities, merge suffixes, missing cells, constant columns."""
+               suffixes: Sequence[str] = MERGE_SUFFIXES, entity: str | None = None, entity_pct: float = 5.0) -> DataFrame:
+    """Checks of a cleaned merged table: infinities, merge suffixes, missing cells, constant columns.
+
+    With ``entity``, each entity of which more than ``entity_pct`` percent of the cells are missing is a warning of its own, whose
+    column is the entity. A null entity is an entity.
+    """
     floats = [c for c in numeric_columns(df) if fractional(df, c)]
     others = [c for c in df.columns if c not in keys]
     cells = sum((missing(F.col(c), fractional(df, c)).cast("long") for c in df.columns), F.lit(0).cast("long"))
@@ -207,13 +211,21 @@ def post_clean(df: DataFrame, dataset: str, keys: Sequence[str], error_pct: floa
     pct = ratio(F.col("_m"), F.col("_n") * len(df.columns), 100.0)
     flat = sum((F.col(f"c_{c}") for c in others), F.lit(0))
     none = F.lit(None)
-    return _issues(agg, dataset, [
+    whole = _issues(agg, dataset, [
         _issue("CRITICAL", "no inf values", None, F.col("_inf"), F.col("_inf"), False, F.col("_inf") > 0),
         _issue("CRITICAL", "no duplicate columns", None, none, F.lit(suffixed), False, F.lit(suffixed > 0)),
         _issue("ERROR", "missing values", None, F.col("_m"), pct, False, pct > error_pct),
         _issue("WARNING", "missing values", None, F.col("_m"), pct, False, (pct > warning_pct) & (pct <= error_pct)),
         _issue("WARNING", "no constant columns", None, none, flat, False, flat > 0),
     ])
+    if entity is None:
+        return whole
+    rows = df.groupBy(entity).agg(F.count("*").alias("_n"), F.sum(cells).alias("_m"))
+    share = ratio(F.col("_m"), F.col("_n") * len(df.columns), 100.0)
+    found = rows.filter(share > entity_pct).select(
+        F.lit(dataset).alias("dataset"), F.lit("WARNING").alias("severity"), F.lit("missing values by entity").alias("check_name"),
+        F.col(entity).cast("string").alias("column"), F.col("_m").alias("affected_rows"), share.alias("value"), F.lit(False).alias("auto_fixable"))
+    return whole.unionByName(found)
 
 
 def issue_counts(issues: DataFrame, datasets: Sequence[str] | None = None) -> DataFrame:
@@ -281,7 +293,8 @@ MAX_HIGH_DRIFT = 20
 
 
 def alert_conditions(run_summary: DataFrame, critical_count: Column, high_drift: Column, step: str = "step",
-                     min_success_pct: float = MIN_SUCCESS_PCT, max_seconds: float = MAX_STEP_SECONDS) -> DataFrame:
+                     min_success_pct: float = MIN_SUCCESS_PCT, max_seconds: float = MAX_STEP_SECONDS,
+                     max_high_drift: int = MAX_HIGH_DRIFT) -> DataFrame:
     """Alerts raised by the run metrics and the audit totals: kind, subject, value."""
     def rows(df: DataFrame, kind: str, subject: Column, value: Column, when: Column) -> DataFrame:
         return df.filter(when).select(F.lit(kind).alias("alert"), subject.alias("subject"), value.cast("double").alias("value"))
@@ -292,5 +305,5 @@ def alert_conditions(run_summary: DataFrame, critical_count: Column, high_drift:
         rows(run_summary, "slow step", F.col(step), F.col("max_duration"), F.col("max_duration") > max_seconds),
         rows(totals, "critical anomaly", F.lit("audit"), F.col("_c"), F.col("_c") > 0),
         rows(totals, "many critical anomalies", F.lit("audit"), F.col("_c"), F.col("_c") > MAX_CRITICAL),
-        rows(totals, "many drifted features", F.lit("drift"), F.col("_h"), F.col("_h") > MAX_HIGH_DRIFT),
+        rows(totals, "many drifted features", F.lit("drift"), F.col("_h"), F.col("_h") > max_high_drift),
     ])

@@ -15,6 +15,37 @@ from pitpanel.operators.profile import long_report
 Years = tuple[int, int]
 SERIES_TERMS = 100
 EPS = 1e-6
+#: Products of two sample sizes up to which the p-value is counted exactly.
+EXACT_PAIRS = 20_000
+
+
+def ks_exact_p(d: Column, n: Column, m: Column) -> Column:
+    """Exact two-sided p-value: the share of lattice paths from (0, 0) to (n, m) that reach the distance d.
+
+    Step by step along the diagonals i + j = s, each point holds the share of the paths to it that stayed inside; it gets i / s
+    of what came from (i - 1, j) and j / s of what came from (i, j - 1). Distances are compared as integers.
+    """
+    a, b = F.least(n, m), F.greatest(n, m)
+    reach = F.round(d * a.cast("double") * b.cast("double")).cast("long")
+
+    def step(before: Column, s: Column) -> Column:
+        def share(i: Column) -> Column:
+            j = s - i
+            out = (j < 0) | (j > b) | (F.abs(i * b - j * a) >= reach)
+            came = i * F.coalesce(F.get(before, (i - 1).cast("int")), F.lit(0.0)) + j * F.coalesce(F.get(before, i.cast("int")), F.lit(0.0))
+            return F.when(out, 0.0).otherwise(came / s)
+
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.least(s, a)), share)
+
+    start = F.array(F.when(reach > 0, 1.0).otherwise(0.0))
+    inside = F.aggregate(F.sequence(F.lit(1).cast("long"), (a + b).cast("long")), start, step)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - F.get(inside, a.cast("int"))))
+
+
+def ks_p(d: Column, n: Column, m: Column) -> Column:
+    """Two-sided p-value: exact for small samples, asymptotic where the exact count has more than EXACT_PAIRS points."""
+    small = (n > 0) & (m > 0) & (n.cast("double") * m.cast("double") <= EXACT_PAIRS)
+    return F.when(small, ks_exact_p(d, n, m)).otherwise(ks_p_value(d, n, m))
 
 
 def ks_p_value(d: Column, n: Column, m: Column) -> Column:
@@ -37,7 +68,7 @@ def ks_statistic(df: DataFrame, date: str, columns: Sequence[str], reference: Ye
                  min_valid: int = 30, min_rows: int = 100) -> DataFrame:
     """Largest distance between the two empirical distributions of each feature, and its p-value.
 
-    A feature with fewer than ``min_valid`` values in a period, or a period of fewer than ``min_rows`` rows, gives a row
+    The p-value is exact for small samples, as ``ks_p`` tells. A feature with fewer than ``min_valid`` values in a period, or a period of fewer than ``min_rows`` rows, gives a row
     with ``tested`` false and no p-value.
 
     Only rows of either period are read; equal values are counted first; the running counts are
@@ -59,7 +90,7 @@ def ks_statistic(df: DataFrame, date: str, columns: Sequence[str], reference: Ye
     rows = either.agg(
         F.least(F.count(F.when(_in(date, reference), 1)), F.count(F.when(_in(date, current), 1))).alias("n")).scalar()
     enough = (F.col("n_reference") >= min_valid) & (F.col("n_current") >= min_valid) & (rows >= min_rows)
-    p = ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+    p = ks_p(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
     out = names.join(out, "feature", "left").fillna(0, ["n_reference", "n_current"])  # a feature without values too
     return out.withColumn("tested", F.coalesce(enough, F.lit(False))).withColumn("p_value", F.when(F.col("tested"), p))

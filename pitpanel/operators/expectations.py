@@ -1,15 +1,19 @@
-"""Declarative expectations: a suite is a list of data, evaluated in one aggregate pass.
+"""Declarative expectations: a suite is a list of data; all suites over a table are evaluated together.
 
-Uniqueness needs a grouped pass of its own; its result enters the same row as a scalar subquery.
+One aggregate takes all measures of all suites, each once. Uniqueness and distinct counts of all key sets share one grouped pass, in
+which each row stands once for each set; its few totals enter the same row as a scalar subquery. So a table is evaluated
+at most twice, whatever the number of suites.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitpanel.functions.columns import existing
 
@@ -126,17 +130,37 @@ def _measure(df: DataFrame, e: Expectation) -> Column:
         return F.datediff(top, F.lit("1970-01-01").cast("date")).cast("double") if dict(df.dtypes)[e.column] == "date" else top.cast("double")
     if e.kind in ("row_count_to_be_between", "row_count_to_equal_other_table"):
         return F.count("*").cast("double")
-    if e.kind == "unique_value_count_to_be_between":
-        return F.count_distinct(c).cast("double")
     raise ValueError(e.kind)
 
 
-def _scalar(df: DataFrame, e: Expectation) -> Column:
-    """Expectations that need a grouped pass: rows whose key occurs more than once."""
-    keys = [e.column] if e.column else list(e.columns)
-    rows = df.dropna(subset=[e.column]) if e.column else df
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1")
-    return repeated.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("double").alias("v")).scalar()
+def _keys(e: Expectation) -> tuple[str, ...]:
+    return (e.column,) if e.column else e.columns
+
+
+def _written(df: DataFrame, column: str) -> Column:
+    """The value as a text that other values do not share; null stays null."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (c + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # local times repeat an hour in autumn
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    return c.cast("string")
+
+
+def _key_totals(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> DataFrame:
+    """One row with a map: set number to ``rows`` whose key occurs more than once, and number of different ``keys``.
+
+    A null in a key of one column is no value; in a key of several it is one.
+    """
+    cells = F.array(*[F.struct(F.lit(k).alias("set"), F.array(*[_written(df, c) for c in keys]).alias("key")) for k, keys in enumerate(sets)])
+    rows = df.select(F.explode(F.filter(cells, lambda x: (F.size(x["key"]) > 1) | x["key"][0].isNotNull())).alias("x"))
+    counted = rows.groupBy(F.col("x.set").alias("set"), F.col("x.key").alias("key")).agg(F.count("*").alias("n"))
+    totals = counted.groupBy("set").agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("double").alias("rows"), F.count("*").cast("double").alias("keys"))
+    return totals.agg(F.map_from_entries(F.collect_list(F.struct("set", F.struct("rows", "keys")))).alias("m"))
 
 
 def _passes(df: DataFrame, e: Expectation, v: Column, other: Column | None) -> Column:
@@ -157,7 +181,7 @@ def _passes(df: DataFrame, e: Expectation, v: Column, other: Column | None) -> C
     return F.coalesce(_inside(v, e.low, e.high), F.lit(False))
 
 
-GROUPED = ("values_to_be_unique", "compound_columns_to_be_unique")
+GROUPED = ("values_to_be_unique", "compound_columns_to_be_unique", "unique_value_count_to_be_between")
 SCHEMA = ("column_to_exist", "values_to_be_of_type", "column_count_to_be_between")
 
 
@@ -167,38 +191,59 @@ def evaluate(df: DataFrame, suite: Sequence[Expectation], name: str, other: Data
 
     An expectation on a column the table lacks fails with a NULL observation.
     """
-    have = set(df.columns)
-    types = dict(df.dtypes)
-    usable = [
-        (i, e) for i, e in enumerate(suite)
-        if e.kind not in SCHEMA and ({e.column} if e.column else set(e.columns)) - {None} <= have
-    ]
-    measures = [_measure(df, e).alias(f"v{i}") for i, e in usable if e.kind not in GROUPED]
-    base = df.agg(F.count("*").alias("_rows"), *measures)
-    base = base.withColumns({f"v{i}": _scalar(df, e) for i, e in usable if e.kind in GROUPED})
-    other_rows = other.agg(F.count("*").cast("double").alias("v")).scalar() if other is not None else None
-    can = {i for i, _ in usable}
-    cells = []
-    for i, e in enumerate(suite):
-        if e.kind == "column_to_exist":
-            v = F.lit(1.0 if e.column in have else 0.0)
-            ok = F.lit(e.column in have)
-        elif e.kind == "values_to_be_of_type":
-            good = types.get(e.column) == e.type_name
-            v, ok = F.lit(1.0 if good else 0.0), F.lit(good)
-        elif e.kind == "column_count_to_be_between":
-            v = F.lit(float(len(df.columns)))
-            ok = _inside(v, e.low, e.high)
-        elif i in can:
-            v = F.col(f"v{i}")
-            ok = _passes(df, e, v, other_rows)
+    return evaluate_all(df, {name: suite}, other, key_columns)
+
+
+def evaluate_all(df: DataFrame, suites: Mapping[str, Sequence[Expectation]], other: DataFrame | None = None,
+                 key_columns: Sequence[str] = KEY_COLUMNS) -> DataFrame:
+    """``evaluate`` for several suites over one table. ``other`` may be ``df`` itself, which costs nothing."""
+    have, types = set(df.columns), dict(df.dtypes)
+    measures: dict[tuple, str] = {}
+    sets: dict[tuple[str, ...], int] = {}
+    for e in [e for suite in suites.values() for e in suite if e.kind not in SCHEMA and {c for c in _keys(e) if c} <= have]:
+        if e.kind in GROUPED:
+            sets.setdefault(_keys(e), len(sets))
         else:
-            v, ok = F.lit(None).cast("double"), F.lit(False)
-        cells.append(F.struct(
-            F.lit(i).alias("position"), F.lit(e.kind).alias("expectation"), F.lit(e.target).alias("column"),
-            F.lit(severity_of(e, key_columns)).alias("severity"), v.cast("double").alias("observed"), ok.alias("success"),
-        ))
-    return base.select(F.lit(name).alias("suite"), F.explode(F.array(*cells)).alias("_e")).select("suite", "_e.*")
+            measures.setdefault(_measured(e), f"v{len(measures)}")
+    base = df.agg(F.count("*").cast("double").alias("_rows"), *[_measure(df, Expectation(kind, c, low, high, values=values)).alias(v)
+                                               for (kind, c, low, high, values), v in measures.items()])
+    if sets:
+        base = base.withColumn("_keys", _key_totals(df, list(sets)).scalar())
+    other_rows = None
+    if other is not None:
+        other_rows = F.col("_rows") if other is df else other.agg(F.count("*").cast("double").alias("v")).scalar()
+    cells = []
+    for name, suite in suites.items():
+        for i, e in enumerate(suite):
+            if e.kind == "column_to_exist":
+                v = F.lit(1.0 if e.column in have else 0.0)
+                ok = F.lit(e.column in have)
+            elif e.kind == "values_to_be_of_type":
+                good = types.get(e.column) == e.type_name
+                v, ok = F.lit(1.0 if good else 0.0), F.lit(good)
+            elif e.kind == "column_count_to_be_between":
+                v = F.lit(float(len(df.columns)))
+                ok = _inside(v, e.low, e.high)
+            elif {c for c in _keys(e) if c} <= have:
+                if e.kind in GROUPED:
+                    of = "keys" if e.kind == "unique_value_count_to_be_between" else "rows"
+                    v = F.coalesce(F.try_element_at("_keys", F.lit(sets[_keys(e)]))[of], F.lit(0.0))
+                else:
+                    v = F.col(measures[_measured(e)])
+                ok = _passes(df, e, v, other_rows)
+            else:
+                v, ok = F.lit(None).cast("double"), F.lit(False)
+            cells.append(F.struct(
+                F.lit(name).alias("suite"), F.lit(i).alias("position"), F.lit(e.kind).alias("expectation"), F.lit(e.target).alias("column"),
+                F.lit(severity_of(e, key_columns)).alias("severity"), v.cast("double").alias("observed"), ok.alias("success"),
+            ))
+    return base.select(F.explode(F.array(*cells)).alias("_e")).select("_e.*")
+
+
+def _measured(e: Expectation) -> tuple:
+    """What the aggregate of an expectation depends on."""
+    limits = (e.low, e.high) if e.kind == "values_to_be_between" else (None, None)
+    return (e.kind, e.column, *limits, e.values if e.kind == "values_to_be_in_set" else ())
 
 
 def summarize(results: DataFrame) -> DataFrame:
@@ -222,3 +267,21 @@ def gate(results: DataFrame, threshold: str = "ERROR") -> DataFrame:
 def required_columns(df: DataFrame, required: Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
     """Missing columns per list of required columns; schema only."""
     return {k: [c for c in cols if c not in existing(df, cols)] for k, cols in required.items()}
+
+
+def required_columns_report(frames: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One row per dataset and required column: is it ``present``, and how many of the rows have a value in it.
+
+    A column without any value counts as present but not ``usable``; one that is missing has no counts.
+    """
+    parts = []
+    for name, df in frames.items():
+        columns = list(required[name])
+        row = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(f"_n_{c}") for c in existing(df, columns)])
+        cells = F.array(*[
+            F.struct(F.lit(name).alias("dataset"), F.lit(c).alias("column"), F.lit(c in df.columns).alias("present"),
+                     (F.col("_rows") if c in df.columns else F.lit(None).cast("long")).alias("n_rows"),
+                     (F.col(f"_n_{c}") if c in df.columns else F.lit(None).cast("long")).alias("n_values"))
+            for c in columns])
+        parts.append(row.select(F.explode(cells).alias("x")).select("x.*"))
+    return reduce(DataFrame.unionByName, parts).withColumn("usable", F.coalesce(F.col("n_values") > 0, F.lit(False)))

@@ -28,11 +28,10 @@ def below_flag(df: DataFrame, column: str, limit: float, name: str) -> DataFrame
     return df.withColumn(name, flag(F.col(column) < limit))
 
 
-def above_quantile_flag(df: DataFrame, column: str, p: float, name: str, large: bool = False) -> DataFrame:
-    """1 where the value exceeds the whole-table quantile.
+def above_quantile_flag(df: DataFrame, column: str, p: float, name: str, large: bool = True) -> DataFrame:
+    """1 where the value exceeds the whole-table quantile, which comes back as a scalar subquery.
 
-    A date-keyed table is bounded by the calendar and uses ``percentile``; ``large=True`` takes the
-    distributed quantile. Either way one value comes back as a scalar subquery.
+    ``large=False`` holds all values in one buffer: for date-keyed tables, which the calendar bounds.
     """
     q = quantile_table(df, [], [column], [p]) if large else grouped_quantiles(df, [], [column], [p])
     return df.withColumn(name, flag(F.col(column) > q.select(quantile_name(column, p)).scalar()))
@@ -105,11 +104,11 @@ def macro_interactions(df: DataFrame, m: MacroContext = MacroContext()) -> DataF
         "financial_stress": ([m.volatility, m.credit_spread], c(m.volatility) * c(m.credit_spread)),
     })
     if m.volatility in df.columns:
-        out = above_quantile_flag(out, m.volatility, 0.75, "high_volatility_regime")
+        out = above_quantile_flag(out, m.volatility, 0.75, "high_volatility_regime", large=False)
     if m.spread in df.columns:
         out = below_flag(out, m.spread, 0.0, "recession_signal")
     if m.credit_spread in df.columns:
-        out = above_quantile_flag(out, m.credit_spread, 0.75, "credit_stress_regime")
+        out = above_quantile_flag(out, m.credit_spread, 0.75, "credit_stress_regime", large=False)
     return out
 
 

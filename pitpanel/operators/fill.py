@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions.columns import missing, fractional, numeric_columns
 from pitpanel.operators import blocks
-from pitpanel.operators.joins import join_checked
+from pitpanel.operators.joins import join_checked, join_same
 from pitpanel.operators.quantiles import quantile_name, quantile_table
 from pitpanel.panel import Panel
 
@@ -77,13 +77,9 @@ def fill_no_lookahead(df: DataFrame, panel: Panel, columns: Sequence[str] | None
         out = out.withColumns({f"_k_{c}": F.count(c).over(panel.upto()) for c in led})
         medians = {c: _first_median(c, first_valid).over(panel.whole()) for c in led}
         return out.withColumns({c: F.coalesce(F.col(c), m) for c, m in medians.items()}).drop(*[f"_k_{c}" for c in led])
-    out = blocks.fill_forward(df, panel.entity, panel.order, cols, rank=bool(led))
     if not led:
-        return out
-    # at most `first_valid` values per entity and column reach the percentile
-    medians = out.groupBy(*panel.entity).agg(*[_first_median(c, first_valid).alias(f"_m_{c}") for c in led])
-    placed = join_checked(out, medians, panel.entity)
-    return placed.select(*[F.coalesce(c, f"_m_{c}").alias(c) if c in led else F.col(c) for c in df.columns])
+        return blocks.fill_forward(df, panel.entity, panel.order, cols)
+    return blocks.fill_forward_and_lead(df, panel.entity, panel.order, cols, led, first_valid)
 
 
 def _first_median(column: str, first_valid: int) -> Column:
@@ -215,6 +211,6 @@ def asof_join(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence
 
 def exact_date_join_fill(left: DataFrame, right: DataFrame, panel: Panel, columns: Sequence[str], blocked: bool = False) -> DataFrame:
     """Older form: match equal dates only, then forward fill. A right record dated on a day the
-    left side lacks is lost; prefer ``asof_join``."""
-    out = left.join(right.select(*panel.keys, *columns), panel.keys, "left")
+    left side lacks is lost; prefer ``asof_join``. A null entity is an entity."""
+    out = join_same(left, right.select(*panel.keys, *columns), panel.keys, "left")
     return forward_fill(out, panel, columns, blocked)

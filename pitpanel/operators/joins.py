@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 5_000_000
 SALTS = 64
 
@@ -24,16 +25,29 @@ def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     return left.join(keyed, same, how).drop(*[f"_on_{c}" for c in on])
 
 
+def row_bytes(kind: T.DataType) -> int:
+    """Bytes of a row of this schema; texts and collections, whose size only the data know, count as 64 and as four elements."""
+    if isinstance(kind, T.StructType):
+        return 16 + sum(row_bytes(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return 16 + 4 * row_bytes(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return 32 + 4 * (row_bytes(kind.keyType) + row_bytes(kind.valueType))
+    return 64 if isinstance(kind, (T.StringType, T.BinaryType)) else 16 if isinstance(kind, T.DecimalType) else 8
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                  max_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Left or inner join with a table that has one row per key; safe for hot keys, and null keys equal each other.
 
-    ``right`` is broadcast only after counting it (the count stops at ``max_rows + 1`` rows).
+    ``right`` is broadcast only after counting it: as many rows as fit into BROADCAST_BYTES, ``max_rows`` at most (the count
+    stops there).
     Otherwise the keys with more than ``hot_rows`` left rows are spread over ``salts`` partitions and
     their single right row is repeated that often; all other keys join as usual. There are at most
     ``rows / hot_rows`` hot keys, so their list is small enough to broadcast.
     """
     on = list(on)
+    max_rows = min(max_rows, BROADCAST_BYTES // row_bytes(right.schema))
     if right.limit(max_rows + 1).count() <= max_rows:
         return join_same(left, F.broadcast(right), on, how)
     hot = left.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)

@@ -29,12 +29,14 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def merge_outer(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: Sequence[str] = ()) -> DataFrame:
-    """Full outer join on ``on``; other columns both sides share are taken from the left.
+def merge_outer(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: Sequence[str] | None = None) -> DataFrame:
+    """Full outer join on ``on``, also of tables that repeat a key; other columns both sides share are taken from the left.
 
-    Keys in ``null_safe`` match NULL with NULL. Catalyst turns a null-safe full outer join on
-    equal keys into the same sort-merge join as the plain form.
+    A NULL key matches a NULL key, unless ``null_safe`` lists other keys for which that holds. Catalyst turns a null-safe
+    full outer join on equal keys into the same sort-merge join as the plain form. Tables with one row per key
+    are better stacked.
     """
+    null_safe = on if null_safe is None else null_safe
     shared = [c for c in right.columns if c in left.columns and c not in on]
     right = right.drop(*shared)
     if not null_safe:
@@ -50,12 +52,38 @@ def merge_outer(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe:
     ])
 
 
+def merge_stacked(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``merge_outer`` of two tables with one row per key: both are stacked, and one aggregate brings equal keys together.
+
+    NULL keys meet like others. Equal keys are combined where the rows are, and rows that are partitioned by
+    some of the keys stay where they are, which a full outer join never allows: its output has no known partitioning.
+    A key that one side repeats fails at run time.
+    """
+    on = list(on)
+    mine = [c for c in left.columns if c not in on]
+    theirs = [c for c in right.columns if c not in on and c not in left.columns]
+    kinds = {**dict(left.dtypes), **{c: t for c, t in right.dtypes if c in theirs}}
+
+    def side(df: DataFrame, own: Sequence[str], number: int) -> DataFrame:
+        cells = [F.col(c) if c in own else F.lit(None).cast(kinds[c]).alias(c) for c in [*mine, *theirs]]
+        return df.select(*on, *cells, F.lit(number).alias("_side"))
+
+    stacked = side(left, mine, 0).unionByName(side(right, theirs, 1))
+    # one row of each side at most: whichever value is there is the only one
+    both = stacked.groupBy(*on).agg(
+        F.count(F.when(F.col("_side") == 0, 1)).alias("_left"), F.count(F.when(F.col("_side") == 1, 1)).alias("_right"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in [*mine, *theirs]])
+    repeated = F.raise_error(F.concat(F.lit("a key occurs more than once: "), F.to_json(F.struct(*on)))).cast("boolean")
+    single = F.when((F.col("_left") <= 1) & (F.col("_right") <= 1), True).otherwise(repeated)
+    return both.filter(single).drop("_left", "_right")
+
+
 def merge_series(left: DataFrame, right: DataFrame, on: str, suffixes: tuple[str, str] = ("_fred", "_market")) -> DataFrame:
-    """Full outer join of two date-keyed tables; columns both share get a suffix on each side."""
+    """Outer merge of two tables with one row per date; columns both share get a suffix on each side."""
     shared = [c for c in right.columns if c in left.columns and c != on]
     a = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     b = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
-    return a.join(b, on, "full")
+    return merge_stacked(a, b, [on])
 
 
 def add_context(panel_df: DataFrame, context: DataFrame, on: str, suffix: str = "_macro") -> DataFrame:
@@ -71,7 +99,7 @@ def attribute_map(df: DataFrame, source: DataFrame, key: str, attribute: str) ->
 
 
 def statement_derived(income: DataFrame, balance: DataFrame, panel: Panel) -> DataFrame:
-    out = merge_outer(income, balance, panel.keys)
+    out = merge_stacked(income, balance, panel.keys)
     out = windows.pct_change(out, panel, {"revenue_growth": ("revenue", 1), "eps_growth": ("net_income", 1)})
     return out.withColumns({
         "profit_margin": ratio(F.col("net_income"), F.col("revenue"), 100.0),

@@ -22,12 +22,14 @@ CRISIS_YEARS = (2008, 2009, 2020)  # fixed values
 
 
 def with_iqr_bounds(df: DataFrame, panel: Panel, columns: Sequence[str], factor: float = IQR_FACTOR,
-                    min_valid: int = 0, large: bool = False) -> DataFrame:
+                    min_valid: int = 0, large: bool | None = None) -> DataFrame:
     """Add ``_lo_x`` and ``_hi_x`` per column: quartiles widened by ``factor`` times their distance.
 
-    Per entity as window aggregates, over a date-keyed table as a scalar subquery; ``large`` uses
-    distributed quantiles for groups of any size. Fewer than ``min_valid`` values give NULL bounds.
+    Per entity as window aggregates, over a whole table as a scalar subquery. ``large`` brackets quantiles in groups
+    of any size; by default a whole table is such a group, an entity with one row a day is not. Fewer than ``min_valid``
+    values give NULL bounds.
     """
+    large = not panel.entity if large is None else large
     if panel.entity and not large:
         w = panel.whole()
         out = df.withColumns({
@@ -65,7 +67,7 @@ def outside(c: str) -> Column:
 
 
 def iqr_flags(df: DataFrame, panel: Panel, columns: Sequence[str], factor: float = IQR_FACTOR, min_valid: int = 0,
-              suffix: str = "_outlier_flag", large: bool = False) -> DataFrame:
+              suffix: str = "_outlier_flag", large: bool | None = None) -> DataFrame:
     """``{column}_outlier_flag`` per column; the flag column always exists."""
     out = with_iqr_bounds(df, panel, columns, factor, min_valid, large)
     out = out.withColumns({c + suffix: outside(c).cast("int") for c in columns})
@@ -73,7 +75,7 @@ def iqr_flags(df: DataFrame, panel: Panel, columns: Sequence[str], factor: float
 
 
 def outlier_report(df: DataFrame, panel: Panel, columns: Sequence[str], factor: float = IQR_FACTOR,
-                   min_valid: int = 0, share_of: str = "rows", large: bool = False) -> DataFrame:
+                   min_valid: int = 0, share_of: str = "rows", large: bool | None = None) -> DataFrame:
     """Per group and column with outliers: count, percent, smallest and largest outlier, years.
 
     ``share_of``: percent of all ``rows`` of the group or of its ``valid`` values.

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions.columns import fractional, missing, ratio
 from pitpanel.operators.blocks import range_blocks, running_totals
-from pitpanel.operators.drift import ks_p_value
+from pitpanel.operators.drift import EXACT_PAIRS, ks_p, ks_p_value
 from pitpanel.operators.features import volatility_regime
-from pitpanel.operators.joins import join_checked
-from pitpanel.operators.profile import long_report
+from pitpanel.operators.joins import join_checked, join_same
+from pitpanel.session import stable
 
 # fixed values: deviation from an equal share, imbalance and missing limits
 SHARE_LIMIT = 0.3
@@ -69,33 +69,61 @@ def regime_slices(df: DataFrame, date: str, volatility: str, regime: str | None
     return df.groupBy(label.alias("regime")).agg(*aggs)
 
 
-def slice_ks_pairs(df: DataFrame, slice_column: str, values: Sequence[str], feature: str, min_rows: int = 30,
+#: Cuts of the value range at which the distributions of all slices are known exactly.
+CUTS = 256
+
+
+def slice_ks_pairs(df: DataFrame, slice_column: str, values: Sequence[str] | None, feature: str, min_rows: int = 30,
                    alpha: float = 0.05) -> DataFrame:
     """Two-sample KS test between every pair of slices; keeps the significant ones, and pairs with fewer than
     ``min_rows`` rows on a side with ``tested`` false and no p-value.
 
-    Values are counted per slice, one distributed running total carries all slices side by side,
-    and each pair is one aggregate expression: no row is ever paired with another.
+    ``values`` names the slices to compare; None compares all, null included. Each slice is counted once between common cuts of the
+    value range. These counts bound the distance of every pair from above; pairs whose bound is not significant
+    are done. Only the others get the exact running comparison, over the values of their two slices.
     """
-    rows = df.filter(F.col(feature).isNotNull()).select(slice_column, F.col(feature).cast("double").alias("_v"))
-    counted = rows.groupBy("_v").agg(*[
-        F.count(F.when(F.col(slice_column) == v, 1)).alias(f"_c{i}") for i, v in enumerate(values)
-    ])
-    laid = range_blocks(counted, ["_v"])
-    cdf = running_totals(laid, [], ["_v"], {f"_t{i}": f"_c{i}" for i in range(len(values))})
-    totals = laid.agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(values))],
-                         *[ratio(F.sum(F.col("_v") * F.col(f"_c{i}")), F.sum(f"_c{i}")).alias(f"_a{i}") for i in range(len(values))])
-    placed = cdf.withColumn("_tot", totals.select(F.struct(*totals.columns)).scalar())
-    share = [ratio(F.col(f"_t{i}"), F.col(f"_tot._n{i}")) for i in range(len(values))]
-    pairs = [(i, j) for i in range(len(values)) for j in range(i + 1, len(values))]
-    agg = placed.agg(F.first("_tot").alias("_tot"), *[F.max(F.abs(share[i] - share[j])).alias(f"_d{i}_{j}") for i, j in pairs])
-    out = long_report(agg, [[
-        F.lit(feature).alias("feature"), F.lit(values[i]).alias("slice1"), F.lit(values[j]).alias("slice2"),
-        F.col(f"_d{i}_{j}").alias("ks_statistic"), F.col(f"_tot._n{i}").alias("n1"), F.col(f"_tot._n{j}").alias("n2"),
-        (F.col(f"_tot._a{i}") - F.col(f"_tot._a{j}")).alias("mean_diff")] for i, j in pairs])
-    out = out.withColumn("tested", (F.col("n1") >= min_rows) & (F.col("n2") >= min_rows))
-    out = out.withColumn("p_value", F.when(F.col("tested"), ks_p_value(F.col("ks_statistic"), F.col("n1"), F.col("n2"))))
-    return out.filter(~F.col("tested") | (F.col("p_value") < alpha))
+    s = F.col(slice_column)
+    rows = df.filter(F.col(feature).isNotNull()).select(s.alias("s"), F.col(feature).cast("double").alias("v"))
+    if values is not None:
+        rows = rows.filter(s.isin(*values))
+    cuts = rows.agg(F.array_distinct(F.percentile_approx("v", [k / CUTS for k in range(1, CUTS)], 10 * CUTS)).alias("x")).scalar()
+    # the number of cuts below a value, by halves: bin k holds the values up to cut k
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range((CUTS - 1).bit_length()))])
+    place = F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get("_cuts", at + half - 1) < F.col("v"), at + half).otherwise(at))
+    binned = rows.withColumn("_cuts", cuts).groupBy("s", place.alias("bin")).agg(F.count("*").alias("n"), F.sum("v").alias("sum"))
+    binned = stable(binned)
+    listed = binned.groupBy("s").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("n"), F.sum("sum").alias("sum"))
+    upto = F.transform(F.sequence(F.lit(0), F.lit(CUTS - 1)), lambda k: F.coalesce(F.try_element_at("bins", k), F.lit(0)))
+    shares = F.aggregate(upto, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    order = F.struct(F.col("s").isNotNull(), "s")
+    if values is not None:
+        at = F.create_map(*[F.lit(x) for k, v in enumerate(values) for x in (v, k)])
+        order = F.struct(at[F.col("s")])
+    cdf = stable(listed.select("s", order.alias("at"), "n", (F.col("sum") / F.col("n")).alias("mean"), F.transform(shares, lambda x: x / F.col("n")).alias("f")))
+    # one entry for each slice; a pair of them is an answer of its own
+    every = cdf.agg(F.collect_list(F.struct(*cdf.columns)).alias("x")).scalar()
+    a = cdf.select(*[F.col(c).alias(f"{c}1") for c in cdf.columns]).withColumn("_every", every)
+    pairs = a.withColumn("_b", F.explode(F.filter("_every", lambda x: x["at"] > F.col("at1")))).drop("_every")
+    pairs = pairs.select(*[f"{c}1" for c in cdf.columns], *[F.col(f"_b.{c}").alias(f"{c}2") for c in cdf.columns])
+    # inside a bin one distribution may already have all it gains there while the other has none of it
+    gaps = F.zip_with(F.zip_with("f1", F.slice("f2", 2, CUTS + 1), lambda x, y: F.struct(x.alias("x"), y.alias("y"))),
+                      F.zip_with("f2", F.slice("f1", 2, CUTS + 1), lambda x, y: F.struct(x.alias("x"), y.alias("y"))),
+                      lambda p, q: F.greatest(F.coalesce(p["y"] - p["x"], F.lit(0.0)), F.coalesce(q["y"] - q["x"], F.lit(0.0))))
+    tested = (F.col("n1") >= min_rows) & (F.col("n2") >= min_rows)
+    most = F.least(F.lit(1.0), F.array_max(gaps) + 1e-12)
+    # small samples have a test of their own, and little to compare
+    open_pairs = ~tested | (F.col("n1") * F.col("n2") <= EXACT_PAIRS) | (ks_p_value(most, F.col("n1"), F.col("n2")) < alpha)
+    left = stable(pairs.filter(open_pairs).select("s1", "s2", "n1", "n2", (F.col("mean1") - F.col("mean2")).alias("mean_diff"), F.monotonically_increasing_id().alias("pair")))
+    counted = rows.groupBy("s", "v").agg(F.count("*").alias("c"))
+    sides = left.select(F.col("s1").alias("s"), "pair", F.lit(1).alias("side")).unionByName(left.select(F.col("s2").alias("s"), "pair", F.lit(2).alias("side")))
+    met = join_same(counted, sides, ["s"]).groupBy("pair", "v").agg(*[F.coalesce(F.sum(F.when(F.col("side") == k, F.col("c"))), F.lit(0)).alias(f"c{k}") for k in (1, 2)])
+    running = running_totals(range_blocks(met, ["pair", "v"]), ["pair"], ["v"], {"t1": "c1", "t2": "c2"})
+    gap = F.abs(F.col("t1") / F.col("n1") - F.col("t2") / F.col("n2"))
+    exact = running.join(left.select("pair", "n1", "n2"), "pair").groupBy("pair").agg(F.max(gap).alias("ks_statistic"))
+    out = left.join(exact, "pair").select(
+        F.lit(feature).alias("feature"), F.col("s1").alias("slice1"), F.col("s2").alias("slice2"), "ks_statistic", "n1", "n2", "mean_diff",
+        tested.alias("tested"), F.when(tested, ks_p(F.col("ks_statistic"), F.col("n1"), F.col("n2"))).alias("p_value"))
+    return stable(out).filter(~F.col("tested") | (F.col("p_value") < alpha))
 
 
 def representation_bias(df: DataFrame, entity: str, limit: float = SHARE_LIMIT) -> DataFrame:

@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitpanel.functions.columns import flag, ratio
-from pitpanel.operators import blocks
+from pitpanel.operators import blocks, recursive
 from pitpanel.operators.joins import join_checked
 from pitpanel.panel import Panel
 
@@ -116,29 +114,14 @@ def rsi(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 14, blo
 
 
 def macd(df: DataFrame, panel: Panel, column: str, name: str = "macd", signal: str = "macd_signal",
-         spans: tuple[int, int, int] = (12, 26, 9)) -> DataFrame:
+         spans: tuple[int, int, int] = (12, 26, 9), blocked: bool = False) -> DataFrame:
     """MACD line and signal from recursive exponential averages.
 
-    The recursion has no built-in counterpart, so each entity (at most one row per calendar day)
-    goes through Arrow once.
+    Averages carry over gaps, and an old average has less weight the longer the gap. At daily grain an entity is one bounded
+    array that a fold walks through; ``blocked`` composes the recursion over slabs, for entities of any size.
     """
-    fast, slow, smooth = spans
-    schema = T.StructType([
-        *df.schema.fields, T.StructField(name, T.DoubleType()), T.StructField(signal, T.DoubleType()),
-    ])
-    order = panel.order
-
-    def per_entity(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        x = rows[column].astype("float64")
-        line = x.ewm(span=fast, adjust=False).mean() - x.ewm(span=slow, adjust=False).mean()
-        rows[name] = line
-        rows[signal] = line.ewm(span=smooth, adjust=False).mean()
-        return rows
-
-    out = df.groupBy(*panel.entity).applyInPandas(per_entity, schema)
-    null = F.lit(None).cast("double")
-    return out.withColumns({name: F.nanvl(name, null), signal: F.nanvl(signal, null)})
+    walk = recursive.averages_of_any_size if blocked else recursive.averages_of_entities
+    return walk(df, panel.entity, panel.order, column, name, signal, spans)
 
 
 def trend_flag(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 90, blocked: bool = False) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.columns import existing, ratio
-from pitpanel.operators import features, fill, merge, outliers, windows
+from pitpanel.operators import drift, features, fill, merge, outliers, windows
 from pitpanel.panel import Panel
 from pitpanel.plans import clean
 from pitpanel.plans.repair import repair_merged
@@ -66,7 +66,7 @@ def macro_features(df: DataFrame, panel: Panel, m: MacroNames = MacroNames()) ->
     if m.spread in df.columns:
         out = features.below_flag(out, m.spread, 0.0, "yield_curve_inverted")
     if m.credit_spread in df.columns:
-        out = features.above_quantile_flag(out, m.credit_spread, 0.75, f"{m.credit_spread}_high")
+        out = features.above_quantile_flag(out, m.credit_spread, 0.75, f"{m.credit_spread}_high", large=False)
     return out
 
 
@@ -95,7 +95,7 @@ def market_features(df: DataFrame, panel: Panel, k: MarketNames = MarketNames())
 def entity_features(df: DataFrame, panel: Panel, e: EntityNames = EntityNames()) -> DataFrame:
     """Price, volume and statement features of the merged daily panel.
 
-    MACD runs first, while the rows are still narrow: it is the only step that leaves the JVM.
+    MACD runs first, while the rows are still narrow: it holds an entity as one array.
     """
     p, v, s = e.price, e.volume, e.statement
     out = df
@@ -139,18 +139,21 @@ def macro_panel(macro: DataFrame, market: DataFrame, panel: Panel, m: MacroNames
 
 def entity_panel(prices: DataFrame, statements: DataFrame, context: DataFrame, panel: Panel, e: EntityNames = EntityNames(),
                  lag_days: int = clean.REPORTING_LAG_DAYS, debt: tuple[str, str] | None = None,
-                 price_panel: Panel | None = None, lead_median: bool = True) -> DataFrame:
+                 price_panel: Panel | None = None, lead_median: bool = True, attributes: Mapping[str, str] | None = None) -> DataFrame:
     """Prices and daily statements of every entity with features and the macro context of the day.
 
     Statements count only after their reporting lag, and are expanded to days before the join.
-    ``price_panel`` carries the tie-break of raw price rows that may repeat a day.
+    ``price_panel`` carries the tie-break of raw price rows that may repeat a day. ``attributes`` are texts of an
+    entity in ``prices``, such as its sector or name, each with the text for an entity that has none: days without a price get them too.
     """
     raw = price_panel or panel
     p = clean.clean_prices(prices, raw, [e.price], [c for c in prices.columns], e.price, lead_median)
     p = p.drop(*raw.tie)
     s = clean.clean_statements(statements, panel, lag_days, debt, lead_median)
     daily = fill.quarterly_to_daily(s, panel)
-    merged = merge.merge_outer(p, daily, panel.keys)
+    merged = merge.merge_stacked(p, daily, panel.keys)
+    for name, unknown in (attributes or {}).items():
+        merged = merged.withColumn(name, F.coalesce(F.first(name, ignorenulls=True).over(panel.ordered().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(unknown)))
     return merge.add_context(entity_features(merged, panel, e), context, panel.date)
 
 
@@ -162,9 +165,21 @@ def audit_flags(df: DataFrame, panel: Panel, outlier_columns: Sequence[str], jum
     return outliers.jump_flags(out, panel, jump_columns)
 
 
+def context_flags(df: DataFrame, panel: Panel, volatility: str | None = None, drift_columns: Sequence[str] = (),
+                  reference: tuple[int, int] | None = None, current: tuple[int, int] | None = None) -> DataFrame:
+    """``market_regime`` by the volatility of the day, and ``feature_drift_flag``: a value of a column that drifted between the periods."""
+    out = df
+    if volatility is not None:
+        out = out.withColumn("market_regime", features.volatility_regime(F.col(volatility)))
+    if reference is not None and current is not None:
+        report = drift.drift_report(df, panel.date, existing(df, drift_columns), reference, current)
+        out = drift.drift_flag(out, report)
+    return out
+
+
 def finished_panel(prices: DataFrame, statements: DataFrame, context: DataFrame, panel: Panel, e: EntityNames = EntityNames(),
-                   keep_text: Sequence[str] = (), cut_lineage: bool = True, **options) -> DataFrame:
-    """Entity panel, repaired and flagged.
+                   keep_text: Sequence[str] = (), cut_lineage: bool = True, flags: Mapping | None = None, **options) -> DataFrame:
+    """Entity panel, repaired and flagged; ``flags`` are the options of ``context_flags``.
 
     The wide panel is expensive and the repair makes several passes over it, so ``cut_lineage``
     writes it down after the merge and after the fills.
@@ -174,6 +189,7 @@ def finished_panel(prices: DataFrame, statements: DataFrame, context: DataFrame,
         wide = stable(wide)
     repaired = repair_merged(wide, panel, keep_text, cut_lineage=cut_lineage)
     p = e.price
+    repaired = context_flags(repaired, panel, **flags) if flags else repaired
     return audit_flags(repaired, panel, [f"{p}_return_1d", f"{p}_return_22d", f"{p}_volatility_22d", "profit_margin", "roe", "roa"],
                        [p, e.statement.revenue])
 

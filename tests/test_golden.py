@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pitpanel import Panel
 from pitpanel.operators import (blocks, checks, dedupe, drift, expectations as ex, features, fill, hygiene, joins, merge,
-                                outliers, quantiles, slices, windows)
+                                outliers, profile, quantiles, slices, windows)
 from pitpanel.plans import suites
 from pitpanel.sources import readers, sinks
 
@@ -304,3 +304,166 @@ def test_stress_index_sign_and_scale(spark):
     out = features.stress_index(df, DATED, ["vix", "ted", "rate"], "vix")
     assert out.count() == 200 and out.stat.corr("stress_index", "vix") > 0.9
     assert features.stress_index(df, DATED, ["vix", "nope"], "vix") is df
+
+
+def test_macd_blocked_matches_pandas_with_a_hot_entity(spark, monkeypatch):
+    from pitpanel.operators import recursive
+
+    monkeypatch.setattr(recursive, "SLAB", 8)
+    rows = [("hot", k, None if k % 7 in (2, 3) or k < 5 else float((k * 37) % 101)) for k in range(700)]
+    rows += [(None, k, float(k)) for k in range(20)] + [("empty", k, None) for k in range(9)] + [("one", 0, 4.0)]
+    df = spark.createDataFrame(rows, "entity string, k int, x double")
+    want = {}
+    for e in {r[0] for r in rows}:
+        s = pd.Series([r[2] for r in rows if r[0] == e], dtype="float64")
+        line = s.ewm(span=12, adjust=False).mean() - s.ewm(span=26, adjust=False).mean()
+        want |= {(e, k): (a, b) for k, (a, b) in enumerate(zip(line, line.ewm(span=9, adjust=False).mean()))}
+    for blocked in (True, False):
+        out = windows.macd(df, Panel(("entity",), "k"), "x", blocked=blocked)
+        assert "Python" not in out._jdf.queryExecution().toString() and "Pandas" not in out._jdf.queryExecution().toString()
+        got = {(r["entity"], r["k"]): (r["macd"], r["macd_signal"]) for r in out.collect()}
+        assert got.keys() == want.keys()
+        for key, (a, b) in want.items():
+            assert (got[key] == (None, None)) if a != a else got[key] == pytest.approx((a, b), abs=1e-9), key
+
+
+def test_stacked_merge(spark):
+    a = spark.createDataFrame([("x", 1, 1.0, "p"), (None, 1, 2.0, None), (None, 2, None, "q")], "e string, d int, u double, s string")
+    b = spark.createDataFrame([("x", 1, 7, "no"), (None, 1, 8, "no"), ("y", None, 9, "no")], "e string, d int, v int, s string")
+    got = sorted(map(str, merge.merge_stacked(a, b, ["e", "d"]).collect()))
+    assert got == sorted(map(str, merge.merge_outer(a, b, ["e", "d"]).select("e", "d", "u", "s", "v").collect())) and len(got) == 4
+    with pytest.raises(Exception, match="more than once"):
+        merge.merge_stacked(a.union(a), b, ["e", "d"]).count()
+
+
+@pytest.mark.parametrize("sizes", [(7, 9), (20, 20), (31, 50)])
+def test_exact_ks_counts_paths(spark, sizes):
+    from functools import lru_cache
+    from math import comb
+
+    from pitpanel.operators import drift
+
+    n, m = sizes
+    for hits in (2, 5, 9):
+        d = hits / max(n, m)
+        reach = round(d * n * m)
+
+        @lru_cache(None)
+        def inside(i, j):
+            if abs(i * m - j * n) >= reach:
+                return 0
+            if i == 0 and j == 0:
+                return 1
+            return (inside(i - 1, j) if i else 0) + (inside(i, j - 1) if j else 0)
+
+        want = 1 - inside(n, m) / comb(n + m, n)
+        row = spark.range(1).select(F.lit(d).alias("d"), F.lit(n).cast("long").alias("n"), F.lit(m).cast("long").alias("m"))
+        for a, b in (("n", "m"), ("m", "n")):
+            assert row.select(drift.ks_exact_p(F.col("d"), F.col(a), F.col(b))).first()[0] == pytest.approx(want, abs=1e-9)
+
+
+def test_slice_pairs_equal_all_pairs(spark):
+    import random
+
+    from pitpanel.operators import drift, slices
+
+    rng = random.Random(3)
+    rows = [(f"s{k}" if k else None, rng.gauss(k % 5 / 4, 1 + (k % 3) / 5) if rng.random() > 0.1 else None) for k in range(30) for _ in range(20 + (k * 37) % 190)]
+    rows += [("same", 1.0)] * 40
+    df = spark.createDataFrame(rows, "s string, x double")
+    got = {frozenset((r["slice1"], r["slice2"])): r for r in slices.slice_ks_pairs(df, "s", None, "x").collect()}
+    by = {}
+    for s, x in rows:
+        if x is not None:
+            by.setdefault(s, []).append(x)
+    pairs = []
+    for a in by:
+        for b in by:
+            if str(a) < str(b):
+                both = sorted(set(by[a] + by[b]))
+                d = max(abs(sum(v <= x for v in by[a]) / len(by[a]) - sum(v <= x for v in by[b]) / len(by[b])) for x in both)
+                pairs.append((a, b, d, len(by[a]), len(by[b])))
+    table = spark.createDataFrame(pairs, "a string, b string, d double, n long, m long").withColumn("p", drift.ks_p(F.col("d"), F.col("n"), F.col("m")))
+    for r in table.collect():
+        key = frozenset((r["a"], r["b"]))
+        tested = r["n"] >= 30 and r["m"] >= 30
+        assert (key in got) == (not tested or r["p"] < 0.05), r
+        if key in got:
+            assert got[key]["ks_statistic"] == pytest.approx(r["d"]) and got[key]["tested"] == tested
+
+
+def test_wide_correlations(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 120)) @ rng.normal(size=(120, 120)) * 1e3 + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 5] = 3.0
+    x[:, 6] = np.nan
+    frame = pd.DataFrame(x, columns=[f"c{k}" for k in range(120)])
+    df = spark.createDataFrame(frame).select(*[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in frame.columns])
+    got = {(r["a"], r["b"]): r["correlation"] for r in profile.corr_matrix(df, list(frame.columns)).collect()}
+    want = frame.corr()
+    assert len(got) == 120 * 120
+    for (a, b), r in got.items():
+        w = want.loc[a, b]
+        assert (r is None) if w != w else r == pytest.approx(w, abs=1e-8), (a, b)
+
+
+def test_bracketed_quantiles_equal_numpy(spark, monkeypatch):
+    import numpy as np
+
+    from pitpanel.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "SKETCH", 200)
+    rng = np.random.default_rng(4)
+    parts = {"a": rng.normal(size=5000), None: np.round(rng.exponential(size=3000), 1), "c": np.full(900, 2.0), "d": rng.normal(size=3), "e": np.array([np.nan])}
+    rows = [(k, None if v != v else float(v)) for k, values in parts.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, x double")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0]
+    for by in (["k"], []):
+        got = {(r["k"] if by else "all", r["p"]): (r["value"], r["n"]) for r in quantiles.bracketed_quantiles(df, by, ["x"], probs).collect()}
+        for k, values in (parts if by else {"all": np.concatenate(list(parts.values()))}).items():
+            values = values[~np.isnan(values)]
+            for p in probs:
+                assert ((k, p) in got) == (len(values) > 0)
+                if len(values):
+                    assert got[k, p] == (pytest.approx(np.quantile(values, p)), len(values)), (k, p)
+
+
+def test_runs_are_read_once(spark, tmp_path):
+    from pitpanel.sources.runs import append_run, read_runs
+
+    folder = f"file://{tmp_path}/runs"
+    assert read_runs(spark, folder) is None
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    assert append_run(first, folder, "r-1") and not append_run(first, folder, "r-1")
+    first.write.parquet(f"{folder}/attempt-half")
+    assert append_run(first.drop("s").withColumn("n", F.col("n") + 10), folder, "r.2")
+    assert sorted((r["run"], r["n"], r["s"]) for r in read_runs(spark, folder).collect()) == [("r-1", 1, "a"), ("r-1", 2, "b"), ("r.2", 11, None), ("r.2", 12, None)]
+    with pytest.raises(ValueError):
+        append_run(first, folder, "../x")
+
+
+def test_late_rows_are_told(spark):
+    from pitpanel.operators.incremental import extend_panel, late_rows, panel_state
+
+    panel = Panel(("e",), "d")
+    day = lambda k: dt.date(2020, 1, k)
+    state = panel_state(spark.createDataFrame([("a", day(k), float(k)) for k in range(1, 6)] + [(None, day(3), 1.0)], "e string, d date, x double"), panel, ["x"], 2)
+    assert state.count() == 3
+    batch = spark.createDataFrame([("a", day(5), 9.0), ("a", day(6), 7.0), (None, day(4), None), ("new", day(1), 2.0)], "e string, d date, x double")
+    assert [tuple(r) for r in late_rows(state, batch, panel).collect()] == [("a", day(5), 9.0)]
+    out = extend_panel(state, batch, panel, lambda df: windows.lag_features(fill.forward_fill(df, panel, ["x"]), panel, ["x"], [1]))
+    assert sorted(map(str, ((r["e"], r["x"], r["x_lag1"]) for r in out.collect()))) == sorted(map(str, [("a", 7.0, 5.0), (None, 1.0, 1.0), ("new", 2.0, None)]))
+
+
+def test_suites_over_one_table_evaluate_it_twice(spark):
+    rows = [("a", 1.0, "x y"), ("a", -0.0, None), ("b", 0.0, "x"), (None, None, "x y")]
+    df = spark.createDataFrame(rows, "k string, v double, t string")
+    suite = [*ex.unique("k"), *ex.unique("v"), *ex.unique_together("k", "t"), *ex.distinct_between("t", 1, 2), *ex.rows_equal_other(), *ex.between("v", 0, 1)]
+    out = ex.evaluate_all(df, {"one": suite, "two": suite[::-1]}, other=df)
+    got = {(r["suite"], r["position"]): (r["observed"], r["success"]) for r in out.collect()}
+    want = [(2.0, False), (2.0, False), (0.0, True), (2.0, True), (4.0, True), (1.0, True)]
+    assert [got["one", k] for k in range(6)] == want and [got["two", 5 - k] for k in range(6)] == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
