@@ -37,9 +37,9 @@ from pitpanel.session import stable
 #: Words that are broadcast at most, words that the exchange begins with, and classes.
 HEAD, CLUSTERED, CLASSES = 1 << 18, 500, 50
 #: Times that a word occurs at least to be in the vocabulary.
-LEAST = 8
+LEAST = 20
 #: Share of all gains so far that a pair of rounds has to add for another one.
-GAIN = 0.01
+GAIN = 0.05
 #: Bigrams that a task holds before it reports their counts.
 HELD = 3_000_000
 #: Weight of the class bigrams against class frequencies.

@@ -95,6 +95,8 @@ def test_scores_by_brute_force(spark, monkeypatch):
 def test_moves_in_tasks_raise_the_likelihood_and_the_vocabulary_has_no_bound(spark, monkeypatch):
     monkeypatch.setattr(brown, "CLUSTERED", 10)
     monkeypatch.setattr(brown, "CLASSES", 4)
+    monkeypatch.setattr(brown, "LEAST", 5)
+    monkeypatch.setattr(brown, "GAIN", 0.01)
     rng = np.random.default_rng(5)
     kinds = [[f"{c}{k}" for k in range(200)] for c in "abcd"]
     texts = [" ".join(kinds[(i + k) % 4][rng.integers(200)] for k in range(60)) for i in range(400)]
