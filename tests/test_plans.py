@@ -44,3 +44,9 @@ def test_daily_grain_is_reached_before_the_join(spark, sf):
 def test_history_limit_is_applied_before_the_shuffle(spark):
     runs = spark.range(500).select((F.col("id") % 3).alias("dataset"), F.col("id").alias("run"))
     assert "WindowGroupLimit" in plan(checks.recent_runs(runs, ["dataset"], ["run"], 100))
+
+
+def test_merge_quality_compares_the_keys_of_the_panels(spark, sf):
+    text = plan(REGISTRY.queries["merge_quality"](spark, sf))
+    assert "l_suppkey" in text and "c_custkey" not in text
+    assert "statements" in REGISTRY.sql["merge_quality"] and "merge_quality_customers" in REGISTRY.sql
