@@ -1,8 +1,10 @@
 """Small worked examples and invariants."""
 
 import datetime as dt
+import itertools
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -392,6 +394,37 @@ def test_slice_pairs_equal_all_pairs(spark):
             assert got[key]["ks_statistic"] == pytest.approx(r["d"]) and got[key]["tested"] == tested
 
 
+def test_slice_pairs_take_each_value_once(spark, monkeypatch):
+    """Ties over batches and parts, a NaN, a null slice; a value reaches the walk once, however many pairs there are."""
+    monkeypatch.setattr(slices, "PART_ROWS", 500)
+    sizes, walk = [], slices._exact_gaps
+
+    def counting(rows, cdf, left):
+        sizes.append((rows.count(), left.count()))
+        return walk(rows, cdf, left)
+
+    monkeypatch.setattr(slices, "_exact_gaps", counting)
+    rng = np.random.default_rng(5)
+    rows = [(None if k == 0 else f"s{k}", float(np.round(x, 1))) for k in range(6) for x in rng.normal(k / 5, 1, 400)]
+    rows += [("s1", float("nan"))] * 9 + [("s2", 0.5)] * 700
+    df = spark.createDataFrame(rows, "s string, x double")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {frozenset((r["slice1"], r["slice2"])): r["ks_statistic"] for r in slices.slice_ks_pairs(df, "s", None, "x", alpha=1.1).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    by = {}
+    for s, x in rows:
+        by.setdefault(s, []).append(np.inf if x != x else x)
+    want = {}
+    for a, b in itertools.combinations(by, 2):
+        both = np.array(sorted(set(by[a] + by[b])))
+        want[frozenset((a, b))] = np.abs(np.searchsorted(np.sort(by[a]), both, "right") / len(by[a]) - np.searchsorted(np.sort(by[b]), both, "right") / len(by[b])).max()
+    assert got == want
+    assert sizes == [(len(rows), 15)]
+
+
 def test_wide_correlations(spark):
     import numpy as np
 
