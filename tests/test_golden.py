@@ -78,6 +78,41 @@ def test_rolling_features_match_pandas(spark):
             assert (a is None and math.isnan(b)) or a == pytest.approx(b, abs=1e-9), name
 
 
+def test_long_frames_are_composed(spark):
+    """Gaps, equal values, an infinity and whole numbers, two entities; frames of many rows are not read row by row."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for e in (None, 7):
+        x = rng.lognormal(3, 2, 500)
+        x[rng.random(500) < 0.2] = np.nan
+        x[100:300] = 0.1
+        x[350] = np.inf if e else 1.0
+        rows += [(e, dt.date(2020, 1, 1) + dt.timedelta(days=i), None if math.isnan(v) else float(v), i * i) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "entity long, dt date, x double, k long").repartition(5)
+    by = Panel(("entity",), "dt")
+    out = windows.moving_average(df, by, {"a": ("x", 200), "b": ("k", 50), "c": ("x", 5)})
+    out = windows.moving_average(out, by, {"full": ("x", 150)}, min_rows=100)
+    out = windows.rolling_std(out, by, {"d": ("x", 130), "f": ("k", 250)})
+    assert out.columns == ["entity", "dt", "x", "k", "a", "b", "c", "full", "d", "f"]
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(f"RowFrame, -{n - 1}, currentrow" in text for n in (50, 130, 150, 200, 250))
+    got = out.orderBy("dt").toPandas()
+    for e in (None, 7):
+        g = got[got.entity.isna() if e is None else got.entity == e].reset_index(drop=True)
+        for name, c, n, how, need in (("a", "x", 200, "mean", 1), ("b", "k", 50, "mean", 1), ("c", "x", 5, "mean", 1), ("full", "x", 150, "mean", 100), ("d", "x", 130, "std", 1), ("f", "k", 250, "std", 1)):
+            for i in range(len(g)):
+                v = g[c][max(0, i - n + 1):i + 1].dropna().to_numpy("float64")
+                with np.errstate(invalid="ignore"):
+                    want = np.nan if len(v) < max(need, 2 if how == "std" else 1) else v.mean() if how == "mean" else 0.0 if len(set(v)) == 1 and np.isfinite(v).all() else v.std(ddof=1)
+                assert g[name][i] == pytest.approx(want, rel=1e-12, abs=0, nan_ok=True), (e, name, i)
+
+
+def test_macd_orders_and_weighs_each_row_once(spark):
+    df = series(spark, [float(i % 9) if i % 4 else None for i in range(300)])
+    text = windows.macd(df, DATED, "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort(" not in text and text.lower().count("pow(") <= 4
+
+
 def test_fill_within_group(spark):
     df = series(spark, [1.0, None, 3.0], "A").unionByName(series(spark, [None, 10.0, None], "B"))
     assert column(fill.forward_fill(df, ENTITY, ["x"]), "x", "entity", "dt") == [1, 1, 3, None, 10, 10]
