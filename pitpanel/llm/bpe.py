@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with a rank vocabulary.
 
 Encoding looks each pre-token up twice at most. A minimal perfect hash over the vocabulary resolves pre-tokens that are
-entries themselves. The rest is merged with a heap over linked bytes, lowest rank first, leftmost on ties. Results of
-both are kept in a bounded table in each Python worker, so frequent words cost one look-up.
+entries themselves. The rest is merged, lowest rank first, leftmost on ties: short pre-tokens of many texts side by side, one
+merge of each in a round; long ones with a heap over linked bytes. Results are kept in a bounded table in each Python worker, so
+frequent words cost one look-up.
 
 Ids travel as binary columns of little-endian unsigned 32-bit integers; ``decode`` turns them back into bytes. Null text
 counts as empty and gives empty binaries. Long texts are worked on in pieces that are cut where no pre-token can span.
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 from pitpanel.llm.common import bounded_batches
 
 #: Entries of a worker's table of known pre-tokens; it is emptied when full.
-KNOWN = 600_000
+KNOWN = 300_000
 PIECE = 1 << 18
+#: Bytes of pre-tokens that are merged side by side, and how many are at once.
+SHORT, BLOCK = 32, 4096
+_NO_RANK = np.iinfo(np.int32).max
 
 
 def _mixed(hashes: np.ndarray, level: int) -> np.ndarray:
@@ -143,17 +147,86 @@ class Vocabulary:
             i = after[i]
         return out
 
+    @cached_property
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of the single bytes, codes of all pairs of entries that make an entry (sorted), and its rank; None if a byte has no id."""
+        ranks, size = self.ranks, self._size
+        if any(bytes([b]) not in ranks for b in range(256)):
+            return None
+        code, made = [], []
+        for entry, rank in ranks.items():
+            for cut in range(1, len(entry)):
+                if (a := ranks.get(entry[:cut])) is not None and (b := ranks.get(entry[cut:])) is not None:
+                    code.append(a * size + b)
+                    made.append(rank)
+        order = np.argsort(np.array(code, np.int64))
+        single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        # one pair more, which no code equals, so that a search always ends inside
+        return single, np.append(np.array(code, np.int64)[order], size * size), np.append(np.array(made, np.int32)[order], _NO_RANK)
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the entry that each pair of ids makes; a place behind the end has id -1 and makes none."""
+        _, codes, made = self._pairs
+        code = np.where(right >= 0, left * self._size + right, -1)
+        at = np.searchsorted(codes, code)
+        return np.where(codes[at] == code, made[at], _NO_RANK)
+
+    @cached_property
+    def _size(self) -> int:
+        return max(self.ranks.values(), default=-1) + 1
+
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """``merge`` of short byte strings as binaries of ids; each round makes the next merge of every one of them."""
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(length.max())
+        flat = self._pairs[0][np.frombuffer(b"".join(pieces), np.uint8)]
+        place = np.arange(width)
+        ids = np.full((len(pieces), width + 1), -1, np.int64)
+        ids[:, :width][place < length[:, None]] = flat
+        rank = self._ranks_of(ids[:, :-1], ids[:, 1:])
+        done, left = np.zeros((len(pieces), width), "<u4"), np.arange(len(pieces))
+        while len(left):
+            at = rank.argmin(1)
+            rows = np.arange(len(left))
+            lowest = rank[rows, at]
+            go = lowest < _NO_RANK
+            if not go.all():
+                over = left[~go]
+                done[over] = ids[~go, :-1].astype("<u4")
+                length[over] = (ids[~go] >= 0).sum(1)
+                left, at, lowest, ids, rank = left[go], at[go], lowest[go], ids[go], rank[go]
+                if not len(left):
+                    break
+                rows = np.arange(len(left))
+            # the part at `at` takes in the next one; everything behind moves up
+            ids[rows, at] = lowest
+            ids[:, 1:-1] = np.where(place[1:] > at[:, None], ids[:, 2:], ids[:, 1:-1])
+            rank[:, :-1] = np.where(place[:-1] > at[:, None], rank[:, 1:], rank[:, :-1])
+            rank[:, -1] = _NO_RANK
+            rank[rows, at] = self._ranks_of(ids[rows, at], ids[rows, at + 1])
+            before = np.flatnonzero(at > 0)
+            rank[before, at[before] - 1] = self._ranks_of(ids[before, at[before] - 1], ids[before, at[before]])
+        whole = done.tobytes()
+        return [whole[s : s + 4 * n] for s, n in zip(range(0, 4 * width * len(pieces), 4 * width), length.tolist())]
+
     def _learn(self, tokens: set[str]) -> None:
         """Put the ids of pre-tokens into the table."""
         names = list(tokens)
         pieces = [t.encode("utf-8") for t in names]
         seed, table, by_slot, ids = self._whole
         slots = table.slots(self._hashes(pieces, seed))
+        short = []
         for name, piece, slot in zip(names, pieces, slots.tolist()):
             if slot >= 0 and by_slot[slot] == piece:
                 self._known[name] = ids[slot].tobytes()
-            else:
+            elif len(piece) > SHORT or self._pairs is None:
                 self._known[name] = np.array(self.merge(piece), "<u4").tobytes()
+            else:
+                short.append((piece, name))
+        short.sort(key=lambda x: len(x[0]))
+        for k in range(0, len(short), BLOCK):
+            block = short[k : k + BLOCK]
+            self._known.update(zip((name for _, name in block), self.merge_many([piece for piece, _ in block])))
 
     def _pieces(self, text: str):
         """Cuts before a single space between two characters that are no spaces: each pre-token ends there."""
@@ -180,6 +253,28 @@ class Vocabulary:
                 out.append(b"".join(map(self._known.__getitem__, tokens)))
         return b"".join(out)
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of each text; short ones are worked on together, so that what is unknown in any of them is learned at once."""
+        out, group, size = [], [], 0
+        for text in texts:
+            if len(text) > PIECE:
+                out += [*self._encode_group(group), self.encode(text)]
+                group, size = [], 0
+                continue
+            group.append(text)
+            size += len(text)
+            if size > PIECE:
+                out += self._encode_group(group)
+                group, size = [], 0
+        return out + self._encode_group(group)
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        tokens = [self._split(t) for t in texts]
+        if len(self._known) > KNOWN:
+            self._known.clear()
+        self._learn(set().union(*tokens).difference(self._known))
+        return [b"".join(map(self._known.__getitem__, t)) for t in tokens]
+
     def decode(self, ids: bytes) -> bytes:
         """Bytes of the entries with these ids, end to end."""
         flat, start, length = self._flat
@@ -206,7 +301,7 @@ class Codec:
         @F.pandas_udf("binary")
         def encode(text: pd.Series) -> pd.Series:
             vocabulary = shared.value
-            return pd.Series([vocabulary.encode(t or "") for t in text], dtype=object)
+            return pd.Series(vocabulary.encode_many([t or "" for t in text]), dtype=object)
 
         @F.pandas_udf("binary")
         def decode(ids: pd.Series) -> pd.Series:

@@ -70,3 +70,13 @@ def test_query(spark, small, both):
         assert r["n_tokens"] == len(want)
         assert r["ids_sha256"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode("utf-8")).hexdigest()
+
+
+def test_pre_tokens_merged_side_by_side(both):
+    own, reference = both
+    rng = random.Random(9)
+    pieces = ["".join(rng.choice("abcdeést日😀") for _ in range(rng.randint(1, 12))).encode()[: bpe.SHORT] for _ in range(3000)]
+    for piece, got in zip(pieces, own.merge_many(pieces)):
+        assert np.frombuffer(got, "<u4").tolist() == own.merge(piece), piece
+    texts = ["".join(rng.choice("abé 's\n.12") for _ in range(rng.randint(0, 200))) for _ in range(300)] + ["x" * (bpe.PIECE + 5), ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_many(texts)] == [reference.encode_ordinary(t) for t in texts]
