@@ -535,3 +535,25 @@ def test_suites_over_one_table_evaluate_it_twice(spark):
     want = [(2.0, False), (2.0, False), (0.0, True), (2.0, True), (4.0, True), (1.0, True)]
     assert [got["one", k] for k in range(6)] == want and [got["two", 5 - k] for k in range(6)] == want
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+
+
+def test_quantiles_of_small_groups_are_sorted_in_one_aggregate(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(f"g{k}", float(x)) for k in range(30) for x in rng.normal(size=5 + k)] + [(None, 1.0), (None, 2.0), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    probs = [0.0, 0.001, 0.5, 0.999, 1.0]
+
+    def check(df, rows):
+        values = {}
+        for k, x in rows:
+            values.setdefault(k, []).append(x)
+        got = {(r["k"], r["p"]): (r["value"], r["n"]) for r in quantiles.bracketed_quantiles(df, ["k"], ["x"], probs).collect()}
+        assert set(got) == {(k, p) for k, v in values.items() if v != [None] for p in probs}
+        assert all(n == len(values[k]) and abs(v - np.quantile(values[k], p)) < 1e-12 for (k, p), (v, n) in got.items())
+
+    with monkeypatch.context() as m:
+        m.setattr(quantiles, "running_totals", None)  # brackets would call it
+        check(df, rows)
+    monkeypatch.setattr(quantiles, "SKETCH", 100)
+    large = [("large", float(x)) for x in rng.normal(size=500)] + [(None, float(x)) for x in rng.normal(size=300)]
+    check(df.unionByName(spark.createDataFrame(large, "k string, x double")), rows + large)
