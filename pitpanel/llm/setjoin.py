@@ -14,7 +14,7 @@ from the start. The steps, each over all documents:
 4. Under each prefix shingle a leader, the one with most of its set behind that place, is compared with the others.
    Links join documents to *groups*, so a family of copies takes one comparison for each copy, not one for each pair.
 5. The token-group matrix has for each prefix shingle and group the union of its members' places and sizes. Two groups
-   qualify where the overlap that this bounds can reach the threshold; only those are opened, member by member.
+   qualify where the overlap that this bounds can reach the threshold; only those are opened, member by member of the smaller one.
 6. Links of 4 and 5 give the components. Pairs inside a group need no comparison: they are connected already.
 
 Before whole sets are compared, pairs have to pass a bound by MARKS counts for each set, of its shingles by the first bits of their
@@ -66,7 +66,7 @@ def _word_hashes(text: str) -> np.ndarray:
     try:
         out = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     except KeyError:
-        if len(_words) > 1_000_000:
+        if len(_words) > 300_000:
             _words.clear()
         for w in {w for w in words if w not in _words}:
             _words[w] = xxhash.xxh3_64_intdigest(w) | 1 if w else 0
@@ -330,7 +330,10 @@ def _links(steps: Steps, docs: DataFrame, text: str, identifier: str, width: int
     partner = F.greatest(F.col("n_least"), F.ceil(F.lit(percent) * F.col("n_min") / 100))
     reach = F.ceil(F.lit(percent) * (F.col("n_min") + partner) / (100 + percent)) <= F.col("rest")
     able = steps.keep(matrix.join(several, key).where(reach).drop("n_least"), "able")
-    steps.drop(matrix, several)
+    steps.drop(matrix)
+    # rows under a shingle that only one group has meet nothing
+    grouped, every = steps.keep(grouped.join(several.select(*key), key, "left_semi"), "meeting"), grouped
+    steps.drop(every, several)
     least = F.ceil(F.lit(percent) * (F.col("a.n_min") + F.col("b.n_min")) / (100 + percent))
     qualify = (
         (F.col("a.group") < F.col("b.group"))
@@ -340,10 +343,17 @@ def _links(steps: Steps, docs: DataFrame, text: str, identifier: str, width: int
     opened = able.alias("a").join(able.alias("b"), key).where(qualify)
     opened = steps.keep(opened.select(F.col("a.group").alias("group"), F.col("b.group").alias("other")).distinct(), "opened")
     steps.drop(able)
-    members = grouped.join(opened, "group").alias("a")
+    # the smaller group of a pair looks for the other: a family of copies is not repeated for each single document next to it
+    weight = steps.keep(grouped.groupBy("group").agg(F.count("*").alias("weight")), "weight")
+    weighed = opened.join(weight, "group").join(weight.select(F.col("group").alias("other"), F.col("weight").alias("other_weight")), "other")
+    swap = F.col("weight") > F.col("other_weight")
+    turned = weighed.select(F.when(swap, F.col("other")).otherwise(F.col("group")).alias("group"), F.when(swap, F.col("group")).otherwise(F.col("other")).alias("other"))
+    turned = steps.keep(turned, "turned")
+    steps.drop(opened, weight)
+    members = grouped.join(turned, "group").alias("a")
     met = members.join(grouped.alias("b"), [F.col("a.other") == F.col("b.group"), *[F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]])
     met = steps.keep(_reaching(met.where(_sizes_fit(percent)), percent), "met")
-    steps.drop(grouped, opened)
+    steps.drop(grouped, turned)
     return own, heads, near.unionByName(_verified(steps, met, sets, percent))
 
 

@@ -131,3 +131,27 @@ def test_no_table_of_a_step_is_left(spark, small):
     folders = [base, os.path.dirname(base)]
     left = {x for f in folders for x in os.listdir(f) if x.startswith("jaccard")} - before
     assert not left
+
+
+def test_a_family_is_not_repeated_for_each_document_next_to_it(spark, monkeypatch):
+    rng = random.Random(12)
+    docs = family(rng, 150, 150, 4, 0)
+    base = docs[0][1].split()
+    for k in range(60):  # near the family, but each too far from all of it
+        words = list(base)
+        for at in rng.sample(range(4, 146), 9):
+            words[at] = f"far{k}x{at}"
+        docs.append((1000 + k, " ".join(words)))
+    tables, made = {}, []
+    keep = setjoin.Steps.keep
+
+    def seen(self, df, name):
+        tables[name] = keep(self, df, name)
+        if name == "turned":
+            made.append((tables[name].count(), tables["meeting"].join(tables[name], "group").count()))
+        return tables[name]
+
+    monkeypatch.setattr(setjoin.Steps, "keep", seen)
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+    (opened, members), = made
+    assert members <= 40 * opened  # rows of one document each, not of the whole family
