@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -44,13 +45,13 @@ GAIN = 0.05
 HELD = 3_000_000
 #: Weight of the class bigrams against class frequencies.
 BIGRAM = 0.9
-_WHITE = bytes([9, 10, 11, 12, 13])
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _WHITE, b"abcdefghijklmnopqrstuvwxyz" + b" " * 5)
+#: Words whose moves are looked for at once.
+BLOCK = 256
 
 
 def words(text: str | None) -> list[bytes]:
     """Words of a text, A-Z in lower case, separated by ASCII white space only."""
-    return [w for w in (text or "").encode("utf-8").translate(_PLAIN).split(b" ") if w]
+    return (text or "").encode("utf-8").lower().split()  # both know ASCII only on bytes
 
 
 def _count(batches):
@@ -107,6 +108,43 @@ def _best(joint: np.ndarray, out: np.ndarray, inn: np.ndarray, own: float, class
     return int(np.argmax(gain > gain.max() - 1e-9)) if gain[old] < gain.max() - 1e-9 else old
 
 
+def _best_many(joint: np.ndarray, out: np.ndarray, inn: np.ndarray, own: np.ndarray, classes: int, old: np.ndarray) -> np.ndarray:
+    """``_best`` for each of many words (rows of ``out`` and ``inn``), each seen alone; ``joint`` has the bigrams of all of them."""
+    n = np.arange(len(old))
+    total_out, total_in = out.sum(1) + own, inn.sum(1) + own
+    rows, cols = np.tile(joint.sum(1), (len(old), 1)), np.tile(joint.sum(0), (len(old), 1))
+    rows[n, old] -= total_out
+    cols[n, old] -= total_in
+    rows, cols = rows[:, :classes], cols[:, :classes]
+
+    def side(cells: np.ndarray, gained: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Sum over the cells that a word has bigrams in, by the class that takes it."""
+        w, h = np.nonzero(gained)
+        times = gained[w, h]
+        part = cells[h, :classes]
+        part[np.arange(len(w)), old[w]] -= times
+        same = np.flatnonzero(h == old[w])
+        part[same] -= other[w[same], :classes]
+        part[same, old[w[same]]] -= own[w[same]]
+        part = _xlogx(part + times[:, None]) - _xlogx(part)
+        total = np.zeros((len(old), classes))
+        if len(w):
+            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            total[w[first]] = np.add.reduceat(part, first, axis=0)
+        return total
+
+    gain = side(joint.T, out, inn) + side(joint, inn, out)
+    cell = np.tile(joint.diagonal()[:classes], (len(old), 1))
+    cell[n, old] -= out[n, old] + inn[n, old] + own
+    plain = _xlogx(cell)
+    gain -= _xlogx(cell + out[:, :classes]) - plain
+    gain -= _xlogx(cell + inn[:, :classes]) - plain
+    gain += _xlogx(cell + out[:, :classes] + inn[:, :classes] + own[:, None]) - plain
+    gain -= _xlogx(rows + total_out[:, None]) - _xlogx(rows) + _xlogx(cols + total_in[:, None]) - _xlogx(cols)
+    most = gain.max(1)
+    return np.where(gain[n, old] < most - 1e-9, np.argmax(gain > most[:, None] - 1e-9, axis=1), old)
+
+
 def exchange(bigrams: np.ndarray, free: int, classes: int) -> np.ndarray:
     """Class of each symbol. The first ``free`` symbols are clustered, each further one keeps a class of its own.
 
@@ -165,8 +203,7 @@ class Symbols:
     def numbers(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
         """Words of a text and their numbers in the vocabulary, -1 outside."""
         found = words(text)
-        get = self.number.get
-        return found, np.fromiter((get(w, -1) for w in found), np.int64, len(found))
+        return found, np.fromiter(map(self.number.get, found, repeat(-1)), np.int64, len(found))
 
     def __getstate__(self):
         return {"head": self.head, "counts": self.counts}
@@ -177,11 +214,14 @@ def _bigrams(shared):
     def count(batches):
         symbols = shared.value
         size = symbols.end + 1
-        held, n = [], 0
+        held, kept, n = [], None, 0
 
         def summed():
-            code, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-            return code, np.bincount(at, np.concatenate([t for _, t in held])).astype(np.int64)
+            code, times = np.unique(np.concatenate(held), return_counts=True)
+            if kept is None:
+                return code, times.astype(np.int64)
+            code, at = np.unique(np.concatenate([kept[0], code]), return_inverse=True)
+            return code, np.bincount(at, np.concatenate([kept[1], times])).astype(np.int64)
 
         def rows(code, times):
             return pd.DataFrame({"first": (code // size).astype(np.int32), "second": (code % size).astype(np.int32), "n": times})
@@ -189,16 +229,18 @@ def _bigrams(shared):
         for pdf in batches:
             for text in pdf["text"]:
                 line = np.concatenate([[symbols.end], symbols.symbol[symbols.numbers(text)[1]], [symbols.end]])
-                held.append((line[:-1] * size + line[1:], np.ones(len(line) - 1, np.int64)))
+                held.append(line[:-1] * size + line[1:])
                 n += len(line)
                 if n > HELD:
-                    held = [summed()]
-                    n = len(held[0][0])
+                    kept, held = summed(), []
+                    n = len(kept[0])
                     if n > HELD // 2:
-                        yield rows(*held[0])
-                        held, n = [], 0
+                        yield rows(*kept)
+                        kept, n = None, 0
         if held:
             yield rows(*summed())
+        elif kept is not None:
+            yield rows(*kept)
 
     return count
 
@@ -216,17 +258,27 @@ def _neighbours(steps: Steps, pairs: DataFrame) -> DataFrame:
     return both
 
 
+def _by_word(others: pd.Series, times: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of symbols and counts, one behind the other, with the place of the word that each belongs to."""
+    owner = np.repeat(np.arange(len(others)), [len(x) for x in others])
+    if not len(owner):
+        return owner, owner, np.zeros(0)
+    return owner, np.concatenate(others.to_list()).astype(np.int64), np.concatenate(times.to_list()).astype(np.float64)
+
+
 def _joint(shared):
     """Cells of the class bigrams of one task's words."""
     def add(batches):
         label, size, _, _ = shared.value
-        joint = np.zeros((size, size))
+        joint = np.zeros(size * size)
         for pdf in batches:
-            for symbol, after, n in zip(pdf["symbol"], pdf["after"], pdf["n_after"]):
-                if after is not None:
-                    joint[label[symbol]] += np.bincount(label[after], n, size)
+            some = pdf[pdf["after"].notna()]
+            for k in range(0, len(some), BLOCK):
+                part = some[k : k + BLOCK]
+                owner, after, n = _by_word(part["after"], part["n_after"])
+                joint += np.bincount(label[part["symbol"].to_numpy()[owner]] * size + label[after], n, size * size)
         cell = np.flatnonzero(joint)
-        yield pd.DataFrame({"cell": cell, "n": joint.ravel()[cell].astype(np.int64)})
+        yield pd.DataFrame({"cell": cell, "n": joint[cell].astype(np.int64)})
 
     return add
 
@@ -235,23 +287,26 @@ def _moves(shared):
     """(symbol, class) of the words of one half that another class suits better, each seen alone."""
     def move(batches):
         label, size, joint, (half, free, classes) = shared.value
-        joint = joint.copy()
+
+        def by_class(words: np.ndarray, others: pd.Series, times: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+            """Bigrams of each word with the words of each class, and with itself."""
+            owner, other, n = _by_word(others, times)
+            own = np.bincount(owner, n * (other == words[owner]), len(words))
+            total = np.bincount(owner * size + label[other], n, len(words) * size).reshape(-1, size)
+            total[np.arange(len(words)), label[words]] -= own
+            return total, own
+
         for pdf in batches:
-            out = []
-            for symbol, after, n_after, before, n_before in zip(*(pdf[c] for c in ("symbol", "after", "n_after", "before", "n_before"))):
-                if symbol >= free or symbol % 2 != half or after is None or before is None:
-                    continue
-                old = int(label[symbol])
-                own = float(n_after[after == symbol].sum())
-                to, since = np.bincount(label[after], n_after, size), np.bincount(label[before], n_before, size)
-                to[old] -= own
-                since[old] -= own
-                _take(joint, old, to, since, own, -1)
-                new = _best(joint, to, since, own, classes, old)
-                _take(joint, old, to, since, own, 1)
-                if new != old:
-                    out.append((symbol, new))
-            yield pd.DataFrame(out, columns=["symbol", "label"])
+            able = (pdf["symbol"] < free) & (pdf["symbol"] % 2 == half) & pdf["after"].notna() & pdf["before"].notna()
+            some = pdf[able]
+            for k in range(0, len(some), BLOCK):
+                part = some[k : k + BLOCK]
+                words = part["symbol"].to_numpy(np.int64)
+                out, own = by_class(words, part["after"], part["n_after"])
+                inn, _ = by_class(words, part["before"], part["n_before"])
+                old = label[words]
+                new = _best_many(joint, out, inn, own, classes, old)
+                yield pd.DataFrame({"symbol": words[new != old], "label": new[new != old]})
 
     return move
 
@@ -352,10 +407,11 @@ def _scores(shared):
                 rows.append((
                     len(found) + 1, len(known) + model.end_known, model.base[known].sum() + model.end_base,
                     model.transition[line[:-1], line[1:]].sum() + model.emission[known].sum(),
-                    [{"word": w.decode("utf-8"), "times": n} for w, n in tail.items()],
+                    # words hold no space
+                    b" ".join(tail).decode("utf-8"), np.fromiter(tail.values(), np.int64, len(tail)),
                 ))
-            n_tokens, n_known, base, own, tail = zip(*rows) if rows else ((),) * 5
-            yield pd.DataFrame({"id": pdf["id"], "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": own, "tail": tail})
+            n_tokens, n_known, base, own, tail, times = zip(*rows) if rows else ((),) * 6
+            yield pd.DataFrame({"id": pdf["id"], "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": own, "tail": tail, "times": times})
 
     return score
 
@@ -372,16 +428,17 @@ def score(docs: DataFrame, text: str = "text", identifier: str = "doc_id") -> Da
     model, counts, totals = train(rows.where(~held_out(F.col("id"))).select("text"))
     kind = rows.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = rows.mapInPandas(_scores(shared), f"id {kind}, n_tokens long, n_known long, base_score double, score double, tail array<struct<word:string,times:long>>")
+    scored = rows.mapInPandas(_scores(shared), f"id {kind}, n_tokens long, n_known long, base_score double, score double, tail string, times array<long>")
     scored = stable(scored.withColumn("row", F.monotonically_increasing_id()))
-    tail = scored.select("row", F.inline("tail")).join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    listed = scored.where(F.size("times") > 0).select("row", F.split("tail", " ").alias("word"), "times")
+    tail = listed.select("row", F.inline(F.arrays_zip("word", "times"))).join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     times = F.col("times")
     sums = tail.groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("more_known"),
         F.sum(times * F.log10((F.col("n") + 1) / F.lit(float(totals["n"] + totals["v"] + 1)))).alias("more_base"),
         F.sum(times * F.log10((F.col("n") + 1) / F.lit(float(totals["tail_total"])))).alias("more_score"),
     )
-    out = scored.drop("tail").join(sums, "row", "left").select(
+    out = scored.drop("tail", "times").join(sums, "row", "left").select(
         F.col("id").alias(identifier), held_out(F.col("id")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(int(totals["n"])).cast("long").alias("train_tokens"),

@@ -138,3 +138,22 @@ def test_better_than_unigrams_on_ordered_text(spark):
     docs = [(i, "the cat sat on a mat . " * 5) for i in range(100)]
     rows = brown.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert all(r["score"] > r["base_score"] / 2 for r in rows)
+
+
+def test_many_words_find_the_class_that_each_finds_alone():
+    rng = np.random.default_rng(7)
+    size, classes, n = 9, 7, 60
+    label = np.concatenate([rng.integers(0, classes, n), [classes, classes + 1]])
+    bigrams = rng.poisson(0.4, (n + 2, n + 2)).astype(float)
+    hot = np.eye(size)[label]
+    joint = hot.T @ bigrams @ hot
+    out, inn, own, old = bigrams[:n] @ hot, (bigrams.T @ hot)[:n], bigrams.diagonal()[:n].copy(), label[:n]
+    out[np.arange(n), old] -= own
+    inn[np.arange(n), old] -= own
+    want = []
+    for w in range(n):
+        alone = joint.copy()
+        brown._take(alone, old[w], out[w], inn[w], own[w], -1)
+        want.append(brown._best(alone, out[w], inn[w], own[w], classes, int(old[w])))
+    assert brown._best_many(joint, out, inn, own, classes, old).tolist() == want
+    assert (np.array(want) != old).any()
