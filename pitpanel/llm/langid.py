@@ -30,7 +30,8 @@ BUCKETS = 1 << 16
 MAX_LANGUAGES = 512
 SMOOTHING = 0.5
 UNDETERMINED = "und"
-CHUNK = 1 << 20
+#: Characters that are worked on at once: the arrays of a chunk take some hundred bytes for each.
+CHUNK = 1 << 17
 
 
 @lru_cache(1)

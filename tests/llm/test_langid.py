@@ -119,3 +119,17 @@ def test_many_labels(spark, monkeypatch):
     got = {r["doc_id"]: r["langid_prediction"]["lang"] for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     learned = {f"fr{i}" for i in range(40) if zlib.crc32(str(200 + i).encode()) % 3 != 1}
     assert set(got.values()) == {"en", "de", min(learned)} and got[0] == "en" and got[100] == "de" and got[200] == min(learned)
+
+
+def test_memory_of_a_batch_is_bounded():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    model = langid.Model(list("abcd"), rng.normal(size=(langid.BUCKETS, 4)).astype(np.float32), np.zeros(4))
+    texts = ["".join(rng.choice(list("abcdefgh "), 1000)) for _ in range(2000)]
+    model.predict(texts[:1])
+    tracemalloc.start()
+    model.predict(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
