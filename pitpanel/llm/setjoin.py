@@ -3,9 +3,9 @@
 Two documents link when 100 * |A and B| >= percent * |A or B| over their sets of shingles. Equal sets are one document
 from the start. The steps, each over all documents:
 
-1. Shingles below a fixed quantile of the hash that stand in several documents of a task are counted; those that many
-   documents have (*frequent*) sort last. This only sets an order: any order is right, a good one keeps common passages
-   out of the prefixes.
+1. Shingles below a fixed quantile of the hash are counted over all documents, however these fall into tasks; those that
+   many documents have (*frequent*) sort last. This only sets an order: any order is right, a good one keeps common
+   passages out of the prefixes.
 2. In that order a linked pair shares one of the first shingles of both, at places that leave enough to share behind
    them (prefix and place bound), and ``k`` of them if both prefixes are ``k - 1`` longer. Documents are candidates if
    that many of their longer prefix stand in other documents' prefixes, with the least ``k`` that a partner can have.
@@ -44,17 +44,18 @@ from pitpanel.llm.graph import components
 from pitpanel.session import stable
 
 #: Shingles counted this often are frequent; at most FREQUENT_MOST of them are broadcast (8 bytes each).
-FREQUENT, FREQUENT_MOST = 8, 1 << 18
-#: Share of the hash range in which documents are counted.
-QUANTILE = 0.25
-#: Shingles that a task holds before it reports those that occurred several times.
-COUNTED = 4_000_000
+FREQUENT, FREQUENT_MOST = 8, 1 << 20
+#: Share of the hash range in which documents are counted: below 2 ** COUNTED_BITS of 2 ** 64.
+COUNTED_BITS = 62
+#: Shingles that a task holds before it reports them; they are summed up in so many parts of that range (2 ** PART_BITS).
+COUNTED, PART_BITS = 4_000_000, 9
 #: Candidates under one prefix shingle, beyond which they get an order of their own.
 BUCKET = 8
 #: Counts of shingles by the first bits of their hash; pairs that a round verifies have at least so many bytes of sets.
 MARKS, ROUND_BYTES = 256, 64 << 20
 #: Sets that are sent to a semi join at most by broadcast, in rows of 8 bytes.
 BROADCAST_IDS = 1 << 21
+_LIMIT = np.uint64(1 << COUNTED_BITS)
 _SPACE = bytes([9, 10, 11, 12, 13, 32])
 _words: dict[bytes, int] = {}
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _SPACE, b"abcdefghijklmnopqrstuvwxyz" + b" " * 6)
@@ -101,29 +102,39 @@ def _prefix_length(n: int, percent: int) -> int:
 
 
 def _counts(width: int):
-    limit = np.uint64(int(QUANTILE * 2**64))
+    """Shingles of a task with the number of its documents that hold each, packed by part of the hash range."""
 
     def count(batches):
         held, size = [], 0
 
-        def several():
+        def report():
             token, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"token": token[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
+            ends = np.searchsorted(token, np.arange(1, (1 << PART_BITS) + 1, dtype=np.uint64) << np.uint64(COUNTED_BITS - PART_BITS))
+            spans = [(part, x, y) for part, (x, y) in enumerate(zip(np.append(0, ends), ends)) if x < y]
+            n = n.astype(np.uint32)
+            return pd.DataFrame({"part": [p for p, *_ in spans], "tokens": [token[x:y].tobytes() for _, x, y in spans], "times": [n[x:y].tobytes() for _, x, y in spans]})
 
         for pdf in batches:
             for text in pdf["text"]:
                 s = shingles(text, width)
-                held.append(s[: np.searchsorted(s, limit)].copy())
+                held.append(s[: np.searchsorted(s, _LIMIT)].copy())
                 size += len(held[-1])
             if size > COUNTED:
-                yield several()
+                yield report()
                 held, size = [], 0
-        if held:
-            yield several()
+        if size:
+            yield report()
 
     return count
 
 
+def _frequent(part: pd.DataFrame) -> pd.DataFrame:
+    """(token, n) of the shingles of one part of the hash range that FREQUENT documents hold."""
+    token, at = np.unique(np.frombuffer(b"".join(part["tokens"]), np.int64), return_inverse=True)
+    n = np.bincount(at, np.frombuffer(b"".join(part["times"]), np.uint32)).astype(np.int64)
+    return pd.DataFrame({"token": token[n >= FREQUENT], "n": n[n >= FREQUENT]})
+
+
 def _prefixes(width: int, percent: int, frequent):
     def prefix(batches):
         common = frequent.value
@@ -134,9 +145,11 @@ def _prefixes(width: int, percent: int, frequent):
                 sizes.append(len(s))
                 sums.append(xxhash.xxh3_128_digest(s.tobytes()))
                 early = len(s)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    late = common[at] == s
+                low = s[: np.searchsorted(s, _LIMIT)]
+                if len(common) and len(low):
+                    at = np.minimum(np.searchsorted(common, low), len(common) - 1)
+                    late = np.zeros(len(s), bool)
+                    late[: len(low)] = common[at] == low
                     early = int((~late).sum())
                     s = np.concatenate([s[~late], s[late]])
                 firsts.append(s[: _prefix_length(len(s), percent)].view(np.int64))
@@ -257,8 +270,8 @@ def _second_order(steps: Steps, crowd: DataFrame, sets: DataFrame, percent: int)
 def classes(steps: Steps, docs: DataFrame, text: str, identifier: str, width: int, percent: int) -> DataFrame:
     """(id, n, digest, prefix, end) of each row with an identifier; equal digests are equal sets."""
     rows = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
-    counted = rows.mapInPandas(_counts(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counted = steps.keep(counted.where(F.col("n") >= FREQUENT), "counted")
+    parts = rows.mapInPandas(_counts(width), "part int, tokens binary, times binary").groupBy("part")
+    counted = steps.keep(parts.applyInPandas(_frequent, "token long, n long"), "counted")
     common = most_frequent(counted, "n", FREQUENT_MOST).select("token").toPandas()["token"].to_numpy(np.int64)
     frequent = docs.sparkSession.sparkContext.broadcast(np.sort(common.view(np.uint64)))
     steps.drop(counted)

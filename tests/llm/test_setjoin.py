@@ -155,3 +155,39 @@ def test_a_family_is_not_repeated_for_each_document_next_to_it(spark, monkeypatc
     assert found(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
     (opened, members), = made
     assert members <= 40 * opened  # rows of one document each, not of the whole family
+
+
+def test_the_order_does_not_depend_on_how_documents_fall_into_tasks(spark, monkeypatch):
+    rng = random.Random(21)
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = [(k, passage + " " + " ".join(f"q{rng.randint(0, 10**9)}" for _ in range(60))) for k in range(24)]
+    docs += [(100 + k, docs[k][1] + " end") for k in range(3)]
+    df, made = spark.createDataFrame(docs, "doc_id long, text string"), []
+    keep = setjoin.Steps.keep
+
+    def seen(self, df, name):
+        kept = keep(self, df, name)
+        if name in ("counted", "tokens"):
+            made.append((name, kept.count()))
+        return kept
+
+    monkeypatch.setattr(setjoin.Steps, "keep", seen)
+    want = brute(docs)
+    assert found(df.coalesce(1)) == found(df.repartition(27)) == want
+    # the passage is known as frequent where no task has it twice, and is in no prefix
+    assert made[:2] == made[2:] and dict(made)["counted"] > 5 and dict(made)["tokens"] == 0
+
+
+def test_counts_of_parts_are_the_counts_of_all(monkeypatch):
+    from collections import Counter
+
+    import pandas as pd
+
+    monkeypatch.setattr(setjoin, "COUNTED", 50)
+    texts = [" ".join(random.Random(k % 9).choices("abcdefg", k=40)) for k in range(60)] + [None, "", "a"]
+    batches = [pd.DataFrame({"text": texts[k : k + 5]}) for k in range(0, len(texts), 5)]
+    parts = pd.concat([*setjoin._counts(3)(batches)])
+    got = pd.concat([setjoin._frequent(part) for _, part in parts.groupby("part")])
+    counts = Counter(x for t in texts for x in setjoin.shingles(t, 3).tolist() if x < 1 << setjoin.COUNTED_BITS)
+    assert dict(zip(got["token"].tolist(), got["n"].tolist())) == {x: n for x, n in counts.items() if n >= setjoin.FREQUENT} != {}
+    assert list(setjoin._counts(3)(iter([pd.DataFrame({"text": [None, ""]})]))) == []
