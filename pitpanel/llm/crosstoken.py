@@ -24,6 +24,7 @@ columns are not looked at. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from functools import lru_cache
 
@@ -59,6 +60,9 @@ class Tokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        # a task is one thread; the library would start one for each core for a batch of one text
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -77,17 +81,22 @@ class Tokenizers:
         # what was needed lately, and what before that
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
+        # whether a text is cut before a word that begins so
+        self.begins: dict[str, bool] = {}
 
     def coded(self, text: str):
         """Ids and byte ends of A and of B over a space and the text; None if either does not give those bytes."""
         source = b" " + text.encode()
-        found = self.a.encode(" " + text, add_special_tokens=False)
-        a = np.array(found.ids, np.int64)
         if text.isascii():
+            # the lengths of the tokens are their places: none of them asked for
+            a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
             b = np.asarray(self.b.encode(text, return_type="numpy", num_threads=1), np.int64)
             a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         else:
-            at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in " " + text])])
+            found = self.a.encode(" " + text, add_special_tokens=False)
+            a = np.array(found.ids, np.int64)
+            letters = np.frombuffer((" " + text).encode("utf-32-le"), np.uint32)
+            at = np.concatenate([[0], np.cumsum(1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF))])
             a_end = refined(at[np.array(found.offsets, np.int64).reshape(-1, 2)], self.a_sizes[a])
             spans = self.b.encode(text, return_type="offset_mapping", return_bytes=True, num_threads=1)
             b = np.array(spans["ids"], np.int64)
@@ -104,17 +113,19 @@ class Tokenizers:
 
     def remember(self, texts: list[list[str]]) -> None:
         """Make sure that the short words of these texts are known."""
-        needed = {w for words in texts for w in words if len(w) <= SHORT}
+        needed = set().union(*texts)
         if len(self.known) + len(needed) > REMEMBERED:
             self.known, self.older = {w: self.known[w] for w in needed if w in self.known}, self.known
-        new = needed.difference(self.known)
+        new = {w for w in needed.difference(self.known) if len(w) <= SHORT}
         again = new.intersection(self.older)
         self.known.update((w, self.older[w]) for w in again)
         new -= again
         for plain in (True, False):
             some, size = [], 0
-            for w in sorted(w for w in new if w.isascii() == plain):
-                if not _CUT.search(f"x {w[:1]}") or w[-1].isspace() or "▁" in w:
+            for w in new:
+                if w.isascii() != plain:
+                    continue
+                if not self._joined(w):
                     self.known[w] = self.entries([w])[0]
                     continue
                 some.append(w)
@@ -125,34 +136,48 @@ class Tokenizers:
             if some:
                 self.known.update(zip(some, self.entries(some)))
 
+    def _joined(self, word: str) -> bool:
+        """Whether a word can stand among others in one text and be cut out again."""
+        first = word[:1]
+        if first not in self.begins:
+            self.begins[first] = bool(_CUT.search(f"x {first}"))
+        return self.begins[first] and not word[-1].isspace() and "▁" not in word
+
     def entries(self, words: list[str]) -> list[tuple | None]:
         """For each word n_a, n_b, n_groups, its groups written with a semicolon before each, packed pair codes of its links."""
-        coded = self.coded(" ".join(words))
+        source = " ".join(words)
+        coded = self.coded(source)
         if coded is None:
             return [None] if len(words) == 1 else [self.entries([w])[0] for w in words]
         a, a_ends, b, b_ends = coded
-        cuts, stretches = np.intersect1d(a_ends, b_ends, assume_unique=True), np.union1d(a_ends, b_ends)
+        # two sorted runs: merged, not sorted anew
+        merged = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        first = _first(merged)
+        stretches, cuts = merged[first], merged[~first]
         links = a[np.searchsorted(a_ends, stretches)] << _SHIFT | b[np.searchsorted(b_ends, stretches)]
         a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
         n, m = len(self.a_bytes), len(self.b_bytes)
         codes = np.concatenate([a + n * ~_first(a_group), 2 * n + b + m * ~_first(b_group)])
         codes = codes[np.argsort(np.concatenate([a_group, b_group]), kind="stable")]
-        ends = np.cumsum([1 + len(w.encode()) for w in words])
+        ends = np.cumsum([1 + n for n in (map(len, words) if source.isascii() else [len(w.encode()) for w in words])])
         # all of them end where a word ends
         upto = [np.searchsorted(x, ends, "right") for x in (a_ends, b_ends, cuts, stretches)]
         n_a, n_b, n_groups, n_links = (np.diff(x, prepend=0).tolist() for x in upto)
         text = list(map(self.written.__getitem__, codes.tolist()))
-        out, at, link = [], 0, 0
+        out, at, link, links = [], 0, 0, links.tobytes()
         for x, y, g, k in zip(n_a, n_b, n_groups, n_links):
-            out.append((x, y, g, "".join(text[at : at + x + y]), links[link : link + k].tobytes()))
-            at, link = at + x + y, link + k
+            to, behind = at + x + y, link + 8 * k
+            out.append((x, y, g, "".join(text[at:to]), links[link:behind]))
+            at, link = to, behind
         return out
 
     def aligned(self, words: list[str]):
         """n_a, n_b, n_groups, groups as ``a1,a2|b1;a3|b2,b3``, pair codes of all links; None if the bytes are others."""
-        found = [self.known[w] if len(w) <= SHORT else self.entries([w])[0] for w in words]
+        found = list(map(self.known.get, words))
         if None in found:
-            return None
+            found = [self.entries([w])[0] if x is None and len(w) > SHORT else x for w, x in zip(words, found)]
+            if None in found:
+                return None
         n_a, n_b, n_groups, groups, links = zip(*found)
         return sum(n_a), sum(n_b), sum(n_groups), "".join(groups)[1:], np.frombuffer(b"".join(links), np.int64)
 

@@ -165,3 +165,18 @@ def test_query(spark, small, plain):
     for d, row in zip(docs, want):
         assert got[d["doc_id"]][:6] == row[:6]
         assert row[6] is None or got[d["doc_id"]][6] == row[6]
+
+
+def test_no_places_are_asked_for_in_ascii_text(monkeypatch):
+    tokenizers = crosstoken.Tokenizers(A, B)
+    text = "plain <|endoftext|> text\twith  some 123 words don't " * 3
+    ids = tokenizers.a.encode(" " + text, add_special_tokens=False).ids
+
+    class Without:
+        encode_batch_fast = tokenizers.a.encode_batch_fast
+
+    monkeypatch.setattr(tokenizers, "a", Without())
+    a, a_end, _, b_end = tokenizers.coded(text)
+    assert a.tolist() == ids and a_end[-1] == b_end[-1] == 1 + len(text)
+    with pytest.raises(AttributeError):
+        tokenizers.coded("über")
