@@ -1,8 +1,8 @@
 """Steps over whole entities of a daily panel, held as Arrow columns.
 
-At daily grain an entity is bounded by the calendar, so a task may hold all its columns. A frame of n rows then is n numbers
-side by side in memory: each is summed up anew, as a window does, but without a row-by-row evaluation. Steps that follow
-each other directly on one panel share one pass over the rows. Missing values, NaN and zero denominators count as in the window forms.
+At daily grain an entity is bounded by the calendar, so a task may hold all its columns. Sums and deviations of all frames of n rows
+then are merged from runs of 1, 2, 4, ... rows, column by column; no value leaves a sum again, so nothing cancels out. Steps that
+follow each other directly on one panel share one pass over the rows. Missing values, NaN and zero denominators count as in the window forms.
 """
 
 from __future__ import annotations
@@ -12,17 +12,14 @@ from collections.abc import Callable, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from pitpanel.panel import Panel
 
-#: Frames that are spread out in memory at a time.
-ROWS = 4096
-
 Columns = Mapping[str, pa.Array]
 Step = Callable[[Columns], Columns]
+Parts = tuple[np.ndarray, ...]
 
 
 def by_entity(df: DataFrame, panel: Panel, adds: Mapping[str, T.DataType], step: Step) -> DataFrame:
@@ -86,9 +83,35 @@ def _held(there: np.ndarray, rows: int) -> np.ndarray:
     return total
 
 
-def _frames(values: np.ndarray, rows: int) -> np.ndarray:
-    """Row by row the last ``rows`` values, without a copy; what is before the first row counts as 0 (missing)."""
-    return sliding_window_view(np.concatenate([np.zeros(rows - 1, values.dtype), values]), rows)
+def _back(values: np.ndarray, rows: int) -> np.ndarray:
+    """The value so many rows before; 0 before the first row."""
+    return np.concatenate([np.zeros(min(rows, len(values)), values.dtype), values[: max(len(values) - rows, 0)]]) if rows else values
+
+
+def _over_frames(parts: Parts, rows: int, merged: Callable[[Parts, Parts], Parts]) -> Parts:
+    """``merged`` over the last ``rows`` rows of each row: runs of 1, 2, 4, ... rows are made of two each, a frame of a few of these."""
+    out, at, size = None, 0, 1
+    while True:
+        if rows & size:
+            earlier = tuple(_back(x, at) for x in parts)
+            out, at = earlier if out is None else merged(earlier, out), at + size
+        if 2 * size > rows:
+            return out
+        parts, size = merged(tuple(_back(x, size) for x in parts), parts), 2 * size
+
+
+def _sums(values: np.ndarray, rows: int) -> np.ndarray:
+    (total,) = _over_frames((values,), rows, lambda a, b: (a[0] + b[0],))
+    return total
+
+
+def _spreads(a: Parts, b: Parts) -> Parts:
+    """Count, mean and squared deviations of two runs as those of one; equal values have no deviation at all."""
+    (n, mean, squares), (more, other, rest) = a, b
+    count = n + more
+    far = np.where((n > 0) & (more > 0), other - mean, 0.0)
+    share = more / np.maximum(count, 1.0)
+    return count, np.where(n > 0, mean + far * share, other), squares + rest + far * far * n * share
 
 
 def _divided(a: np.ndarray, b: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +147,7 @@ def means(specs: Mapping[str, tuple[str, int]], least: Mapping[str, int]) -> Ste
             values, there = numbers(columns[c])
             held = _held(there, n)
             with np.errstate(all="ignore"):
-                out[name] = doubles(_frames(values, n).sum(axis=1) / np.maximum(held, 1), held >= max(least[name], 1))
+                out[name] = doubles(_sums(values, n) / np.maximum(held, 1), held >= max(least[name], 1))
         return out
 
     return step
@@ -136,16 +159,9 @@ def deviations(specs: Mapping[str, tuple[str, int]], least: Mapping[str, int], s
         out = {}
         for name, (c, n) in specs.items():
             values, there = numbers(columns[c])
-            held, near = _held(there, n), values[last_rows(there)] if len(values) else values
-            frames, inside = _frames(values, n), _frames(there, n)
-            squares = np.zeros(len(values))
+            one = (there.astype(float), values, np.zeros(len(values)))
             with np.errstate(all="ignore"):
-                for k in range(0, len(values), ROWS):
-                    at = slice(k, k + ROWS)
-                    # distances to a value of the frame, so equal values have no deviation at all
-                    far = np.where(inside[at], frames[at] - near[at, None], 0.0)
-                    mean = far.sum(axis=1) / np.maximum(held[at], 1)
-                    squares[at] = (np.where(inside[at], far - mean[:, None], 0.0) ** 2).sum(axis=1)
+                held, _, squares = _over_frames(one, n, _spreads)
                 out[name] = doubles(np.sqrt(squares / np.maximum(held - 1, 1)) * scale, held >= max(least[name], 2))
         return out
 
@@ -161,7 +177,7 @@ def strength(column: str, name: str, rows: int) -> Step:
             moved[1:], known[1:] = values[1:] - values[:-1], there[1:] & there[:-1]
             held = np.minimum(np.arange(1, len(values) + 1), rows)
             up, down = (np.where(known & sign, size, 0.0) for sign, size in ((above(moved, np.zeros(1)), moved), (moved < 0, -moved)))
-            gain, loss = (_frames(x, rows).sum(axis=1) / held for x in (up, down))
+            gain, loss = (_sums(x, rows) / held for x in (up, down))
             share, some = _divided(gain, loss, np.ones(len(values), bool))
             return {name: doubles(100 - 100 / (1 + share), some)}
 

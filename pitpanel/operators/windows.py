@@ -1,18 +1,21 @@
 """Time-series features. All frames count rows and include the current one.
 
 Every function adds columns to the frame it gets. They share one window specification per panel,
-so Spark plans a chain of them over a single shuffle and sort.
+so Spark plans a chain of them over a single shuffle and sort. With ``arrays`` the entities of a panel at daily grain are
+held as arrays instead, and a chain of such calls is one pass over the rows, whatever the length of its frames.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import math
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitpanel.functions.columns import flag, ratio
+from pitpanel.operators import arrays as entity_arrays
 from pitpanel.operators import blocks, recursive
 from pitpanel.operators.joins import join_checked
 from pitpanel.panel import Panel
@@ -27,7 +30,11 @@ NARROW = 10
 
 
 def lag_features(df: DataFrame, panel: Panel, columns: Sequence[str], lags: Sequence[int] = (1, 5, 22),
-                 suffix: str = "_lag{n}", blocked: bool = False) -> DataFrame:
+                 suffix: str = "_lag{n}", blocked: bool = False, arrays: bool = False) -> DataFrame:
+    if arrays:
+        specs = {c + suffix.format(n=n): (c, n) for c in columns for n in lags}
+        return entity_arrays.by_entity(df, panel, {name: df.schema[c].dataType for name, (c, _) in specs.items()}, entity_arrays.lags(specs))
+
     def build(w: WindowSpec) -> dict[str, Column]:
         return {c + suffix.format(n=n): F.lag(c, n).over(w) for c in columns for n in lags}
 
@@ -37,16 +44,29 @@ def lag_features(df: DataFrame, panel: Panel, columns: Sequence[str], lags: Sequ
 
 
 def moving_average(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], min_rows: int = 1,
-                   blocked: bool = False) -> DataFrame:
+                   blocked: bool = False, arrays: bool = False) -> DataFrame:
     """``{output: (column, rows)}``; fewer than ``min_rows`` values give NULL."""
+    if arrays:
+        return _double_arrays(df, panel, specs, entity_arrays.means(specs, _least(specs, min_rows)))
     return _rolling(df, panel, specs, F.avg, min_rows, blocked)
 
 
 def rolling_std(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], min_rows: int = 1,
-                blocked: bool = False) -> DataFrame:
+                blocked: bool = False, arrays: bool = False) -> DataFrame:
+    if arrays:
+        return _double_arrays(df, panel, specs, entity_arrays.deviations(specs, _least(specs, min_rows)))
     return _rolling(df, panel, specs, F.stddev_samp, min_rows, blocked)
 
 
+def _double_arrays(df: DataFrame, panel: Panel, names: Iterable[str], step: entity_arrays.Step) -> DataFrame:
+    return entity_arrays.by_entity(df, panel, dict.fromkeys(names, T.DoubleType()), step)
+
+
+def _least(specs: Mapping[str, tuple[str, int]], min_rows: int) -> dict[str, int]:
+    """Values that a frame needs; 0 means a full frame."""
+    return {name: n if min_rows == 0 else min_rows for name, (_, n) in specs.items()}
+
+
 def _rolling(df, panel, specs, agg, min_rows, blocked) -> DataFrame:
     def build(w: WindowSpec, some=specs) -> dict[str, Column]:
         out = {}
@@ -163,8 +183,10 @@ def _trailing(w: WindowSpec, rows: int) -> WindowSpec:
 
 
 def pct_change(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], scale: float = 100.0,
-               blocked: bool = False) -> DataFrame:
+               blocked: bool = False, arrays: bool = False) -> DataFrame:
     """Relative change over n rows of the padded column (gaps carry the last value first)."""
+    if arrays:
+        return _double_arrays(df, panel, specs, entity_arrays.changes(specs, scale))
     pads = {c: f"_pad_{c}" for c in {c for c, _ in specs.values()}}
 
     def changes(w: WindowSpec) -> list[dict[str, Column]]:
@@ -179,7 +201,10 @@ def pct_change(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]]
     return _stages(padded, panel, max(n for _, n in specs.values()), changes, blocked).drop(*pads.values())
 
 
-def annualized_volatility(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], blocked: bool = False) -> DataFrame:
+def annualized_volatility(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[str, int]], blocked: bool = False,
+                          arrays: bool = False) -> DataFrame:
+    if arrays:
+        return _double_arrays(df, panel, specs, entity_arrays.deviations(specs, _least(specs, 1), math.sqrt(TRADING_DAYS)))
     root = F.sqrt(F.lit(float(TRADING_DAYS)))
     if not blocked:
         return rolling_std(df, panel, specs).withColumns({name: F.col(name) * root for name in specs})
@@ -198,8 +223,10 @@ def relative_to_average(df: DataFrame, panel: Panel, specs: Mapping[str, tuple[s
     }], blocked)
 
 
-def rsi(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 14, blocked: bool = False) -> DataFrame:
+def rsi(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 14, blocked: bool = False, arrays: bool = False) -> DataFrame:
     """Relative strength index. A step next to a gap counts as no move; no loss at all gives NULL."""
+    if arrays:
+        return _double_arrays(df, panel, [name], entity_arrays.strength(column, name, rows))
     step = F.col("_step")
 
     def build(w: WindowSpec) -> list[dict[str, Column]]:
@@ -212,18 +239,23 @@ def rsi(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 14, blo
 
 
 def macd(df: DataFrame, panel: Panel, column: str, name: str = "macd", signal: str = "macd_signal",
-         spans: tuple[int, int, int] = (12, 26, 9), blocked: bool = False) -> DataFrame:
+         spans: tuple[int, int, int] = (12, 26, 9), blocked: bool = False, arrays: bool = False) -> DataFrame:
     """MACD line and signal from recursive exponential averages.
 
     Averages carry over gaps, and an old average has less weight the longer the gap. At daily grain an entity is one bounded
     array that a fold walks through; ``blocked`` composes the recursion over slabs, for entities of any size.
     """
+    if arrays:
+        return _double_arrays(df, panel, [name, signal], entity_arrays.averages(column, name, signal, spans))
     walk = recursive.averages_of_any_size if blocked else recursive.averages_of_entities
     return walk(df, panel.entity, panel.order, column, name, signal, spans)
 
 
-def trend_flag(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 90, blocked: bool = False) -> DataFrame:
+def trend_flag(df: DataFrame, panel: Panel, column: str, name: str, rows: int = 90, blocked: bool = False, arrays: bool = False) -> DataFrame:
     """1 if the last row of the frame is above its first row, else 0; NULL while nothing is known."""
+    if arrays:
+        return entity_arrays.by_entity(df, panel, {name: T.IntegerType()}, entity_arrays.trend(column, name, rows))
+
     def build(w: WindowSpec) -> list[dict[str, Column]]:
         frame = _trailing(w, rows)
         rising = (F.count(F.lit(1)).over(frame) > 1) & (F.last(column).over(frame) > F.first(column).over(frame))

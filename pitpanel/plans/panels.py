@@ -95,29 +95,37 @@ def market_features(df: DataFrame, panel: Panel, k: MarketNames = MarketNames())
 def entity_features(df: DataFrame, panel: Panel, e: EntityNames = EntityNames()) -> DataFrame:
     """Price, volume and statement features of the merged daily panel.
 
-    MACD runs first, while the rows are still narrow: it holds an entity as one array.
+    The steps over an entity come first, one after another: they hold it as arrays and take one pass together. A panel
+    without entity columns takes windows.
     """
     p, v, s = e.price, e.volume, e.statement
-    out = df
+    out, arrays = df, bool(panel.entity)
     if p in df.columns:
-        out = windows.macd(out, panel, p, f"{p}_macd", f"{p}_macd_signal")
+        out = windows.macd(out, panel, p, f"{p}_macd", f"{p}_macd_signal", arrays=arrays)
         returns = {f"{p}_return_{n}d": (p, n) for n in (1, 5, 22, 90)}
-        out = windows.pct_change(out, panel, {**returns, f"{p}_return_ytd": (p, 252)})
-        out = windows.moving_average(out, panel, {f"{p}_ma{n}": (p, n) for n in (20, 50, 200)})
-        out = windows.annualized_volatility(out, panel, {f"{p}_volatility_{n}d": (f"{p}_return_1d", n) for n in (22, 90)})
-        out = windows.rsi(out, panel, p, f"{p}_rsi_14d")
-        out = out.withColumns({f"{p}_vs_ma{n}": ratio(F.col(p), F.col(f"{p}_ma{n}")) for n in (50, 200)})
+        out = windows.pct_change(out, panel, {**returns, f"{p}_return_ytd": (p, 252)}, arrays=arrays)
+        out = windows.moving_average(out, panel, {f"{p}_ma{n}": (p, n) for n in (20, 50, 200)}, arrays=arrays)
+        out = windows.annualized_volatility(out, panel, {f"{p}_volatility_{n}d": (f"{p}_return_1d", n) for n in (22, 90)}, arrays=arrays)
+        out = windows.rsi(out, panel, p, f"{p}_rsi_14d", arrays=arrays)
+    of_price = out.columns
     if v in df.columns:
-        out = windows.moving_average(out, panel, {f"{v}_ma20": (v, 20)})
-        out = out.withColumn(f"{v}_vs_ma20", ratio(F.col(v), F.col(f"{v}_ma20")))
-    out = features.financial_ratios(out, s)
+        out = windows.moving_average(out, panel, {f"{v}_ma20": (v, 20)}, arrays=arrays)
     growing = existing(df, [s.revenue, s.net_income, s.assets])
     out = windows.pct_change(out, panel, {
-        f"{c}_growth_{label}": (c, n) for c in growing for label, n in (("qoq", 90), ("yoy", 252))})
-    out = windows.lag_features(out, panel, existing(df, [*growing, s.total_debt]), STATEMENT_LAGS)
+        f"{c}_growth_{label}": (c, n) for c in growing for label, n in (("qoq", 90), ("yoy", 252))}, arrays=arrays)
+    out = windows.lag_features(out, panel, existing(df, [*growing, s.total_debt]), STATEMENT_LAGS, arrays=arrays)
     if s.revenue in df.columns:
-        out = windows.trend_flag(out, panel, s.revenue, f"{s.revenue}_trend_90d")
-    return out
+        out = windows.trend_flag(out, panel, s.revenue, f"{s.revenue}_trend_90d", arrays=arrays)
+    of_entity = out.columns
+    if p in df.columns:
+        out = out.withColumns({f"{p}_vs_ma{n}": ratio(F.col(p), F.col(f"{p}_ma{n}")) for n in (50, 200)})
+    if v in df.columns:
+        out = out.withColumn(f"{v}_vs_ma20", ratio(F.col(v), F.col(f"{v}_ma20")))
+    out = features.financial_ratios(out, s)
+    by_row = [c for c in out.columns if c not in of_entity]
+    smooth = [f"{v}_ma20"] if v in df.columns else []
+    first = [*of_price, *[c for c in by_row if c.startswith(f"{p}_vs_")], *smooth]
+    return out.select(*first, *[c for c in by_row if c not in first], *[c for c in of_entity if c not in first])
 
 
 def macro_panel(macro: DataFrame, market: DataFrame, panel: Panel, m: MacroNames = MacroNames(),
